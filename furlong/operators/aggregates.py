@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from furlong.operators.joins import attach_mean
-from furlong.operators.skew import running_totals, spread_join
+from furlong.operators.skew import find_hot_keys, running_totals, spread_join
 
 IDS_PER_LIST = 10_000
 
@@ -93,6 +93,8 @@ def dictionary(rows: DataFrame, column: str, code: str) -> DataFrame:
 
 def dictionary_encode(rows: DataFrame, columns: list[str], suffix: str = "_cat") -> DataFrame:
     """Add a dense code per value of each column; a missing value has no code."""
-    for column in columns:
-        rows = spread_join(rows, dictionary(rows, column, f"{column}{suffix}"), [column])
-    return rows
+    hot = find_hot_keys(rows, [[column] for column in columns])
+    encoded = rows
+    for column, spread in zip(columns, hot):
+        encoded = spread_join(encoded, dictionary(rows, column, f"{column}{suffix}"), [column], hot=spread)
+    return encoded

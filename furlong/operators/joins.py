@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from furlong.functions.text import trim_space
-from furlong.operators.skew import spread_join
+from furlong.operators.skew import HotKeys, spread_join
 
 _COPIES = "__copies"
 
@@ -16,6 +16,7 @@ def attach_ids(
     scope: list[str],
     name: str,
     dedupe: bool = False,
+    one_page_scope: bool = False,
 ) -> DataFrame:
     """Left join of rows to extracted ids on a trimmed name within a scope.
 
@@ -23,16 +24,20 @@ def attach_ids(
     rows travel as one row with a count, so the join itself sees each id once and
     rows are repeated only after it. With ``dedupe`` each name keeps one id, the
     smallest, and no row is repeated.
+
+    ``one_page_scope`` says that a scope is a single page. Its rows then fit one task
+    and no search for hot keys is needed.
     """
+    hot = HotKeys({}, 0) if one_page_scope else None
     keys = [*scope, name]
     values = [c for c in ids.columns if c not in keys]
     rows = rows.withColumn(name, trim_space(name))
     ids = ids.withColumn(name, trim_space(name))
     if dedupe:
         one = ids.groupBy(*keys).agg(F.min(F.struct(*values)).alias("__one"))
-        return spread_join(rows, one.select(*keys, "__one.*"), keys)
+        return spread_join(rows, one.select(*keys, "__one.*"), keys, hot=hot)
     counted = ids.groupBy(*keys, *values).agg(F.count(F.lit(1)).alias(_COPIES))
-    joined = spread_join(rows, counted, keys)
+    joined = spread_join(rows, counted, keys, hot=hot)
     copies = F.coalesce(F.col(_COPIES), F.lit(1)).cast("int")
     return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies))).drop("__copy", _COPIES)
 
@@ -41,26 +46,24 @@ def combine_payouts(win: DataFrame, place: DataFrame, keys: list[str], reference
     """Full outer join of win and place payouts.
 
     The key is taken from whichever side has it. ``reference_keys=True`` keeps the key
-    of the win side only, so a place payout without a win payout cannot be joined on.
+    of the win side only, so a place payout without a win payout is lost.
     """
-    both = win.join(place, keys, "full")
-    if not reference_keys:
-        return both
-    held = win.select(*keys).distinct()
-    return win.join(place.join(held, keys, "left_semi"), keys, "left")
+    return win.join(place, keys, "left" if reference_keys else "full")
 
 
-def attach_payouts(rows: DataFrame, payouts: DataFrame, keys: list[str]) -> DataFrame:
+def attach_payouts(
+    rows: DataFrame, payouts: DataFrame, keys: list[str], one_page_scope: bool = False
+) -> DataFrame:
     """Left join of payouts onto rows; the right key does not appear."""
-    return spread_join(rows, payouts, keys)
+    return spread_join(rows, payouts, keys, hot=HotKeys({}, 0) if one_page_scope else None)
 
 
-def attach_mean(rows: DataFrame, means: DataFrame, key: str) -> DataFrame:
+def attach_mean(rows: DataFrame, means: DataFrame, key: str, hot: HotKeys | None = None) -> DataFrame:
     """Left join of a mean per key, computed here or stored earlier.
 
     Rows without a key get no mean.
     """
-    return spread_join(rows, means, [key])
+    return spread_join(rows, means, [key], hot=hot)
 
 
 def still_missing(wanted: DataFrame, held: DataFrame, keys: list[str], content: str | None = None) -> DataFrame:

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from furlong.session import cut_lineage
 
 # A key counts as hot from this many rows on; each slice of it then holds about as many.
 ROWS_PER_SLICE = 1_000_000
-# Rows without a key match nothing, so they only need spreading.
-NULL_SLICES = 4096
-# Most keys the heavy-hitter summary can return, hence the bound of what is broadcast.
+# Most keys the heavy-hitter summary returns, hence the bound of what is collected and
+# broadcast. Any key beyond that holds less than a thousandth of the rows.
 MAX_HOT_KEYS = 1_000
 TRACKED_KEYS = 20_000
 
@@ -19,20 +20,38 @@ _SLICES = "__slices"
 _SLICE = "__slice"
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Hashes of the heaviest keys with the number of slices each is cut into.
+class HotKeys(NamedTuple):
+    """How to spread the keys of one join."""
+
+    slices: dict[int, int]  # hash of a hot key: number of slices
+    null_slices: int  # slices for the rows that lack a key
+
 
-    One pass over the key columns with a mergeable summary of fixed size; at most
-    ``MAX_HOT_KEYS`` rows come out. It only steers how work is spread: a key that
-    is missed or hit by chance changes no result.
+def find_hot_keys(
+    df: DataFrame, key_sets: list[list[str]], rows_per_slice: int = ROWS_PER_SLICE
+) -> list[HotKeys]:
+    """Heavy keys of several joins, found in one pass over the key columns.
+
+    A mergeable summary of fixed size per key set is all that leaves the tasks. It
+    only steers how work is spread: a key that is missed, or hit by chance because of
+    an equal hash, changes no result.
     """
-    summary = df.filter(_all_present(keys)).select(F.xxhash64(*keys).alias(_HASH)).agg(
-        F.expr(f"approx_top_k({_HASH}, {MAX_HOT_KEYS}, {TRACKED_KEYS})").alias("top")
-    )
-    items = summary.select(F.inline("top").alias(_HASH, "__rows"))
-    return items.filter(F.col("__rows") > rows_per_slice).select(
-        _HASH, F.ceil(F.col("__rows") / F.lit(rows_per_slice)).cast("int").alias(_SLICES)
+    hashed = df.select(
+        *[F.when(_all_present(keys), F.xxhash64(*keys)).alias(f"h{i}") for i, keys in enumerate(key_sets)]
     )
+    found = hashed.agg(
+        *[F.expr(f"approx_top_k(h{i}, {MAX_HOT_KEYS}, {TRACKED_KEYS})").alias(f"top{i}") for i in range(len(key_sets))],
+        *[F.count_if(F.col(f"h{i}").isNull()).alias(f"nulls{i}") for i in range(len(key_sets))],
+    ).first()
+    out = []
+    for i in range(len(key_sets)):
+        hot = {
+            item["item"]: -(-item["count"] // rows_per_slice)
+            for item in found[f"top{i}"]
+            if item["item"] is not None and item["count"] > rows_per_slice
+        }
+        out.append(HotKeys(hot, -(-found[f"nulls{i}"] // rows_per_slice)))
+    return out
 
 
 def _all_present(keys: list[str]) -> Column:
@@ -47,26 +66,38 @@ def spread_join(
     right: DataFrame,
     keys: list[str],
     how: str = "left",
+    hot: HotKeys | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Equi-join of a large left side with hot keys to a right side that is narrow per key.
 
-    Rows of a hot key are cut into slices by a hash of the whole row, and only the
-    right rows of that key are repeated, once per slice. Left rows with a null key
-    are spread as well. All other rows join as usual, and adaptive execution still
-    turns the join into a broadcast when the right side proves small at run time.
+    Rows of a hot key are cut into slices by a hash of the row and its partition, and only the
+    right rows of that key are repeated, once per slice. Left rows that lack a key are
+    spread as well. Where nothing is hot this is the plain join, and adaptive
+    execution turns it into a broadcast when the right side proves small at run time.
+
+    ``hot`` is looked up in ``left`` unless it is given; give it when ``left`` is the
+    result of earlier joins, so that they do not run for the lookup too.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"spread_join keeps or drops left rows only: how={how!r}")
-    hot = F.broadcast(hot_keys(left, keys, rows_per_slice))
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-
+    if hot is None:
+        hot = find_hot_keys(left, [keys], rows_per_slice)[0]
+    rest = [c for c in right.columns if c not in keys]
+    if not hot.slices and hot.null_slices <= 1:
+        return left.join(right, keys, how).select(*left.columns, *rest)
+
+    spark = left.sparkSession
+    table = F.broadcast(spark.createDataFrame(list(hot.slices.items()), f"{_HASH} long, {_SLICES} int"))
+    # the partition number parts exact copies of a row; unlike a random number it is the
+    # same again when a lost task is run once more
+    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in left.columns])
     sliced_left = (
         left.withColumn(_HASH, F.xxhash64(*keys))
-        .join(hot, _HASH, "left")
+        .join(table, _HASH, "left")
         .withColumn(
             _SLICE,
-            F.when(~_all_present(keys), F.pmod(row_hash, F.lit(NULL_SLICES)))
+            F.when(~_all_present(keys), F.pmod(row_hash, F.lit(max(hot.null_slices, 1))))
             .when(F.col(_SLICES).isNotNull(), F.pmod(row_hash, F.col(_SLICES)))
             .otherwise(F.lit(0))
             .cast("int"),
@@ -76,13 +107,11 @@ def spread_join(
     sliced_right = (
         right.filter(_all_present(keys))
         .withColumn(_HASH, F.xxhash64(*keys))
-        .join(hot, _HASH, "left")
+        .join(table, _HASH, "left")
         .withColumn(_SLICE, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SLICES), F.lit(1)) - 1)))
         .drop(_HASH, _SLICES)
     )
-    joined = sliced_left.join(sliced_right, [*keys, _SLICE], how).drop(_SLICE)
-    rest = [c for c in right.columns if c not in keys]
-    return joined.select(*left.columns, *rest)
+    return sliced_left.join(sliced_right, [*keys, _SLICE], how).select(*left.columns, *rest)
 
 
 def running_totals(df: DataFrame, order: list[str], totals: dict[str, str]) -> DataFrame:
