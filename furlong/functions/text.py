@@ -123,6 +123,15 @@ def attribute(html: Column | str, tag: str, name: str) -> Column:
     return first_match(html, rf'(?is)<{tag}\b[^>]*?\b{name}="([^"]*)"')
 
 
+def flat_links(html: Column | str) -> Column:
+    """href and text of links that hold no further tags, in page order."""
+    text = _col(html)
+    link = F.lit(r'(?is)<a\s[^>]*?\bhref="([^"]*)"[^>]*>([^<]*)</a\s*>')
+    href = F.regexp_extract_all(text, link, 1)
+    name = F.transform(F.regexp_extract_all(text, link, 2), unescape_basic)
+    return F.arrays_zip(href.alias("href"), name.alias("text"))
+
+
 def escape_html(value: Column | str) -> Column:
     """Make text safe for a page; the inverse of what the extractor decodes."""
     text = _col(value)

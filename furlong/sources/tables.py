@@ -6,13 +6,13 @@ import json
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import Model
+from pyspark.ml.classification import GBTClassificationModel
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from furlong.functions.text import year_month
 from furlong.operators.project import between_dates
-from pyspark.sql import functions as F
 
 MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -103,7 +103,7 @@ def read_or_build(
 
 def publish_model(
     spark: SparkSession,
-    model: PipelineModel,
+    model: Model,
     params: dict[str, Any],
     metrics: dict[str, float],
     root: str,
@@ -118,7 +118,10 @@ def publish_model(
     return path
 
 
-def read_model(spark: SparkSession, root: str, name: str, version: str) -> tuple[PipelineModel, dict[str, Any], dict[str, float]]:
+def read_model(
+    spark: SparkSession, root: str, name: str, version: str, kind: type[Model] = GBTClassificationModel
+) -> tuple[Model, dict[str, Any], dict[str, float]]:
+    """A stored model with its parameters and metrics."""
     path = f"{root}/{name}/model_version={version}"
     params, metrics = (json.loads(spark.read.text(f"{path}/{part}").first()[0]) for part in ("params", "metrics"))
-    return PipelineModel.load(f"{path}/model"), params, metrics
+    return kind.load(f"{path}/model"), params, metrics

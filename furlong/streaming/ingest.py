@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from furlong.schemas import PAGE_KEYS
 
@@ -50,7 +50,7 @@ def read_landed(
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
     if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
         return None
-    held = spark.read.schema(StructType(schema.fields).add(BATCH, "long")).parquet(table)
+    held = spark.read.schema(StructType([*schema.fields, StructField(BATCH, LongType())])).parquet(table)
     if before is not None:
         held = held.filter(F.col(BATCH) < before)
     return held.drop(BATCH)
