@@ -39,6 +39,11 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def load_for_python(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose rows are read in Python next: at least one split per slot."""
+    return tables.spread_scan(load(spark, sf_dir, name), [key])
+
+
 def yyyymmdd(column: str) -> Column:
     return F.date_format(column, "yyyyMMdd")
 
@@ -200,7 +205,7 @@ def time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_names(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Names listed on a page, padded, and the names and ids of its links."""
-    pages = load(spark, sf_dir, "pages")
+    pages = load_for_python(spark, sf_dir, "pages", "page_id")
     items = extract.read_item_links(pages, ["page_id"], "html")
     rows = items.select("page_id", "item_no", F.concat(F.lit("　"), "text").alias("name"))
     links = text.flat_links("html")
@@ -348,12 +353,12 @@ def href_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def link_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.read_links(load(spark, sf_dir, "pages"), ["page_id"], "html", "")
+    return extract.read_links(load_for_python(spark, sf_dir, "pages", "page_id"), ["page_id"], "html", "")
 
 
 @query
 def list_item_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = extract.read_item_links(load(spark, sf_dir, "pages"), ["page_id"], "html")
+    items = extract.read_item_links(load_for_python(spark, sf_dir, "pages", "page_id"), ["page_id"], "html")
     return items.select("page_id", "item_no", text.id_after("href", "").alias("item_id"))
 
 
@@ -372,14 +377,14 @@ ORDER_COLUMNS = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
 
 @query
 def first_table_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = render.table_pages(load(spark, sf_dir, "orders"), "o_orderkey", ORDER_COLUMNS)
+    pages = render.table_pages(load_for_python(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey", ORDER_COLUMNS)
     rows = extract.read_table(pages, ["o_orderkey"], "html", {c: c for c in ORDER_COLUMNS})
     return rows.withColumns({"o_custkey": F.col("o_custkey").cast("long"), "o_totalprice": F.col("o_totalprice").cast("double")})
 
 
 @query
 def card_table_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = load(spark, sf_dir, "part")
+    part = load_for_python(spark, sf_dir, "part", "p_partkey")
     columns = {"馬名": F.col("p_name"), "性齢": F.col("p_brand"), "枠": F.col("p_size").cast("string")}
     pages = render.card_pages(part, "p_partkey", columns)
     return extract.read_table(
@@ -389,7 +394,7 @@ def card_table_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def class_table_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = load(spark, sf_dir, "customer")
+    customer = load_for_python(spark, sf_dir, "customer", "c_custkey")
     cells = [
         [F.lit("name"), F.col("c_name")],
         [F.lit("segment"), F.concat(F.lit("<&> "), "c_mktsegment")],
@@ -401,13 +406,13 @@ def class_table_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def race_result_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = render.race_pages(load(spark, sf_dir, "orders"))
+    pages = render.race_pages(load_for_python(spark, sf_dir, "orders", "o_orderkey"))
     return race_result.build_race_results(pages).rows
 
 
 @query
 def race_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = render.race_pages(load(spark, sf_dir, "orders"))
+    pages = render.race_pages(load_for_python(spark, sf_dir, "orders", "o_orderkey"))
     raw = cut_lineage(race_result.build_race_results(pages, dedupe_ids=True).rows, "race_result")
     feature = preprocess(raw)["feature"]
     return feature.withColumns({c: F.round(c, 6) for c in ("weight_diff_avg", "horse_weight_diff_dev")})
@@ -415,7 +420,7 @@ def race_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def decode_charset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = load(spark, sf_dir, "documents").select("doc_id", encode_text("text").alias("content"))
+    raw = load_for_python(spark, sf_dir, "documents", "doc_id").select("doc_id", encode_text("text").alias("content"))
     return raw.select("doc_id", decode_bytes("content").alias("text"))
 
 

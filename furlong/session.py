@@ -37,9 +37,6 @@ def local_session(cpus: str = "*", **extra: str) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", partitions)
-        # the test files hold a few megabytes: split them by row group
-        .config("spark.sql.files.maxPartitionBytes", str(2 * 1024 * 1024))
-        .config("spark.sql.files.openCostInBytes", str(256 * 1024))
     )
     for key, value in extra.items():
         builder = builder.config(key, value)

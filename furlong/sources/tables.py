@@ -35,6 +35,18 @@ def write_partitioned(
     )
 
 
+def spread_scan(table: DataFrame, keys: list[str]) -> DataFrame:
+    """Give a scan that has fewer splits than the cluster has slots one split per slot.
+
+    Meant for a plain scan whose rows go to Python next. A table with many files or
+    row groups is returned as it is, without a shuffle.
+    """
+    slots = table.sparkSession.sparkContext.defaultParallelism
+    if table.rdd.getNumPartitions() >= slots:
+        return table
+    return table.repartition(slots, *keys)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """A folder of Parquet files as one table."""
     reader = spark.read if schema is None else spark.read.schema(schema)
