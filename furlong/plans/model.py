@@ -124,7 +124,7 @@ SEARCH_SPACES: dict[str, dict[str, Draw]] = {
 
 def _fit_rounds(train: DataFrame, params: dict[str, Any], rounds: int) -> GBTClassificationModel:
     booster = GBTClassifier(
-        featuresCol="features", labelCol=LABEL, maxIter=rounds, cacheNodeIds=True, checkpointInterval=10, **params
+        featuresCol="features", labelCol=LABEL, maxIter=rounds, checkpointInterval=10, **params
     )
     return booster.fit(train)
 
