@@ -143,10 +143,11 @@ SELECT r.*, round(mean, 6) AS mean, round(l_quantity - mean, 6) AS dev FROM r LE
 WITH m AS (SELECT l_partkey, avg(l_quantity) AS mean FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01' GROUP BY 1)
 SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, round(mean, 6) AS mean, round(l_quantity - mean, 6) AS dev
 FROM lineitem LEFT JOIN m USING (l_partkey) WHERE l_shipdate >= TIMESTAMP '1998-01-01'""",
-    "missing_worklist_anti": "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
+    "missing_worklist_anti": "SELECT DISTINCT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "tiered_lookup": """
-SELECT doc_id, CASE WHEN lang = 'en' THEN text ELSE 'stored ' || text END AS text
-FROM documents WHERE lang <> 'de' AND NOT (lang = 'en' AND text = '')""",
+WITH local AS (SELECT doc_id, text FROM documents WHERE lang = 'en' AND text <> '')
+SELECT doc_id, text FROM local
+UNION ALL SELECT doc_id, 'stored ' || text FROM documents WHERE lang <> 'de' AND doc_id NOT IN (SELECT doc_id FROM local)""",
     "collect_list_by_date": """
 WITH r AS (
     SELECT strftime(o_orderdate, '%Y%m%d') AS race_date, o_custkey,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import wraps
 
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from furlong.bindings import render
 from furlong.functions import text
-from furlong.functions.encode import decode_bytes, encode_text, label_code
+from furlong.functions.encode import decode_bytes, label_code
 from furlong.operators import aggregates, joins, project
 from furlong.plans import model, race_result
 from furlong.plans.features import preprocess
@@ -420,7 +421,7 @@ def race_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def decode_charset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = load_for_python(spark, sf_dir, "documents", "doc_id").select("doc_id", encode_text("text").alias("content"))
+    raw = load_for_python(spark, sf_dir, "documents", "doc_id").select("doc_id", render.encode_text("text").alias("content"))
     return raw.select("doc_id", decode_bytes("content").alias("text"))
 
 
@@ -480,7 +481,7 @@ MODEL_FEATURES = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
 
 
 def model_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Assembled train and valid rows: is a line a full-priced one of its order?"""
+    """Assembled train and valid rows, stored once: does a line cost more than 2,000 per piece?"""
     orders = races(spark, sf_dir).select(
         "o_orderkey",
         "race_date",
@@ -489,36 +490,35 @@ def model_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         text.leading_int("o_orderpriority").alias("priority"),
     )
     lines = load(spark, sf_dir, "lineitem")
-    # the quantity a line is about, hidden behind its price: price per piece is the signal
     rank = F.when(F.col("l_extendedprice") / F.col("l_quantity") > 2000, 1).otherwise(2)
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("rank", rank)
     train, valid = model.split_by_date(rows, "race_date", TRAIN_FIRST, TRAIN_LAST)
-    return tuple(model.assemble(model.with_label(part), MODEL_FEATURES) for part in (train, valid))
+    return tuple(
+        cut_lineage(model.assemble(model.with_label(part), MODEL_FEATURES), "assembled") for part in (train, valid)
+    )
 
 
 @query
 def gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, valid = (cut_lineage(part, "assembled") for part in model_rows(spark, sf_dir))
+    train, valid = model_rows(spark, sf_dir)
     fitted = model.fit_boosted(train, valid, {"maxDepth": 4}, max_rounds=8, patience=4)
     root = scratch_path(spark, "models")
     tables.publish_model(spark, fitted.model, {"maxDepth": 4}, {"auc": fitted.auc}, root, "gbt", "v1")
     stored, _, _ = tables.read_model(spark, root, "gbt", "v1")
-    return aggregates.roc_auc(model.score(stored, valid), model.SCORE, model.LABEL).withColumn(
-        "rounds", F.lit(fitted.rounds)
-    )
+    scored = aggregates.roc_auc(model.score(stored, valid), model.SCORE, model.LABEL)
+    return scored.withColumn("rounds", F.lit(fitted.rounds))
 
 
 @query
 def hpo_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = model_rows(spark, sf_dir)
     best, trials = model.search(train, valid, model.SEARCH_SPACES["depth"], trials=3, max_rounds=3, patience=3)
-    rows = [(t.number, t.auc, t.params == best, sorted(t.params.items(), key=str).__repr__()) for t in trials]
+    rows = [(t.number, t.auc, t.params == best, json.dumps(t.params, sort_keys=True)) for t in trials]
     return spark.createDataFrame(rows, "trial int, auc double, best boolean, params string")
 
 
 @query
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, valid = (cut_lineage(part, "assembled") for part in model_rows(spark, sf_dir))
-    fitted = model.fit_boosted(train, valid, {"maxDepth": 4}, max_rounds=4, patience=4)
+    fitted = model.fit_boosted(*model_rows(spark, sf_dir), {"maxDepth": 4}, max_rounds=4, patience=4)
     gain = model.importance(fitted.model, MODEL_FEATURES)
     return gain.join(model.importance(fitted.model, MODEL_FEATURES, "weight"), "feature")

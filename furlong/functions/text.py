@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+# All characters with the Unicode property White_Space.
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 # Regex classes spelled out so that they mean the same as the Unicode-aware
 # \d, \w and \s of the text being matched (Java's short forms are ASCII only).
 DIGITS = r"\p{Nd}"
 WORD = r"[\p{L}\p{N}_]"
-SPACE = r"[\s\x0B\x{85}\p{Z}]"
 SPACE_AND_SEPARATORS = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]"
 
 
@@ -47,7 +48,7 @@ def signed_int_in_parens(value: Column | str, strict: bool = True) -> Column:
 
 def trim_space(value: Column | str) -> Column:
     """Strip white space on both ends, the ideographic space included."""
-    return F.regexp_replace(_col(value), f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(_col(value), F.lit(SPACES))
 
 
 def split_fields(value: Column | str, count: int, separator: str = "/") -> list[Column]:
@@ -130,11 +131,3 @@ def flat_links(html: Column | str) -> Column:
     href = F.regexp_extract_all(text, link, 1)
     name = F.transform(F.regexp_extract_all(text, link, 2), unescape_basic)
     return F.arrays_zip(href.alias("href"), name.alias("text"))
-
-
-def escape_html(value: Column | str) -> Column:
-    """Make text safe for a page; the inverse of what the extractor decodes."""
-    text = _col(value)
-    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
-        text = F.replace(text, F.lit(plain), F.lit(entity))
-    return text

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from furlong.operators.joins import attach_mean
-from furlong.operators.skew import find_hot_keys, running_totals, spread_join
+from furlong.operators.skew import find_hot_keys, row_numbers, running_totals, spread_join
 
 IDS_PER_LIST = 10_000
 
@@ -87,8 +87,8 @@ def roc_auc(scored: DataFrame, score: str, label: str) -> DataFrame:
 
 def dictionary(rows: DataFrame, column: str, code: str) -> DataFrame:
     """Distinct values with dense codes from 0 in sort order."""
-    distinct = rows.select(column).filter(F.col(column).isNotNull()).distinct().withColumn("__one", F.lit(1))
-    return running_totals(distinct, [column], {code: "__one"}).drop("__one").withColumn(code, F.col(code).cast("long"))
+    distinct = rows.select(column).filter(F.col(column).isNotNull()).distinct()
+    return row_numbers(distinct, [column], code)
 
 
 def dictionary_encode(rows: DataFrame, columns: list[str], suffix: str = "_cat") -> DataFrame:

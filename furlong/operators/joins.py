@@ -34,8 +34,11 @@ def attach_ids(
     rows = rows.withColumn(name, trim_space(name))
     ids = ids.withColumn(name, trim_space(name))
     if dedupe:
-        one = ids.groupBy(*keys).agg(F.min(F.struct(*values)).alias("__one"))
-        return spread_join(rows, one.select(*keys, "__one.*"), keys, hot=hot)
+        if len(values) == 1:
+            one = ids.groupBy(*keys).agg(F.min(values[0]).alias(values[0]))
+        else:
+            one = ids.groupBy(*keys).agg(F.min(F.struct(*values)).alias("__one")).select(*keys, "__one.*")
+        return spread_join(rows, one, keys, hot=hot)
     counted = ids.groupBy(*keys, *values).agg(F.count(F.lit(1)).alias(_COPIES))
     joined = spread_join(rows, counted, keys, hot=hot)
     copies = F.coalesce(F.col(_COPIES), F.lit(1)).cast("int")

@@ -114,31 +114,46 @@ def spread_join(
     return sliced_left.join(sliced_right, [*keys, _SLICE], how).select(*left.columns, *rest)
 
 
+_MARK, _PART = "__mark", "__part"
+
+
+def _placed(df: DataFrame, order: list[str]) -> DataFrame:
+    """The rows range sorted once and written out, each with its range and a rising mark."""
+    marked = df.sort(*order).withColumn(_MARK, F.monotonically_increasing_id())
+    return cut_lineage(marked.withColumn(_PART, F.shiftright(F.col(_MARK), 33)), "ordered")
+
+
+def _starts(sums: DataFrame, names: list[str]) -> DataFrame:
+    """What lies before each range, from a table of one row per range."""
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
+    return F.broadcast(
+        sums.select(_PART, *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"__start_{name}") for name in names])
+    )
+
+
 def running_totals(df: DataFrame, order: list[str], totals: dict[str, str]) -> DataFrame:
     """Sum of a column over all rows ordered before this one, over the whole table.
 
-    ``totals`` maps each new column to the column it adds up. The rows are range
-    sorted once and written out with their place; each range is then summed on its
-    own, and the ranges are chained by a table of one row per range. ``order`` should
-    be unique: rows that are equal in it cannot be spread.
+    ``totals`` maps each new column to the column it adds up. Each sorted range is
+    summed on its own, and the ranges are chained by a table of one row per range.
+    ``order`` should be unique: rows that are equal in it cannot be spread.
     """
-    mark, part = "__mark", "__part"
-    placed = cut_lineage(
-        df.sort(*order)
-        .withColumn(mark, F.monotonically_increasing_id())
-        .withColumn(part, F.shiftright(F.col(mark), 33)),
-        "ordered",
-    )
-    within = Window.partitionBy(part).orderBy(mark).rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
-    # one row per sorted range, so these windows see no more rows than there are ranges
-    across = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
-    zero = F.lit(0)
-    sums = placed.groupBy(part).agg(*[F.sum(c).alias(f"__sum_{new}") for new, c in totals.items()])
-    starts = sums.select(
-        part, *[F.coalesce(F.sum(f"__sum_{new}").over(across), zero).alias(f"__start_{new}") for new in totals]
-    )
+    placed = _placed(df, order)
+    within = Window.partitionBy(_PART).orderBy(_MARK).rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
+    sums = placed.groupBy(_PART).agg(*[F.sum(c).alias(new) for new, c in totals.items()])
     return (
-        placed.withColumns({f"__in_{new}": F.coalesce(F.sum(c).over(within), zero) for new, c in totals.items()})
-        .join(F.broadcast(starts), part)
+        placed.withColumns({f"__in_{new}": F.coalesce(F.sum(c).over(within), F.lit(0)) for new, c in totals.items()})
+        .join(_starts(sums, list(totals)), _PART)
         .select(*df.columns, *[(F.col(f"__in_{new}") + F.col(f"__start_{new}")).alias(new) for new in totals])
     )
+
+
+def row_numbers(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Place of each row in the order of the whole table, from 0.
+
+    The mark of a row already counts within its range, so only the ranges are chained.
+    """
+    placed = _placed(df, order)
+    counts = placed.groupBy(_PART).agg(F.count(F.lit(1)).alias(name))
+    within = F.col(_MARK) - F.shiftleft(F.col(_PART), 33)
+    return placed.join(_starts(counts, [name]), _PART).select(*df.columns, (within + F.col(f"__start_{name}")).alias(name))

@@ -16,10 +16,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from furlong import fixed_values as fixed
 from furlong.operators.aggregates import roc_auc
 from furlong.operators.project import after_date, between_dates, is_first
-from furlong.session import cut_lineage, shared_root
+from furlong.session import shared_root
 
 LABEL = "label"
 SCORE = "score"
@@ -27,26 +26,6 @@ SCORE = "score"
 MISSING = -1e6
 
 
-@dataclass
-class TrainConfig:
-    """Settings of a training run."""
-
-    model: str = "gbt"
-    train_first_date: str = ""
-    train_last_date: str = ""
-    valid_last_date: str | None = None
-    data_version: str = ""
-    model_version: str = ""
-    features: str = ",".join(fixed.FEATURE_COLUMNS)
-    max_rounds: int = 300
-    patience: int = 20
-    trials: int = 100
-
-    @property
-    def feature_columns(self) -> list[str]:
-        return self.features.split(",")
-
-
 def split_by_date(
     df: DataFrame, date: str, train_first: str, train_last: str, valid_last: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -193,12 +172,11 @@ def search(
 ) -> tuple[dict[str, Any], list[Trial]]:
     """Seeded random search for the best AUC on ``valid``; each trial is a fit on Spark.
 
-    Returns the whole parameter set of the best trial, the fixed ones included. The
-    assembled rows are written once and shared by all trials.
+    Returns the whole parameter set of the best trial, the fixed ones included. Every
+    trial reads the rows given, so they should come from a stored table.
     """
     rng = random.Random(seed)
     drawn = [Trial(i, {**BASE_PARAMS, **{name: draw(rng) for name, draw in space.items()}}) for i in range(trials)]
-    train, valid = cut_lineage(train, "train"), cut_lineage(valid, "valid")
 
     def run(trial: Trial) -> Trial:
         return replace(trial, auc=fit_boosted(train, valid, trial.params, max_rounds, patience).auc)

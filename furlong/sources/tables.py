@@ -76,25 +76,33 @@ def version_path(root: str, version: str, name: str) -> str:
     return f"{root}/data_version={version}/{name}.parquet"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on whatever file system it names."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place))
+
+
 def is_published(spark: SparkSession, path: str) -> bool:
-    """Whether a write to this path was finished (Spark's success mark is there)."""
-    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return bool(mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark))
+    """Whether a write to this path was finished: Spark's success mark is there."""
+    return path_exists(spark, f"{path}/_SUCCESS")
 
 
-def publish(df: DataFrame, root: str, version: str, name: str) -> str:
-    """Write a table under a version. A finished version is never replaced; the rest of a
-    write that did not finish is."""
+def publish(df: DataFrame, root: str, version: str, name: str, replace: bool = False) -> str:
+    """Write a table under a version.
+
+    A finished version stays as it is unless ``replace`` is set; what is left of a
+    write that did not finish is always replaced.
+    """
     path = version_path(root, version, name)
-    if is_published(df.sparkSession, path):
+    if not replace and is_published(df.sparkSession, path):
         raise FileExistsError(path)
     df.write.mode("overwrite").parquet(path)
     return path
 
 
-def publish_all(tables: dict[str, DataFrame], root: str, version: str) -> dict[str, str]:
+def publish_all(data: dict[str, DataFrame], root: str, version: str, replace: bool = False) -> dict[str, str]:
     """Write several tables under one version."""
-    return {name: publish(df, root, version, name) for name, df in tables.items()}
+    return {name: publish(df, root, version, name, replace) for name, df in data.items()}
 
 
 def read_version(spark: SparkSession, root: str, version: str, name: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from furlong.schemas import PAGE_KEYS
+from furlong.sources.tables import path_exists
 
 BATCH = "ingest_batch"
 
@@ -47,8 +48,7 @@ def read_landed(
     spark: SparkSession, table: str, schema: StructType, by: str | None = None, before: int | None = None
 ) -> DataFrame | None:
     """The landed table, or None while nothing has landed. ``before`` limits it to earlier batches."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
-    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+    if not path_exists(spark, table):
         return None
     held = spark.read.schema(StructType([*schema.fields, StructField(BATCH, LongType())])).parquet(table)
     if before is not None:

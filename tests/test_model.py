@@ -6,6 +6,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
 from furlong.operators.aggregates import roc_auc
 from furlong.plans import model
+from furlong.plans.training import TrainConfig
 from furlong.sources import tables
 
 
@@ -108,6 +109,6 @@ def test_search_spaces_draw_valid_parameters(name):
 
 
 def test_config():
-    config = model.TrainConfig(features="a,b")
-    assert config.feature_columns == ["a", "b"]
-    assert len(model.TrainConfig().feature_columns) == 17
+    dates = {"train_first_date": "20240101", "train_last_date": "20240131", "data_version": "d", "model_version": "m"}
+    assert TrainConfig(**dates, features="a,b").feature_columns == ["a", "b"]
+    assert len(TrainConfig(**dates).feature_columns) == 17

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from furlong.operators import aggregates, joins
-from furlong.operators.skew import find_hot_keys, running_totals, spread_join
+from furlong.operators.skew import find_hot_keys, row_numbers, running_totals, spread_join
 from tests.compare import spark_rows
 
 
@@ -67,6 +67,11 @@ def test_running_totals(spark):
         total += n
 
 
+def test_row_numbers(spark):
+    df = spark.createDataFrame([(i * 37 % 1000,) for i in range(1000)], "o int").repartition(7)
+    assert all(r["o"] == r["n"] for r in row_numbers(df, ["o"], "n").collect())
+
+
 def test_running_totals_of_nothing(spark):
     empty = spark.createDataFrame([], "o int, n int")
     assert running_totals(empty, ["o"], {"before": "n"}).count() == 0

@@ -3,7 +3,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from furlong.functions.encode import decode_bytes, encode_text
+from furlong.bindings.render import encode_text
+from furlong.functions.encode import decode_bytes
 from furlong.sources import extract, pages, tables
 
 
