@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from furlong import fixed_values as fixed
 from furlong.functions.text import query_value
 from furlong.operators.aggregates import ids_per_date
 from furlong.operators.joins import still_missing
-from furlong.operators.project import concat_rows
+from furlong.operators.project import concat_rows, rename_columns
+from furlong.plans.race_result import build_race_results
 from furlong.schemas import PAGE_KEYS
-from furlong.sources.extract import read_item_links, read_table, read_cells, read_table_links
+from furlong.sources.extract import read_cells, read_item_links, read_table, read_table_links
+from furlong.sources.tables import read_table as read_stored
 from furlong.sources.tables import write_monthly
 
 
@@ -44,12 +48,43 @@ def horse_profile(pages: DataFrame, keys: list[str], html: str = "html") -> Data
     return read_cells(pages, keys, html, fixed.PROFILE_TABLE_CLASS, first_only=True).drop("table_no")
 
 
-def store_month(frames: list[DataFrame], path: str) -> DataFrame:
-    """Stack result rows and write them by month; horses per date come back."""
-    rows = concat_rows(frames)
-    write_monthly(rows, path, "race_date")
-    return horses_per_date(rows)
+def with_source_names(rows: DataFrame) -> DataFrame:
+    """Result rows under the header cells of the source, the horse number aside."""
+    return rename_columns(
+        rows, {name: header for header, name in fixed.RESULT_COLUMNS.items() if name != "horse_number"}
+    )
+
+
+def store_month(frames: list[DataFrame], path: str) -> None:
+    """Stack result rows and write them by month."""
+    write_monthly(concat_rows(frames), path, "race_date")
 
 
 def horses_per_date(rows: DataFrame) -> DataFrame:
+    """The horses that ran on each date, as lists of bounded length."""
     return ids_per_date(rows, "race_date", "horse_id")
+
+
+class Month(NamedTuple):
+    rows: DataFrame
+    horses: DataFrame  # race_date, part, horse_ids
+    missing: DataFrame  # race_date, race_id of listed races without a page
+
+
+def collect_month(
+    spark: SparkSession, calendar_pages: DataFrame, day_pages: DataFrame, result_pages: DataFrame, path: str
+) -> Month:
+    """Dates of the calendar, races of those days, their results; stored by month.
+
+    ``calendar_pages`` holds ``html``, ``day_pages`` ``race_date, html`` and
+    ``result_pages`` ``race_date, race_id, html``. Races whose page has not landed are
+    listed as missing.
+    """
+    dates = race_dates(calendar_pages, []).select("race_date").distinct()
+    days = day_pages.join(dates, "race_date", "left_semi")
+    listed = race_ids(days).select(*PAGE_KEYS).distinct()
+    wanted = result_pages.join(listed, PAGE_KEYS, "left_semi")
+    built = build_race_results(wanted)
+    store_month([with_source_names(built.rows)], path)
+    rows = read_stored(spark, path)
+    return Month(rows, horses_per_date(rows), still_missing(listed, result_pages, PAGE_KEYS, content="html"))

@@ -11,6 +11,7 @@ from furlong.plans.features import preprocess
 from furlong.plans.model import SEARCH_SPACES, Fitted, assemble, fit_boosted, importance, search, split_by_date, with_label
 from furlong.plans.race_result import get_race_results
 from furlong.session import cut_lineage
+from furlong.sources.pages import PageSource
 from furlong.sources.tables import publish_all, publish_model, read_version
 
 
@@ -35,23 +36,23 @@ class TrainConfig:
         return self.features.split(",")
 
 
-def build_features(spark: SparkSession, config: TrainConfig, page_root: str, data_root: str) -> DataFrame:
+def build_features(spark: SparkSession, config: TrainConfig, pages: PageSource, data_root: str) -> DataFrame:
     """Results of the run's dates, turned into features and published under the data version."""
     raw = get_race_results(
-        spark, page_root, data_root, config.data_version, config.train_first_date, config.valid_last_date
+        spark, pages, data_root, config.data_version, config.train_first_date, config.valid_last_date
     )
     publish_all(preprocess(raw), data_root, config.data_version, replace=True)
     return read_version(spark, data_root, config.data_version, "feature")
 
 
 def train_and_publish(
-    spark: SparkSession, config: TrainConfig, page_root: str, data_root: str, model_root: str
+    spark: SparkSession, config: TrainConfig, pages: PageSource, data_root: str, model_root: str
 ) -> tuple[Fitted, DataFrame]:
     """Build features, split by date, search, fit with the best parameters, store the model.
 
     Returns the fitted model with its AUC, and the importance of the features.
     """
-    labelled = with_label(build_features(spark, config, page_root, data_root))
+    labelled = with_label(build_features(spark, config, pages, data_root))
     parts = split_by_date(
         labelled, "race_date", config.train_first_date, config.train_last_date, config.valid_last_date
     )

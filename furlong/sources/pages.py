@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from furlong.functions.encode import decode_bytes
 from furlong.functions.text import path_value, stem_of_path
 from furlong.operators.project import between_dates
+from furlong.schemas import PAGE, PAGE_KEYS
+from furlong.sources.tables import read_dates
+
+# first date, last date (either may be None) -> pages (race_date, race_id, html)
+PageSource = Callable[[str | None, str | None], DataFrame]
 
 
 def scan_pages(
@@ -43,3 +50,13 @@ def keys_from_paths(paths: DataFrame, path: str) -> DataFrame:
         paths.withColumns({"race_date": path_value(path, "race_date"), "race_id": stem_of_path(path)})
         .filter(F.col("race_date").isNotNull())
     )
+
+
+def page_files(spark: SparkSession, root: str, charset: str | None = None) -> PageSource:
+    """Pages held as one file each. Fits up to some millions of files: Spark lists them all."""
+    return lambda first, last: scan_pages(spark, root, first, last, charset)
+
+
+def page_table(spark: SparkSession, table: str) -> PageSource:
+    """Pages held in a table partitioned by date, as the incremental ingest leaves them."""
+    return lambda first, last: read_dates(spark, table, "race_date", first, last, PAGE).select(*PAGE_KEYS, "html")

@@ -1,6 +1,8 @@
 from furlong import fixed_values as fixed
 from furlong.plans import monthly
+from furlong.schemas import PAGE
 from furlong.sources import tables
+from tests.pages import result_page, runner
 
 
 def test_dates_of_a_calendar(spark):
@@ -50,12 +52,32 @@ def test_history_and_profile(spark):
     assert [(r["row_no"], r["cells"]) for r in profile] == [(0, ["生年月日", "2021年"]), (1, ["調教師", None])]
 
 
-def test_a_month_is_stored_and_listed(spark, folder):
+def test_a_month_is_stored(spark, folder):
     schema = "race_date string, horse_id string"
     frames = [
         spark.createDataFrame([("20240106", "h2"), ("20240106", "h1")], schema),
-        spark.createDataFrame([("20240106", "h1"), ("20240107", "h3")], schema),
+        spark.createDataFrame([("20240106", "h1"), ("20240207", "h3")], schema),
     ]
-    lists = {r["race_date"]: r["horse_ids"] for r in monthly.store_month(frames, f"{folder}/m").collect()}
-    assert lists == {"20240106": ["h1", "h1", "h2"], "20240107": ["h3"]}
-    assert tables.read_dates(spark, f"{folder}/m", "ym", "202401", "202401").count() == 4
+    monthly.store_month(frames, f"{folder}/m")
+    january = tables.read_dates(spark, f"{folder}/m", "ym", "202401", "202401")
+    assert january.count() == 3
+    lists = {r["race_date"]: r["horse_ids"] for r in monthly.horses_per_date(january).collect()}
+    assert lists == {"20240106": ["h1", "h1", "h2"]}
+
+
+def test_collect_month(spark, folder):
+    calendar = '<table class="Calendar_Table"><tr><td><a href="?kaisai_date=20240106">6</a></table>'
+    page = result_page([(runner(), ("h01", "j01", "t01")), (runner(horse_number="6", horse_name="コマ", jockey_name="騎手乙", trainer_name="伊藤"), ("h02", "j02", "t02"))])
+    month = monthly.collect_month(
+        spark,
+        spark.createDataFrame([(calendar,)], "html string"),
+        spark.createDataFrame([("20240106", DAY), ("20240107", DAY)], "race_date string, html string"),
+        spark.createDataFrame([("20240106", "202406010101", page), ("20240106", "other", page)], PAGE),
+        f"{folder}/m",
+    )
+    rows = month.rows.collect()
+    assert {(r["race_id"], r["horse_number"], r["馬名"], r["着 順"]) for r in rows} == {
+        ("202406010101", "5", "ウマ", "1"), ("202406010101", "6", "コマ", "1"),
+    }
+    assert [(r["race_date"], r["horse_ids"]) for r in month.horses.collect()] == [("20240106", ["h01", "h02"])]
+    assert [tuple(r) for r in month.missing.collect()] == [("20240106", "202406010102")]

@@ -11,6 +11,7 @@ from furlong.plans.race_result import build_race_cards
 from furlong.plans.training import TrainConfig, train_and_publish
 from furlong.schemas import PAGE
 from furlong.sources import tables
+from furlong.sources.pages import page_files
 from tests.pages import card_page, result_page, runner, tickets
 
 
@@ -47,7 +48,7 @@ def test_training_run(spark, page_root, folder):
     config = TrainConfig(
         "20240101", "20240114", "d1", "m1", valid_last_date="20240120", max_rounds=4, patience=2, trials=2, model="depth"
     )
-    fitted, gain = train_and_publish(spark, config, page_root, f"{folder}/data", f"{folder}/models")
+    fitted, gain = train_and_publish(spark, config, page_files(spark, page_root), f"{folder}/data", f"{folder}/models")
     assert 0.7 < fitted.auc <= 1
     assert gain.count() == 17
 
