@@ -125,9 +125,14 @@ def attribute(html: Column | str, tag: str, name: str) -> Column:
 
 
 def flat_links(html: Column | str) -> Column:
-    """href and text of links that hold no further tags, in page order."""
-    text = _col(html)
-    link = F.lit(r'(?is)<a\s[^>]*?\bhref="([^"]*)"[^>]*>([^<]*)</a\s*>')
-    href = F.regexp_extract_all(text, link, 1)
-    name = F.transform(F.regexp_extract_all(text, link, 2), unescape_basic)
-    return F.arrays_zip(href.alias("href"), name.alias("text"))
+    """href and text of links that hold no further tags, in page order.
+
+    The page is searched once; the parts of a link come from the link alone.
+    """
+    pattern = r'(?is)<a\s[^>]*?\bhref="([^"]*)"[^>]*>([^<]*)</a\s*>'
+
+    def parts(link: Column) -> Column:
+        href, name = (F.regexp_extract(link, pattern, group) for group in (1, 2))
+        return F.struct(href.alias("href"), unescape_basic(name).alias("text"))
+
+    return F.transform(F.regexp_extract_all(_col(html), F.lit(pattern), 0), parts)

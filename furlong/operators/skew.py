@@ -14,6 +14,8 @@ ROWS_PER_SLICE = 1_000_000
 # broadcast. Any key beyond that holds less than a thousandth of the rows.
 MAX_HOT_KEYS = 1_000
 TRACKED_KEYS = 20_000
+# Groups of tasks whose summaries are merged before the last step.
+MERGE_GROUPS = 512
 
 _HASH = "__key_hash"
 _SLICES = "__slices"
@@ -36,21 +38,31 @@ def find_hot_keys(
     only steers how work is spread: a key that is missed, or hit by chance because of
     an equal hash, changes no result.
     """
+    sets = range(len(key_sets))
     hashed = df.select(
-        *[F.when(_all_present(keys), F.xxhash64(*keys)).alias(f"h{i}") for i, keys in enumerate(key_sets)]
+        F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("g"),
+        *[F.when(_all_present(keys), F.xxhash64(*keys)).alias(f"h{i}") for i, keys in enumerate(key_sets)],
     )
-    found = hashed.agg(
-        *[F.expr(f"approx_top_k(h{i}, {MAX_HOT_KEYS}, {TRACKED_KEYS})").alias(f"top{i}") for i in range(len(key_sets))],
-        *[F.count_if(F.col(f"h{i}").isNull()).alias(f"nulls{i}") for i in range(len(key_sets))],
+    # merged in two steps, so that no task takes in the summaries of all others
+    merged = hashed.groupBy("g").agg(
+        *[F.expr(f"approx_top_k_accumulate(h{i}, {TRACKED_KEYS})").alias(f"state{i}") for i in sets],
+        *[F.count_if(F.col(f"h{i}").isNull()).alias(f"nulls{i}") for i in sets],
+    )
+    found = merged.agg(
+        *[
+            F.expr(f"approx_top_k_estimate(approx_top_k_combine(state{i}, {TRACKED_KEYS}), {MAX_HOT_KEYS})").alias(f"top{i}")
+            for i in sets
+        ],
+        *[F.sum(f"nulls{i}").alias(f"nulls{i}") for i in sets],
     ).first()
     out = []
-    for i in range(len(key_sets)):
+    for i in sets:
         hot = {
             item["item"]: -(-item["count"] // rows_per_slice)
-            for item in found[f"top{i}"]
+            for item in found[f"top{i}"] or []
             if item["item"] is not None and item["count"] > rows_per_slice
         }
-        out.append(HotKeys(hot, -(-found[f"nulls{i}"] // rows_per_slice)))
+        out.append(HotKeys(hot, -(-(found[f"nulls{i}"] or 0) // rows_per_slice)))
     return out
 
 

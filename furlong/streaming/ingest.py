@@ -83,12 +83,13 @@ def ingest(
     query.awaitTermination()
 
 
-def page_stream(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
-    """Page files ``<root>/race_date=<yyyyMMdd>/<race_id>.html`` as a stream of pages."""
+def page_stream(spark: SparkSession, root: str, max_files: int = 100_000) -> DataFrame:
+    """Page files ``<root>/race_date=<yyyyMMdd>/<race_id>.html`` as a stream of pages.
+
+    A backlog is taken in batches of at most ``max_files``.
+    """
     reader = spark.readStream.schema("value string, race_date string").format("text").option("wholetext", True)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    files = reader.load(root)
+    files = reader.option("maxFilesPerTrigger", max_files).load(root)
     return files.select(
         "race_date",
         F.regexp_extract("_metadata.file_path", r"([^/]+)\.html$", 1).alias("race_id"),
