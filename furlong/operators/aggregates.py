@@ -33,12 +33,15 @@ def ids_per_date(rows: DataFrame, date: str, id_column: str, per_list: int = IDS
     """
     # equal ids travel as one row with a count
     counted = rows.groupBy(date, id_column).agg(F.count(F.lit(1)).alias("__n"))
-    placed = running_totals(counted, [date, id_column], {"__before": "__n"})
-    starts = placed.groupBy(date).agg(F.min("__before").alias("__start"))
+    # a missing date is a date of its own, so it is joined on as text with a mark
+    dated = running_totals(counted, [date, id_column], {"__before": "__n"}).withColumns(
+        {"__dated": F.col(date).isNotNull(), "__date": F.coalesce(F.col(date).cast("string"), F.lit(""))}
+    )
+    starts = dated.groupBy("__dated", "__date").agg(F.min("__before").alias("__start"))
     first = F.col("__before") - F.col("__start")
     last = first + F.col("__n") - 1
     pieces = (
-        spread_join(placed, starts, [date])
+        spread_join(dated, starts, ["__dated", "__date"])
         .withColumns({"__first": first, "__last": last})
         .withColumn(
             "part",

@@ -3,6 +3,7 @@ import shutil
 import time
 
 from furlong.schemas import PAGE
+from furlong.sources.pages import page_table
 from furlong.streaming.ingest import first_copies, ingest, land_batch, page_stream, read_landed
 
 
@@ -48,6 +49,15 @@ def test_a_batch_may_run_twice(spark, folder):
     assert sorted(tuple(r) for r in found.collect()) == [("20240106", "01", "a"), ("20240107", "01", "b")]
 
 
+def test_the_landed_table_is_a_source_of_pages(spark, folder):
+    for batch_id, rows in enumerate([[("20240106", "01", "a")], [("20240107", "01", "b"), ("20240106", "02", "c")]]):
+        land_batch(spark.createDataFrame(rows, PAGE), batch_id, f"{folder}/t", ["race_date", "race_id"], "html", [], "race_date")
+    found = page_table(spark, f"{folder}/t")("20240107", None)
+    assert found.columns == ["race_date", "race_id", "html"]
+    assert [tuple(r) for r in found.collect()] == [("20240107", "01", "b")]
+    assert page_table(spark, f"{folder}/t")(None, None).count() == 3
+
+
 def test_an_unpartitioned_table(spark, folder):
     schema = "id int, html string"
     for batch_id, rows in enumerate([[(1, "a"), (2, "b")], [(2, "x"), (3, "c")], []]):

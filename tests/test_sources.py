@@ -115,6 +115,19 @@ def test_bad_pages_fail_or_are_kept(spark):
         extract.read_table(df.filter("id = 1"), ["id"], "html", {"b": "b"}).collect()
 
 
+def test_an_empty_table_is_passed_over(spark):
+    page = "<table><tr><td> </td></tr></table><table><tr><th>a</tr><tr><td>x</table>"
+    df = spark.createDataFrame([(1, page)], "id int, html string")
+    assert [r["a"] for r in extract.read_table(df, ["id"], "html", {"a": "a"}).collect()] == ["x"]
+
+
+def test_headings(spark):
+    page = '<div class="Box"><p class="Name">\n 一 <b>二</b></p></div>'
+    df = spark.createDataFrame([(1, page), (2, "<p>")], "id int, html string")
+    found = extract.read_headings(df, ["id"], "html", {"name": ("Box", "Name"), "box": ("Box",)})
+    assert [tuple(r) for r in found.collect()] == [(1, "一二", "一二"), (2, None, None)]
+
+
 def test_short_rows_and_blank_cells_are_null(spark):
     page = "<table><tr><th>a<th>b</tr><tr><td>1</tr><tr><td> <td>2</table>"
     df = spark.createDataFrame([(1, page)], "id int, html string")
