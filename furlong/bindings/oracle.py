@@ -60,7 +60,7 @@ runners AS (
 )"""
 
 ORACLE: dict[str, str] = {
-    "feature_pipeline": f"""
+    "feature_build": f"""
 WITH typed AS (
     SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, {PART_CODE.format(name="p_name")} AS part_code,
            CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER) AS brand_no

@@ -57,7 +57,7 @@ def races(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def feature_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feature_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load(spark, sf_dir, "orders")
     orders = project.drop_listed(orders, "o_orderstatus", ("P",)).select("o_orderkey")
     parts = project.drop_containing(load(spark, sf_dir, "part"), "p_name", "ring")

@@ -25,8 +25,8 @@ def attach_ids(
     rows are repeated only after it. With ``dedupe`` each name keeps one id, the
     smallest, and no row is repeated.
 
-    ``one_page_scope`` says that a scope is a single page. Its rows then fit one task
-    and no search for hot keys is needed.
+    ``one_page_scope`` says that a scope is a single page. Its rows then fit one task,
+    so neither a search for hot keys nor the count is needed.
     """
     hot = HotKeys({}, 0) if one_page_scope else None
     keys = [*scope, name]
@@ -39,6 +39,8 @@ def attach_ids(
         else:
             one = ids.groupBy(*keys).agg(F.min(F.struct(*values)).alias("__one")).select(*keys, "__one.*")
         return spread_join(rows, one, keys, hot=hot)
+    if one_page_scope:
+        return rows.join(ids, keys, "left").select(*rows.columns, *values)
     counted = ids.groupBy(*keys, *values).agg(F.count(F.lit(1)).alias(_COPIES))
     joined = spread_join(rows, counted, keys, hot=hot)
     copies = F.coalesce(F.col(_COPIES), F.lit(1)).cast("int")
