@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # joins of one page's parts share a partitioning by page, whatever else they match on
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # ids and dates are text and keep their leading zeros
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # a batch of pages handed to Python is bounded by bytes, not only by rows

@@ -53,6 +53,8 @@ def test_python_is_left_to_pages_and_charsets(plans):
         ("typed_select", 0), ("label_encode", 0), ("explode_zip", 0), ("href_extract", 0), ("vertical_concat", 0),
         ("missing_worklist_anti", 2), ("tiered_lookup", 2), ("group_mean_join_dev", 2), ("full_outer_payout", 2),
         ("name_join_dedup", 2), ("stored_mean_join", 2),
+        # runners, three kinds of links, two kinds of tickets, and their union
+        ("race_result_build", 7),
     ],
 )
 def test_shuffles(plans, name, count):
