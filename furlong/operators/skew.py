@@ -11,8 +11,8 @@ from furlong.session import cut_lineage
 # A key counts as hot from this many rows on; each slice of it then holds about as many.
 ROWS_PER_SLICE = 1_000_000
 # Most keys the heavy-hitter summary returns, hence the bound of what is collected and
-# broadcast. Any key beyond that holds less than a thousandth of the rows.
-MAX_HOT_KEYS = 1_000
+# broadcast. Any key beyond that holds less than a ten-thousandth of the rows.
+MAX_HOT_KEYS = 10_000
 TRACKED_KEYS = 20_000
 # Groups of tasks whose summaries are merged before the last step.
 MERGE_GROUPS = 512
@@ -83,9 +83,9 @@ def spread_join(
 ) -> DataFrame:
     """Equi-join of a large left side with hot keys to a right side that is narrow per key.
 
-    Rows of a hot key are cut into slices by a hash of the row and its partition, and only the
-    right rows of that key are repeated, once per slice. Left rows that lack a key are
-    spread as well. Where nothing is hot this is the plain join, and adaptive
+    Rows of a hot key are cut into slices by a hash of the row and its partition, and
+    only the right rows of that key are repeated, once per slice. Left rows that lack a
+    key are spread as well. Where nothing is hot this is the plain join, and adaptive
     execution turns it into a broadcast when the right side proves small at run time.
 
     ``hot`` is looked up in ``left`` unless it is given; give it when ``left`` is the

@@ -10,7 +10,6 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from typing import Any, NamedTuple
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -142,7 +141,7 @@ def fit_boosted(
     return Fitted(model, auc_of(model, valid), best)
 
 
-def score(model: GBTClassificationModel | PipelineModel, assembled: DataFrame) -> DataFrame:
+def score(model: GBTClassificationModel, assembled: DataFrame) -> DataFrame:
     """The probability of label 1 for each row."""
     probability = vector_to_array(F.col("probability"))[1]
     return model.transform(assembled).select(LABEL, probability.alias(SCORE))

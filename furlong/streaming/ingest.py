@@ -23,7 +23,9 @@ def first_copies(pages: DataFrame, keys: list[str], order: list[str]) -> DataFra
     return pages.groupBy(*keys).agg(first).select(*keys, *[F.col(f"__first.{c}").alias(c) for c in values])
 
 
-def land_batch(batch: DataFrame, batch_id: int, table: str, keys: list[str], content: str, order: list[str], by: str | None) -> None:
+def land_batch(
+    batch: DataFrame, batch_id: int, table: str, keys: list[str], content: str, order: list[str], by: str | None
+) -> None:
     """Append the pages of a micro-batch that are not held yet.
 
     Each batch owns a folder and overwrites it, so a batch that is run again after a

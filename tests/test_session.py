@@ -1,0 +1,29 @@
+from furlong import session
+
+
+def test_the_shared_folder_is_the_one_the_session_names(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    root = session.shared_root(spark)
+    if named:
+        assert root == named.rstrip("/")
+    assert session.shared_root(spark) == root or not named
+    assert session.scratch_path(spark, "x").startswith(f"{root}/furlong/x-") or not named
+    assert spark.sparkContext.getCheckpointDir()
+
+
+def test_scratch_paths_are_fresh(spark):
+    assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+
+
+def test_cut_lineage_keeps_rows_and_types(spark):
+    df = spark.range(10).selectExpr("id", "cast(id AS tinyint) AS b", "nullif(id, 3) AS n")
+    cut = session.cut_lineage(df)
+    assert cut.dtypes == df.dtypes
+    assert sorted(map(tuple, cut.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    assert "Range" not in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_settings_are_applied(spark):
+    session.configure(spark)
+    for key, value in session.SETTINGS.items():
+        assert spark.conf.get(key) == value
