@@ -195,6 +195,14 @@ FROM pages""",
 SELECT c_custkey, 'name' AS field, c_name AS value FROM customer
 UNION ALL SELECT c_custkey, 'segment', '<&> ' || c_mktsegment FROM customer
 UNION ALL SELECT c_custkey, 'nation', CAST(c_nationkey AS VARCHAR) FROM customer""",
+    "calendar_dates": """
+SELECT o_orderkey, CAST(1 AS INTEGER) AS link_no, strftime(o_orderdate, '%Y%m%d') AS race_date FROM orders""",
+    "day_race_ids": """
+SELECT strftime(o_orderdate, '%Y%m%d') AS race_date, CAST(1 AS INTEGER) AS item_no, CAST(o_orderkey AS VARCHAR) AS race_id
+FROM orders""",
+    "day_work_list": """
+SELECT DISTINCT strftime(o_orderdate, '%Y%m%d') AS race_date, CAST(o_orderkey AS VARCHAR) AS race_id
+FROM orders WHERE o_orderstatus <> 'F'""",
     "race_result_build": f"""
 WITH {RUNNERS}
 SELECT rank, no AS frame, no AS horse_number, horse_name,

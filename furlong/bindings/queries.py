@@ -12,7 +12,7 @@ from furlong.bindings import render
 from furlong.functions import text
 from furlong.functions.encode import decode_bytes, label_code
 from furlong.operators import aggregates, joins, project
-from furlong.plans import model, race_result
+from furlong.plans import model, monthly, race_result
 from furlong.plans.features import preprocess
 from furlong.session import configure, cut_lineage, scratch_path
 from furlong.sources import extract, tables
@@ -405,6 +405,29 @@ def class_table_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.read_stacked_tables(pages, ["c_custkey"], "html", ["field", "value"], "wanted")
 
 
+@query
+def calendar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = render.calendar_pages(load_for_python(spark, sf_dir, "orders", "o_orderkey"))
+    return monthly.race_dates(pages, ["o_orderkey"])
+
+
+@query
+def day_race_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monthly.race_ids(render.day_pages(load_for_python(spark, sf_dir, "orders", "o_orderkey")))
+
+
+@query
+def day_work_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = render.day_pages(load_for_python(spark, sf_dir, "orders", "o_orderkey"))
+    # the pages of one status have landed, those of another landed empty, the rest did not
+    landed = races(spark, sf_dir).filter(F.col("o_orderstatus") != "P").select(
+        "race_date",
+        F.col("o_orderkey").cast("string").alias("race_id"),
+        F.when(F.col("o_orderstatus") == "F", "<p>").otherwise("").alias("html"),
+    )
+    return monthly.pages_to_fetch(days, landed)
+
+
 @query
 def race_result_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = render.race_pages(load_for_python(spark, sf_dir, "orders", "o_orderkey"))

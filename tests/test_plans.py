@@ -42,7 +42,7 @@ def test_python_is_left_to_pages_and_charsets(plans):
     # the build reads its pages while it stages them, before this plan
     assert using == {
         "name_join_fanout", "link_extract", "list_item_ids", "first_table_extract", "card_table_extract", "class_table_union",
-        "decode_charset",
+        "decode_charset", "calendar_dates", "day_race_ids", "day_work_list",
     }
     assert not any("BatchEvalPython" in plan for plan in plans.values())
 
