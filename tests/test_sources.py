@@ -116,7 +116,7 @@ def test_bad_pages_fail_or_are_kept(spark):
 
 
 def test_an_empty_table_is_passed_over(spark):
-    page = "<table><tr><td> </td></tr></table><table><tr><th>a</tr><tr><td>x</table>"
+    page = '<table style="display:none"><tr><th>a<tr><td>h</table>' "<table><tr><td> </td></tr></table><table><tr><th>a</tr><tr><td>x</table>"
     df = spark.createDataFrame([(1, page)], "id int, html string")
     assert [r["a"] for r in extract.read_table(df, ["id"], "html", {"a": "a"}).collect()] == ["x"]
 
