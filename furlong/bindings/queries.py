@@ -504,7 +504,7 @@ MODEL_FEATURES = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
 
 
 def model_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Assembled train and valid rows, stored once: does a line cost more than 2,000 per piece?"""
+    """Assembled train and valid rows of one stored table: does a line cost more than 2,000 per piece?"""
     orders = races(spark, sf_dir).select(
         "o_orderkey",
         "race_date",
@@ -515,10 +515,9 @@ def model_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     lines = load(spark, sf_dir, "lineitem")
     rank = F.when(F.col("l_extendedprice") / F.col("l_quantity") > 2000, 1).otherwise(2)
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("rank", rank)
-    train, valid = model.split_by_date(rows, "race_date", TRAIN_FIRST, TRAIN_LAST)
-    return tuple(
-        cut_lineage(model.assemble(model.with_label(part), MODEL_FEATURES), "assembled") for part in (train, valid)
-    )
+    stored = cut_lineage(model.with_label(rows).select(*MODEL_FEATURES, "race_date", model.LABEL), "feature")
+    train, valid = model.split_by_date(stored, "race_date", TRAIN_FIRST, TRAIN_LAST)
+    return model.assemble(train, MODEL_FEATURES), model.assemble(valid, MODEL_FEATURES)
 
 
 @query
