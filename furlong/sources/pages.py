@@ -10,7 +10,7 @@ from furlong.functions.encode import decode_bytes
 from furlong.functions.text import path_value, stem_of_path
 from furlong.operators.project import between_dates
 from furlong.schemas import PAGE, PAGE_KEYS
-from furlong.sources.tables import read_dates
+from furlong.sources.tables import folders_in_range, read_dates
 
 # first date, last date (either may be None) -> pages (race_date, race_id, html)
 PageSource = Callable[[str | None, str | None], DataFrame]
@@ -25,12 +25,14 @@ def scan_pages(
 ) -> DataFrame:
     """Pages under ``<root>/race_date=<yyyyMMdd>/<race_id>.html`` within a date range.
 
-    The range becomes a partition filter, so folders outside it are never opened.
+    The range becomes a partition filter, and folders outside it are not even listed.
     Files that lie in no date folder are skipped. With ``charset`` the files are read
     as bytes and decoded; otherwise they are UTF-8 text.
     """
     reader = spark.read.option("recursiveFileLookup", "false").option("pathGlobFilter", "*.html")
-    dated = f"{root}/race_date=*"
+    bounded = first_date is not None or last_date is not None
+    folders = folders_in_range(spark, root, "race_date", first_date, last_date) if bounded else []
+    dated = folders or [f"{root}/race_date=*"]
     if charset is None:
         files = reader.option("basePath", root).text(dated, wholetext=True)
         html = F.col("value")

@@ -53,6 +53,21 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return reader.parquet(path)
 
 
+def folders_in_range(spark: SparkSession, root: str, by: str, first: str | None, last: str | None) -> list[str]:
+    """Folders ``<root>/<by>=<value>`` with a value in the range, read from the root alone.
+
+    Spark lists the files of every folder it is given before it applies a partition
+    filter; given these, it lists no file outside the range. Empty where the root has
+    another layout or nothing lies in the range.
+    """
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in system.listStatus(place)]
+    values = [name.removeprefix(f"{by}=") for name in names if name.startswith(f"{by}=")]
+    kept = [v for v in values if (first is None or v >= first) and (last is None or v <= last)]
+    return [f"{root}/{by}={value}" for value in sorted(kept)]
+
+
 def read_dates(
     spark: SparkSession,
     path: str,
@@ -61,8 +76,11 @@ def read_dates(
     last: str | None = None,
     schema: StructType | None = None,
 ) -> DataFrame:
-    """Rows of a date-partitioned table within a range; other folders are not read."""
-    table = read_table(spark, path, schema)
+    """Rows of a date-partitioned table within a range; other folders are neither read nor listed."""
+    bounded = first is not None or last is not None
+    folders = folders_in_range(spark, path, by, first, last) if bounded else []
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    table = reader.option("basePath", path).parquet(*(folders or [path]))
     return between_dates(table.withColumn(by, F.col(by).cast("string")), by, first, last)
 
 

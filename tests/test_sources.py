@@ -43,6 +43,23 @@ def test_range_is_a_partition_filter(spark, landed):
     assert "(race_date" in filters and ">= 20240106" in filters
 
 
+def test_folders_outside_the_range_are_not_listed(spark, landed):
+    files = pages.scan_pages(spark, landed, "20240106", "20240106").inputFiles()
+    assert len(files) == 2 and all("race_date=20240106" in f for f in files)
+    assert tables.folders_in_range(spark, landed, "race_date", "20240107", None) == [f"{landed}/race_date=20240107", f"{landed}/race_date=x1"]
+    assert tables.folders_in_range(spark, landed, "other", "20240107", None) == []
+    assert pages.scan_pages(spark, landed, "20250101").count() == 0
+
+
+def test_a_table_range_lists_its_folders_only(spark, folder):
+    df = spark.createDataFrame([("20240106", 1), ("20240107", 2), ("20240201", 3)], "race_date string, n int")
+    tables.write_partitioned(df, f"{folder}/t", "race_date")
+    some = tables.read_dates(spark, f"{folder}/t", "race_date", "20240107", "20240131")
+    assert [tuple(r) for r in some.select("race_date", "n").collect()] == [("20240107", 2)]
+    assert all("race_date=20240107" in f for f in some.inputFiles())
+    assert tables.read_dates(spark, f"{folder}/t", "race_date", "20250101").count() == 0
+
+
 def test_scan_decodes(spark, folder):
     land(folder, "20240106", "01", "<p>騎手</p>", "euc_jp")
     (row,) = pages.scan_pages(spark, folder, charset="euc_jp").collect()
