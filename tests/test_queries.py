@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as driver
+from furlong.bindings.oracle import ORACLE
+from furlong.bindings.queries import QUERIES
 from tests.compare import connect, duck_rows, duck_types, spark_rows
 
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "float": "FLOAT", "tinyint": "TINYINT",
 }
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -32,5 +33,10 @@ def test_every_sql_has_a_query():
     assert set(QUERIES) - set(ORACLE) == {"gbt_train_score", "hpo_random", "feature_importance"}
 
 
+def test_the_driver_gets_them_all():
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLE) <= set(driver.oracle_sql()) <= set(driver.queries())
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
