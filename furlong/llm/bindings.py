@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from furlong.llm.common import load, prepare
 from furlong.llm.exact_dedup import equal_texts
+from furlong.llm.simhash import near_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +24,11 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(load(spark, sf_dir, "documents"), width=4, max_bits=4)
+
+
 @query
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return equal_texts(load(spark, sf_dir, "documents"))
