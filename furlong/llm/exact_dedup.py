@@ -145,7 +145,7 @@ def equal_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     reps = rows.filter("n > 0").groupBy("id", "length", "digit").agg(F.sum("n").alias("n"))
     groups = cut_lineage(_sliced(rows.filter("n > 0").groupBy("length", "digit").agg(F.count("*").alias("rows"))), "digits")
     open_rows = cut_lineage(join_sized(reps, groups, ["length", "digit"], "rows"), "open")
-    open_rows = open_rows.join(source, "id").mapInArrow(
+    open_rows = source.join(open_rows.hint("merge"), "id").select("id", "length", "digit", "n", "slices", "text").mapInArrow(
         _fold, "id long, length long, digit binary, n long, slices long, text binary"
     )
 
