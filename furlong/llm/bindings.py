@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from furlong.llm import byte_bpe, mixing, quality
 from furlong.llm.common import load, prepare
 from furlong.llm.exact_dedup import equal_texts
 from furlong.llm.simhash import near_groups
@@ -29,11 +31,28 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(load(spark, sf_dir, "documents"), width=4, max_bits=4)
 
 
+@query
+def op4_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.schedule(load(spark, sf_dir, "documents"))
+
+
+@query
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return byte_bpe.coding_digest(byte_bpe.encode(load(spark, sf_dir, "documents"), path, pattern), path, pattern)
+
+
 @query
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return equal_texts(load(spark, sf_dir, "documents"))
 
 
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return quality.classify(docs, load(spark, sf_dir, "labels")).drop("text", "source", "lang")
+
+
 FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {
