@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from furlong.llm import byte_bpe, mixing, quality
+from furlong.llm import byte_bpe, kd_search, kd_shards, mixing, quality, token_store
 from furlong.llm.common import load, prepare
 from furlong.llm.exact_dedup import equal_texts
 from furlong.llm.simhash import near_groups
+from furlong.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,16 +27,34 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards.shard_by_bytes(load(spark, sf_dir, "documents"), shards=8)
+
+
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(load(spark, sf_dir, "documents"), width=4, max_bits=4)
 
 
+@query
+def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    token_store.write_tokens(load(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_store.token_index(token_store.read_tokens(spark, path))
+
+
 @query
 def op4_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(load(spark, sf_dir, "documents"))
 
 
+@query
+def op5_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = load(spark, sf_dir, "embeddings")
+    return kd_search.top_k(vectors, vectors.filter(F.col("vec_id") % 100 == 0), k=10)
+
+
 @query
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
