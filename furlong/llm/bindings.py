@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from furlong.llm import byte_bpe, kd_search, kd_shards, mixing, quality, token_store
+from furlong.llm import byte_bpe, kd_search, kd_shards, mixing, quality, suffix_dedup, token_store
 from furlong.llm.common import load, prepare
 from furlong.llm.exact_dedup import equal_texts
 from furlong.llm.simhash import near_groups
@@ -72,6 +72,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, load(spark, sf_dir, "labels")).drop("text", "source", "lang")
 
 
+@query
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.drop_repeats(load(spark, sf_dir, "documents"), length=200)
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {
