@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from furlong.llm import byte_bpe, kd_search, kd_shards, mixing, quality, suffix_dedup, token_store
+from furlong.llm import byte_bpe, kd_search, kd_shards, mixing, phrase_dedup, quality, suffix_dedup, token_store
 from furlong.llm.common import load, prepare
 from furlong.llm.exact_dedup import equal_texts
 from furlong.llm.simhash import near_groups
@@ -66,6 +66,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return equal_texts(load(spark, sf_dir, "documents"))
 
 
+@query
+def op8_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_dedup.drop_passages(load(spark, sf_dir, "documents"), length=50).drop("kept")
+
+
 @query
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
