@@ -5,6 +5,9 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import (
+    ArrayType, DataType, DoubleType, FloatType, IntegralType, LongType, MapType, StructType,
+)
 
 from furlong.session import cut_lineage
 
@@ -29,26 +32,54 @@ class HotKeys(NamedTuple):
     null_slices: int  # slices for the rows that lack a key
 
 
+def _wide(kind: DataType) -> DataType:
+    """The type in which equal keys of several number types hash alike."""
+    if isinstance(kind, IntegralType):
+        return LongType()
+    return DoubleType() if isinstance(kind, FloatType) else kind
+
+
+def _common_types(left: DataFrame, right: DataFrame, keys: list[str]) -> dict[str, DataType]:
+    """Per key the type that a join compares it in."""
+    types = {}
+    for key in keys:
+        kinds = {_wide(side.schema[key].dataType) for side in (left, right)}
+        types[key] = kinds.pop() if len(kinds) == 1 else _wide(left.select(key).union(right.select(key)).schema[0].dataType)
+    return types
+
+
+def _key_hash(keys: list[str], types: dict[str, DataType]) -> Column:
+    values = [F.col(key).cast(types[key]) for key in keys]
+    # -0.0 equals 0.0 in a join
+    return F.xxhash64(*[v + F.lit(0.0) if isinstance(types[k], DoubleType) else v for k, v in zip(keys, values)])
+
+
 def find_hot_keys(
-    df: DataFrame, key_sets: list[list[str]], rows_per_slice: int = ROWS_PER_SLICE
+    df: DataFrame,
+    key_sets: list[list[str]],
+    rows_per_slice: int = ROWS_PER_SLICE,
+    types: dict[str, DataType] | None = None,
 ) -> list[HotKeys]:
     """Heavy keys of several joins, found in one pass over the key columns.
 
     A mergeable summary of fixed size per key set is all that leaves the tasks. It
     only steers how work is spread: a key that is missed, or hit by chance because of
-    an equal hash, changes no result.
+    an equal hash, changes no result. ``types``: in which the keys are compared, if not
+    in their own. A table without rows has no hot keys.
     """
     sets = range(len(key_sets))
+    types = types or {key: _wide(df.schema[key].dataType) for keys in key_sets for key in keys}
     hashed = df.select(
         F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("g"),
-        *[F.when(_all_present(keys), F.xxhash64(*keys)).alias(f"h{i}") for i, keys in enumerate(key_sets)],
+        *[F.when(_all_present(keys), _key_hash(keys, types)).alias(f"h{i}") for i, keys in enumerate(key_sets)],
     )
     # merged in two steps, so that no task takes in the summaries of all others
     merged = hashed.groupBy("g").agg(
         *[F.expr(f"approx_top_k_accumulate(h{i}, {TRACKED_KEYS})").alias(f"state{i}") for i in sets],
         *[F.count_if(F.col(f"h{i}").isNull()).alias(f"nulls{i}") for i in sets],
     )
-    found = merged.agg(
+    # by a constant, so that a partition without rows adds nothing instead of an empty summary
+    found = merged.groupBy(F.lit(True)).agg(
         *[
             F.expr(f"approx_top_k_estimate(approx_top_k_combine(state{i}, {TRACKED_KEYS}), {MAX_HOT_KEYS})").alias(f"top{i}")
             for i in sets
@@ -56,6 +87,8 @@ def find_hot_keys(
         *[F.sum(f"nulls{i}").alias(f"nulls{i}") for i in sets],
     ).first()
     out = []
+    if found is None:
+        return [HotKeys({}, 0) for _ in sets]
     for i in sets:
         hot = {
             item["item"]: -(-item["count"] // rows_per_slice)
@@ -66,6 +99,24 @@ def find_hot_keys(
     return out
 
 
+def _hashable(df: DataFrame) -> list[Column]:
+    """The columns that can be hashed; of a map its entries."""
+
+    def has_map(kind: DataType) -> bool:
+        if isinstance(kind, StructType):
+            return any(has_map(f.dataType) for f in kind.fields)
+        return isinstance(kind, MapType) or (isinstance(kind, ArrayType) and has_map(kind.elementType))
+
+    out = []
+    for field in df.schema.fields:
+        column, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, MapType) and not has_map(kind.keyType) and not has_map(kind.valueType):
+            out.append(F.map_entries(column))
+        elif not has_map(kind):
+            out.append(column)
+    return out
+
+
 def _all_present(keys: list[str]) -> Column:
     present = F.lit(True)
     for key in keys:
@@ -93,8 +144,9 @@ def spread_join(
     """
     if how not in ("left", "inner"):
         raise ValueError(f"spread_join keeps or drops left rows only: how={how!r}")
+    types = _common_types(left, right, keys)
     if hot is None:
-        hot = find_hot_keys(left, [keys], rows_per_slice)[0]
+        hot = find_hot_keys(left, [keys], rows_per_slice, types)[0]
     rest = [c for c in right.columns if c not in keys]
     if not hot.slices and hot.null_slices <= 1:
         return left.join(right, keys, how).select(*left.columns, *rest)
@@ -103,9 +155,9 @@ def spread_join(
     table = F.broadcast(spark.createDataFrame(list(hot.slices.items()), f"{_HASH} long, {_SLICES} int"))
     # the partition number parts exact copies of a row; unlike a random number it is the
     # same again when a lost task is run once more
-    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in left.columns])
+    row_hash = F.xxhash64(F.spark_partition_id(), *_hashable(left))
     sliced_left = (
-        left.withColumn(_HASH, F.xxhash64(*keys))
+        left.withColumn(_HASH, _key_hash(keys, types))
         .join(table, _HASH, "left")
         .withColumn(
             _SLICE,
@@ -118,7 +170,7 @@ def spread_join(
     )
     sliced_right = (
         right.filter(_all_present(keys))
-        .withColumn(_HASH, F.xxhash64(*keys))
+        .withColumn(_HASH, _key_hash(keys, types))
         .join(table, _HASH, "left")
         .withColumn(_SLICE, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SLICES), F.lit(1)) - 1)))
         .drop(_HASH, _SLICES)

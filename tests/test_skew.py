@@ -1,5 +1,6 @@
 """Hot keys, null keys and copies change how work is spread, never what comes out."""
 
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -52,6 +53,83 @@ def test_slices_share_the_hot_rows(spark, rows):
     assert "spark_partition_id" in plan.lower()
 
 
+def exchanges(df):
+    return re.findall(r"Exchange hashpartitioning\(([^)]*)\)", df._jdf.queryExecution().executedPlan().toString())
+
+
+def sliced_calls(spark, rows):
+    """Every caller of spread_join, on rows of which a third has one key."""
+    lists = spark.createDataFrame([("hot", "a"), ("hot", "b"), ("k1", "c")], "k string, name string")
+    names = rows.withColumn("name", F.lit("a"))
+    return {
+        "attach_mean": lambda: joins.attach_mean(rows, aggregates.mean_per_key(rows, "k", "v", "m"), "k"),
+        "attach_ids": lambda: joins.attach_ids(names, lists.withColumn("id", F.col("name")), ["k"], "name", dedupe=True),
+        "attach_payouts": lambda: joins.attach_payouts(rows, aggregates.mean_per_key(rows, "k", "v", "m"), ["k"]),
+        "deviation": lambda: aggregates.deviation_from_mean(rows, "k", "v", "m", "dev"),
+        "dictionary": lambda: aggregates.dictionary_encode(rows, ["k"]),
+    }
+
+
+@pytest.mark.parametrize("call", ["attach_mean", "attach_ids", "attach_payouts", "deviation", "dictionary"])
+def test_slices_reach_the_exchange_of_both_sides(spark, rows, call, monkeypatch):
+    from furlong.operators import skew
+
+    monkeypatch.setattr(skew.find_hot_keys, "__defaults__", (1000, None))
+    monkeypatch.setattr(skew.spread_join, "__defaults__", ("left", None, 1000))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = sliced_calls(spark, rows)[call]()
+        found = exchanges(joined)
+        assert sum("__slice" in keys for keys in found) >= 2, found
+        largest = max(r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+        assert largest < 10_000  # the hot key alone has as many rows
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("left, right", [("int", "bigint"), ("bigint", "smallint"), ("float", "double")])
+def test_slices_of_unlike_number_types(spark, left, right):
+    many = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).cast(left).alias("k"), "id")
+    few = spark.range(50).select(F.col("id").cast(right).alias("k"), F.col("id").alias("w"))
+    spread = spread_join(many, few, ["k"], rows_per_slice=100)
+    assert spread.filter("w IS NULL").count() == 0 and spread.count() == 3000
+
+
+def test_zero_equals_minus_zero_when_sliced(spark):
+    many = spark.createDataFrame([(0.0,), (-0.0,)] * 500, "k double")
+    spread = spread_join(many, spark.createDataFrame([(-0.0, 1)], "k double, w int"), ["k"], rows_per_slice=100)
+    assert spread.filter("w = 1").count() == 1000
+
+
+def test_slices_of_rows_with_maps(spark, rows):
+    mapped = rows.withColumns({"m": F.create_map(F.lit("a"), F.col("v")), "deep": F.array(F.create_map(F.lit("a"), F.col("v")))})
+    spread = spread_join(mapped, spark.createDataFrame([("hot", 1)], "k string, w int"), ["k"], rows_per_slice=1000)
+    assert spread.filter("w = 1").count() == 10000
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_no_rows_and_no_adaptive_execution(spark, rows, adaptive):
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        right = spark.createDataFrame([("hot", 1)], "k string, w int")
+        assert spread_join(rows.filter("false"), right, ["k"]).count() == 0
+        assert find_hot_keys(rows.filter("false"), [["k"], ["v"]]) == [({}, 0), ({}, 0)]
+        assert spread_join(rows, right, ["k"], rows_per_slice=1000).filter("w = 1").count() == 10000
+        empty = spark.createDataFrame([], rows.schema)
+        assert spread_join(empty, right, ["k"]).count() == 0
+        assert aggregates.deviation_from_mean(empty, "k", "v", "m", "d").count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_other_joins_are_refused(rows):
     with pytest.raises(ValueError):
         spread_join(rows, rows, ["k"], "full")
