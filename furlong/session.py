@@ -14,8 +14,6 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # joins of one page's parts share a partitioning by page, whatever else they match on
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # ids and dates are text and keep their leading zeros
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # a batch of pages handed to Python is bounded by bytes, not only by rows
@@ -47,14 +45,22 @@ def local_session(cpus: str = "*", **extra: str) -> SparkSession:
     return configure(spark)
 
 
+def is_one_machine(master: str) -> bool:
+    """Whether the executors are threads of the driver."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: the cluster's checkpoint folder.
 
-    Only where neither the setting nor the context names one (tests on one machine)
-    is a folder made here.
+    Only where neither the setting nor the context names one, and all runs on one
+    machine (tests), is a folder made here. On a cluster that is an error: executors
+    would each write to a disk of their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not is_one_machine(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
@@ -63,7 +69,21 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unused path in the shared folder."""
-    return f"{shared_root(spark)}/furlong/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def run_folder(spark: SparkSession) -> str:
+    """What this application keeps in the shared folder."""
+    return f"{shared_root(spark)}/furlong/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application, once no result is read any more.
+
+    Nothing else deletes them: a result may be read long after the call that returned it.
+    """
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:

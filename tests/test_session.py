@@ -1,3 +1,5 @@
+import pytest
+
 from furlong import session
 
 
@@ -7,10 +9,24 @@ def test_the_shared_folder_is_the_one_the_session_names(spark):
     if named:
         assert root == named.rstrip("/")
     assert session.shared_root(spark) == root or not named
-    assert session.scratch_path(spark, "x").startswith(f"{root}/furlong/x-") or not named
+    assert session.scratch_path(spark, "x").startswith(f"{root}/furlong/{spark.sparkContext.applicationId}/x-") or not named
     assert spark.sparkContext.getCheckpointDir()
 
 
+def test_a_cluster_needs_a_shared_folder():
+    class Cluster:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_root(Cluster)
+    assert session.is_one_machine("local[4]") and not session.is_one_machine("local-cluster[3,2,1024]")
+
+
 def test_scratch_paths_are_fresh(spark):
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
 
