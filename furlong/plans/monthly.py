@@ -56,8 +56,8 @@ def with_source_names(rows: DataFrame) -> DataFrame:
 
 
 def store_month(frames: list[DataFrame], path: str) -> None:
-    """Stack result rows and write them by month."""
-    write_monthly(concat_rows(frames), path, "race_date")
+    """Stack result rows and write them by month; months that are there already are replaced, others stay."""
+    write_monthly(concat_rows(frames), path, "race_date", mode="overwrite")
 
 
 def horses_per_date(rows: DataFrame) -> DataFrame:
@@ -69,6 +69,7 @@ class Month(NamedTuple):
     rows: DataFrame
     horses: DataFrame  # race_date, part, horse_ids
     missing: DataFrame  # race_date, race_id of listed races without a page
+    rejects: DataFrame  # race_date, race_id, error of listed races whose page cannot be read
 
 
 def collect_month(
@@ -78,13 +79,14 @@ def collect_month(
 
     ``calendar_pages`` holds ``html``, ``day_pages`` ``race_date, html`` and
     ``result_pages`` ``race_date, race_id, html``. Races whose page has not landed are
-    listed as missing.
+    listed as missing, those whose page cannot be read as rejects.
     """
     dates = race_dates(calendar_pages, []).select("race_date").distinct()
     days = day_pages.join(dates, "race_date", "left_semi")
     listed = race_ids(days).select(*PAGE_KEYS).distinct()
-    wanted = result_pages.join(listed, PAGE_KEYS, "left_semi")
-    built = build_race_results(wanted)
+    wanted = result_pages.filter(F.length("html") > 0).join(listed, PAGE_KEYS, "left_semi")
+    built = build_race_results(wanted, stage=True)
     store_month([with_source_names(built.rows)], path)
     rows = read_stored(spark, path)
-    return Month(rows, horses_per_date(rows), still_missing(listed, result_pages, PAGE_KEYS, content="html"))
+    missing = still_missing(listed, result_pages, PAGE_KEYS, content="html")
+    return Month(rows, horses_per_date(rows), missing, built.rejects)

@@ -1,3 +1,5 @@
+import pytest
+
 from furlong import fixed_values as fixed
 from furlong.plans import monthly
 from furlong.schemas import PAGE
@@ -65,19 +67,21 @@ def test_a_month_is_stored(spark, folder):
     assert lists == {"20240106": ["h1", "h1", "h2"]}
 
 
-def test_collect_month(spark, folder):
+@pytest.mark.parametrize("broken", ["", "<p>nothing</p>"])
+def test_collect_month(spark, folder, broken):
     calendar = '<table class="Calendar_Table"><tr><td><a href="?kaisai_date=20240106">6</a></table>'
     page = result_page([(runner(), ("h01", "j01", "t01")), (runner(horse_number="6", horse_name="コマ", jockey_name="騎手乙", trainer_name="伊藤"), ("h02", "j02", "t02"))])
     month = monthly.collect_month(
         spark,
         spark.createDataFrame([(calendar,)], "html string"),
         spark.createDataFrame([("20240106", DAY), ("20240107", DAY)], "race_date string, html string"),
-        spark.createDataFrame([("20240106", "202406010101", page), ("20240106", "other", page)], PAGE),
+        spark.createDataFrame([("20240106", "202406010101", page), ("20240106", "other", page), ("20240106", "202406010102", broken)], PAGE),
         f"{folder}/m",
     )
+    assert [r["race_id"] for r in month.rejects.collect()] == [reject for reject in ["202406010102"] if broken]
     rows = month.rows.collect()
     assert {(r["race_id"], r["horse_number"], r["馬名"], r["着 順"]) for r in rows} == {
         ("202406010101", "5", "ウマ", "1"), ("202406010101", "6", "コマ", "1"),
     }
     assert [(r["race_date"], r["horse_ids"]) for r in month.horses.collect()] == [("20240106", ["h01", "h02"])]
-    assert [tuple(r) for r in month.missing.collect()] == [("20240106", "202406010102")]
+    assert [tuple(r) for r in month.missing.collect()] == ([] if broken else [("20240106", "202406010102")])
