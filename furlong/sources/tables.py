@@ -15,6 +15,8 @@ from furlong.functions.text import year_month
 from furlong.operators.project import between_dates
 
 MAX_RECORDS_PER_FILE = 5_000_000
+# names with an underscore in front are passed over by readers
+PUBLISHED = "_published"
 
 
 def write_partitioned(
@@ -22,6 +24,9 @@ def write_partitioned(
 ) -> None:
     """Write one folder per value of a column.
 
+    ``mode="overwrite"`` replaces the folders of the values that are written and leaves the
+    others.
+
     Rows are gathered by value first, so a value has few files. The rebalance hint lets
     adaptive execution split a value that is far larger than the others over several
     tasks and merge small ones.
@@ -30,6 +35,7 @@ def write_partitioned(
         df.hint("rebalance", F.col(by))
         .write.partitionBy(by)
         .option("maxRecordsPerFile", max_records)
+        .option("partitionOverwriteMode", "dynamic")
         .mode(mode)
         .parquet(path)
     )
@@ -101,20 +107,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def is_published(spark: SparkSession, path: str) -> bool:
-    """Whether a write to this path was finished: Spark's success mark is there."""
-    return path_exists(spark, f"{path}/_SUCCESS")
+    """Whether a write to this path was finished: ``publish`` has left its mark, the last file it writes."""
+    return path_exists(spark, f"{path}/{PUBLISHED}")
+
+
+def _mark_published(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{PUBLISHED}")
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(place, True).close()
 
 
 def publish(df: DataFrame, root: str, version: str, name: str, replace: bool = False) -> str:
     """Write a table under a version.
 
-    A finished version stays as it is unless ``replace`` is set; what is left of a
-    write that did not finish is always replaced.
+    Whatever is at the path stays as it is unless ``replace`` is set: a finished version,
+    or a folder without the mark of one, which may be what a write left that broke off.
     """
     path = version_path(root, version, name)
-    if not replace and is_published(df.sparkSession, path):
-        raise FileExistsError(path)
+    if not replace and path_exists(df.sparkSession, path):
+        state = "is there" if is_published(df.sparkSession, path) else "holds an unfinished version"
+        raise FileExistsError(f"{path} {state}")
     df.write.mode("overwrite").parquet(path)
+    _mark_published(df.sparkSession, path)
     return path
 
 

@@ -9,10 +9,14 @@ from furlong.schemas import PAGE_KEYS
 from furlong.sources.tables import path_exists
 
 BATCH = "ingest_batch"
+LANDED_AT = "landed_at"
 
 
 def first_copies(pages: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the non-empty copy that landed first.
+    """One row per key: the copy that is first by ``order``.
+
+    Copies that ``order`` leaves equal, all of them if it is empty, are told apart by their
+    other values, the smallest first; that is some copy, but always the same one.
 
     Copies are reduced to one per task before the shuffle, so a page that landed a
     million times moves a few times only.
@@ -30,7 +34,8 @@ def land_batch(
 
     Each batch owns a folder and overwrites it, so a batch that is run again after a
     failure leaves the same rows. Held keys are looked up among earlier batches, and
-    only in the range of partitions this batch touches.
+    only in the range of partitions this batch touches, or that have no value. ``by``
+    must be one of the keys or follow from them.
     """
     spark = batch.sparkSession
     new = first_copies(batch.filter(F.length(content) > 0), keys, order)
@@ -38,7 +43,7 @@ def land_batch(
     if held is not None:
         if by is not None:
             touched = batch.agg(F.min(by).alias("lo"), F.max(by).alias("hi")).first()
-            held = held.filter(F.col(by).between(touched["lo"], touched["hi"]))
+            held = held.filter(F.col(by).between(touched["lo"], touched["hi"]) | F.col(by).isNull())
         new = new.join(held.select(*keys), keys, "left_anti")
     writer = new.select(*batch.columns).hint("rebalance", *([F.col(by)] if by else [])).write.mode("overwrite")
     if by is not None:
@@ -70,11 +75,14 @@ def ingest(
     """Process all files that are new since the last call, then stop.
 
     ``source`` is a streaming DataFrame. No state is held between batches: what has
-    landed is known from the table itself, however many pages there are.
+    landed is known from the table itself, however many pages there are. Of copies in one
+    batch the first by ``order`` stays; without it, by ``landed_at`` where there is one.
     """
+    if order is None:
+        order = [LANDED_AT] if LANDED_AT in source.columns else []
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        land_batch(batch, batch_id, table, keys, content, order or [], by)
+        land_batch(batch, batch_id, table, keys, content, order, by)
 
     query = (
         source.writeStream.foreachBatch(land)
@@ -96,5 +104,5 @@ def page_stream(spark: SparkSession, root: str, max_files: int = 100_000) -> Dat
         "race_date",
         F.regexp_extract("_metadata.file_path", r"([^/]+)\.html$", 1).alias("race_id"),
         F.col("value").alias("html"),
-        F.col("_metadata.file_modification_time").alias("landed_at"),
+        F.col("_metadata.file_modification_time").alias(LANDED_AT),
     )

@@ -38,6 +38,13 @@ def test_increments_equal_one_batch(spark, folder):
     assert run(spark, f"{folder}/again") == both
 
 
+def test_a_page_without_a_date_lands_once(spark, folder):
+    batch = spark.createDataFrame([(None, "01", "a"), ("20240106", "02", "b")], PAGE)
+    for batch_id, rows in enumerate((batch, batch, batch.filter("race_date IS NULL"))):
+        land_batch(rows, batch_id, f"{folder}/table", ["race_id"], "html", [], "race_date")
+    assert sorted(r["race_id"] for r in read_landed(spark, f"{folder}/table", PAGE).collect()) == ["01", "02"]
+
+
 def test_a_batch_may_run_twice(spark, folder):
     table = f"{folder}/table"
     keys = ["race_date", "race_id"]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from furlong.bindings.render import encode_text
 from furlong.functions.encode import decode_bytes
+from furlong.plans.monthly import store_month
 from furlong.sources import extract, pages, tables
 
 
@@ -116,10 +117,30 @@ def test_versions(spark, folder):
         tables.publish(df, folder, "v1", "t")
 
 
-def test_unfinished_write_is_no_version(spark, folder):
-    path = tables.publish(spark.range(5), folder, "v1", "t")
-    os.remove(f"{path}/_SUCCESS")
-    assert tables.read_or_build(spark, folder, "v1", "t", lambda: spark.range(9)).count() == 9
+def test_unfinished_write_is_no_version_and_no_rubbish(spark, folder):
+    path = tables.version_path(folder, "v1", "t")
+    spark.range(5).write.parquet(path)
+    with pytest.raises(FileExistsError, match="unfinished"):
+        tables.read_or_build(spark, folder, "v1", "t", lambda: spark.range(9))
+    tables.publish(spark.range(9), folder, "v1", "t", replace=True)
+    assert tables.read_or_build(spark, folder, "v1", "t", lambda: spark.range(1)).count() == 9
+
+
+def test_a_version_without_success_marks_is_finished(spark, folder):
+    spark.sparkContext._jsc.hadoopConfiguration().set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        tables.publish(spark.range(5), folder, "v1", "t")
+        with pytest.raises(FileExistsError, match="is there"):
+            tables.publish(spark.range(9), folder, "v1", "t")
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_a_second_month_leaves_the_first(spark, folder):
+    schema = "race_date string, n int"
+    for rows in ([("20240106", 1), ("20240207", 2)], [("20240301", 3)], [("20240208", 4)]):
+        store_month([spark.createDataFrame(rows, schema)], f"{folder}/m")
+    assert sorted(r["n"] for r in spark.read.parquet(f"{folder}/m").collect()) == [1, 3, 4]
 
 
 def test_bad_pages_fail_or_are_kept(spark):
