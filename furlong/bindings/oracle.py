@@ -32,8 +32,8 @@ links AS (
 )"""
 
 SIDES = """
-w AS (SELECT user_id, max(value) AS win_payout FROM events WHERE value > 60 AND event_type = 'purchase' GROUP BY 1),
-p AS (SELECT user_id, max(value) AS place_payout FROM events WHERE value > 60 AND event_type = 'signup' GROUP BY 1),
+w AS (SELECT user_id, max(value) AS win_payout FROM events WHERE event_type = 'purchase' GROUP BY 1),
+p AS (SELECT user_id, max(value) AS place_payout FROM events WHERE event_type = 'signup' GROUP BY 1),
 payouts AS (SELECT user_id, win_payout, place_payout FROM w FULL JOIN p USING (user_id))
 """
 
@@ -110,6 +110,11 @@ SELECT r.*, supplier_cat, flag_cat FROM r LEFT JOIN s USING (supplier) LEFT JOIN
 SELECT * FROM (SELECT p_partkey, nullif(p_name, 'red bolt') AS p_name FROM part) WHERE NOT contains(p_name, 'ring')""",
     "filter_not_in": """
 SELECT * FROM (SELECT o_orderkey, nullif(o_orderstatus, 'O') AS o_orderstatus FROM orders) WHERE o_orderstatus NOT IN ('P')""",
+    "stored_code_encode": """
+WITH codes AS (SELECT l_partkey, row_number() OVER (ORDER BY l_partkey) - 1 AS code
+               FROM (SELECT DISTINCT l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1993-01-01'))
+SELECT l_orderkey, l_linenumber, l_partkey, code AS l_partkey_cat
+FROM lineitem LEFT JOIN codes USING (l_partkey) WHERE l_shipdate >= TIMESTAMP '1993-01-01'""",
     "filter_date_between": """
 SELECT * FROM (SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS race_date FROM orders)
 WHERE race_date BETWEEN '19960101' AND '19961231'""",

@@ -191,8 +191,8 @@ def filter_not_in(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def filter_date_between(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dated = races(spark, sf_dir).select("o_orderkey", "race_date")
-    return project.between_dates(dated, "race_date", "19960101", "19961231")
+    orders = project.between_days(load(spark, sf_dir, "orders"), "o_orderdate", "19960101", "19961231")
+    return orders.select("o_orderkey", yyyymmdd("o_orderdate").alias("race_date"))
 
 
 @query
@@ -232,8 +232,8 @@ def name_join_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_payouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Largest value above 60 per user, purchases against sign-ups."""
-    events = load(spark, sf_dir, "events").filter(F.col("value") > 60)
+    """Largest value per user, purchases against sign-ups."""
+    events = load(spark, sf_dir, "events")
 
     def side(kind: str, name: str) -> DataFrame:
         return events.filter(F.col("event_type") == kind).groupBy("user_id").agg(F.max("value").alias(name))
@@ -275,6 +275,19 @@ def stored_mean_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({"mean": F.round("mean", 6), "dev": F.round("dev", 6)})
 
 
+@query
+def stored_code_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes given to the parts of earlier lines, stored, and looked up for later ones; new parts have none."""
+    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    cut = F.lit("1993-01-01").cast("timestamp_ntz")
+    root = scratch_path(spark, "codes")
+    codes = aggregates.dictionary(lines.filter(F.col("l_shipdate") < cut), "l_partkey", "l_partkey_cat")
+    tables.publish(codes, root, "v1", "l_partkey_codes")
+    stored = tables.read_version(spark, root, "v1", "l_partkey_codes")
+    later = lines.filter(F.col("l_shipdate") >= cut).drop("l_shipdate")
+    return aggregates.encode_with(later, {"l_partkey": stored})
+
+
 @query
 def missing_worklist_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.still_missing(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), ["doc_id"])
@@ -431,13 +444,13 @@ def day_work_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def race_result_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = render.race_pages(load_for_python(spark, sf_dir, "orders", "o_orderkey"))
-    return race_result.build_race_results(pages).rows
+    return race_result.build_race_results(pages, errors="raise").rows
 
 
 @query
 def race_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = render.race_pages(load_for_python(spark, sf_dir, "orders", "o_orderkey"))
-    raw = cut_lineage(race_result.build_race_results(pages, dedupe_ids=True).rows, "race_result")
+    raw = cut_lineage(race_result.build_race_results(pages, dedupe_ids=True, errors="raise").rows, "race_result")
     feature = preprocess(raw)["feature"]
     return feature.withColumns({c: F.round(c, 6) for c in ("weight_diff_avg", "horse_weight_diff_dev")})
 

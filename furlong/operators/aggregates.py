@@ -94,10 +94,15 @@ def dictionary(rows: DataFrame, column: str, code: str) -> DataFrame:
     return row_numbers(distinct, [column], code)
 
 
-def dictionary_encode(rows: DataFrame, columns: list[str], suffix: str = "_cat") -> DataFrame:
-    """Add a dense code per value of each column; a missing value has no code."""
-    hot = find_hot_keys(rows, [[column] for column in columns])
+def encode_with(rows: DataFrame, dictionaries: dict[str, DataFrame]) -> DataFrame:
+    """Look up each column's code, or whatever else its dictionary holds per value; unknown and missing values get null."""
+    hot = find_hot_keys(rows, [[column] for column in dictionaries])
     encoded = rows
-    for column, spread in zip(columns, hot):
-        encoded = spread_join(encoded, dictionary(rows, column, f"{column}{suffix}"), [column], hot=spread)
+    for (column, codes), spread in zip(dictionaries.items(), hot):
+        encoded = spread_join(encoded, codes, [column], hot=spread)
     return encoded
+
+
+def dictionary_encode(rows: DataFrame, columns: list[str], suffix: str = "_cat") -> DataFrame:
+    """Add a dense code per value of each column; a missing value has no code."""
+    return encode_with(rows, {column: dictionary(rows, column, f"{column}{suffix}") for column in columns})

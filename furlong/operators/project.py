@@ -58,6 +58,16 @@ def between_dates(df: DataFrame, column: str, first: str | None = None, last: st
     return df
 
 
+def between_days(df: DataFrame, column: str, first: str, last: str) -> DataFrame:
+    """Rows whose timestamp or date lies on a day from ``first`` to ``last`` (yyyyMMdd), both included.
+
+    The bounds are compared with the column itself, so the filter reaches the scan.
+    """
+    kind = df.schema[column].dataType
+    start, end = (F.to_date(F.lit(day), "yyyyMMdd") for day in (first, last))
+    return df.filter((F.col(column) >= start.cast(kind)) & (F.col(column) < F.date_add(end, 1).cast(kind)))
+
+
 def after_date(df: DataFrame, column: str, date: str) -> DataFrame:
     return df.filter(F.col(column) > date)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from typing import Any, NamedTuple
@@ -46,14 +46,14 @@ def with_label(df: DataFrame, rank: str = "rank") -> DataFrame:
     return df.withColumn(LABEL, is_first(rank))
 
 
-def assemble(df: DataFrame, features: list[str]) -> DataFrame:
+def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Feature columns by name, in order, as one vector beside the label.
 
     Codes are fed as plain numbers: declared as categories they would have to fit into
     the bins of a tree, which ids do not.
     """
     numbers = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(c) for c in features], LABEL)
-    return VectorAssembler(inputCols=features, outputCol="features").transform(numbers).select("features", LABEL)
+    return VectorAssembler(inputCols=list(features), outputCol="features").transform(numbers).select("features", LABEL)
 
 
 class Fitted(NamedTuple):
@@ -121,26 +121,34 @@ def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
 def fit_boosted(
     train: DataFrame, valid: DataFrame, params: dict[str, Any] | None = None, max_rounds: int = 300, patience: int = 20
 ) -> Fitted:
-    """Boosted trees on assembled data, stopped where the loss on ``valid`` stops falling.
+    """Boosted trees on assembled data, up to where the loss on ``valid`` stopped falling.
 
-    MLlib's own stop gives up at the first round without gain. Here the number of
-    rounds is doubled until ``patience`` rounds brought nothing, and the model is
-    fitted up to the best round; trees are seeded by round, so it is the same model.
+    MLlib's own stop gives up at the first round without gain. Here all rounds are fitted
+    once, and the model is cut behind the best round before ``patience`` rounds brought
+    nothing: the first trees of a boosted model are the model of that many rounds.
     """
     shared_root(train.sparkSession)
-    params = {**BASE_PARAMS, **(params or {})}
-    rounds = min(max_rounds, max(2 * patience, 1))
-    while True:
-        model = _fit_rounds(train, params, rounds)
-        best, stopped = best_round(list(model.evaluateEachIteration(valid)), patience)
-        if stopped or rounds >= max_rounds:
-            break
-        rounds = min(2 * rounds, max_rounds)
-    if best < rounds:
-        model = _fit_rounds(train, params, best)
+    model = _fit_rounds(train, {**BASE_PARAMS, **(params or {})}, max_rounds)
+    best, _ = best_round(list(model.evaluateEachIteration(valid)), patience)
+    model = first_rounds(model, best)
     return Fitted(model, auc_of(model, valid), best)
 
 
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model of the first so many trees of a boosted one."""
+    if rounds >= model.getNumTrees:
+        return model
+    context = SparkSession.active().sparkContext
+    gateway, jvm, whole = context._gateway, context._jvm, model._java_obj
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = whole.trees()[i], model.treeWeights[i]
+    kind = jvm.org.apache.spark.ml.classification.GBTClassificationModel
+    cut = GBTClassificationModel(kind(whole.uid(), trees, weights, whole.numFeatures(), whole.numClasses()))
+    return cut._set(**{param.name: model.getOrDefault(param) for param in model.params if model.isSet(param)})
+
+
 def score(model: GBTClassificationModel, assembled: DataFrame) -> DataFrame:
     """The probability of label 1 for each row."""
     probability = vector_to_array(F.col("probability"))[1]
@@ -186,7 +194,7 @@ def search(
     return best.params, done
 
 
-def importance(model: GBTClassificationModel, features: list[str], kind: str = "gain") -> DataFrame:
+def importance(model: GBTClassificationModel, features: Sequence[str], kind: str = "gain") -> DataFrame:
     """Feature names with their share of the gain, or with how often they are split on ("weight")."""
     if kind not in ("gain", "weight"):
         raise ValueError(f"kind={kind!r}")

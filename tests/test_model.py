@@ -110,5 +110,5 @@ def test_search_spaces_draw_valid_parameters(name):
 
 def test_config():
     dates = {"train_first_date": "20240101", "train_last_date": "20240131", "data_version": "d", "model_version": "m"}
-    assert TrainConfig(**dates, features="a,b").feature_columns == ["a", "b"]
+    assert TrainConfig(**dates, feature_columns=("a", "b")).feature_columns == ("a", "b")
     assert len(TrainConfig(**dates).feature_columns) == 17

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from furlong.plans.features import preprocess
+from furlong.plans.features import CATEGORIES, codes_name, preprocess
 from furlong.plans.model import SCORE, assemble, score, with_label
 from furlong.plans.race_result import build_race_cards
 from furlong.plans.training import TrainConfig, train_and_publish
@@ -65,6 +65,9 @@ def test_training_run(spark, page_root, folder):
     # a coming race: card page to probabilities, with the stored means
     card = card_page([(runner(horse_number=str(i), horse_name=f"馬{i}", odds=str(1.0 + i), jockey_name=f"騎{i}", trainer_name=f"師{i}"), (f"h0{i}", "j1", "t1")) for i in range(1, 4)])
     cards = build_race_cards(spark.createDataFrame([("20240121", "0001", card)], PAGE)).rows
-    coming = preprocess(cards, means, mode="predict")["feature"].selectExpr("*", "0 AS rank")
+    codes = {c: tables.read_version(spark, f"{folder}/data", "d1", codes_name(c)) for c in CATEGORIES}
+    coming = preprocess(cards, means, codes, mode="predict")["feature"].selectExpr("*", "0 AS rank")
+    known = {r["horse_id"]: (r["horse_id_cat"], r["weight_diff_avg"]) for r in feature.collect()}
+    assert {r["horse_id"]: (r["horse_id_cat"], r["weight_diff_avg"]) for r in coming.collect()} == {f"h0{i}": known[f"h0{i}"] for i in range(1, 4)}
     scored = score(stored, assemble(with_label(coming), config.feature_columns)).collect()
     assert len(scored) == 3 and all(0 <= r[SCORE] <= 1 for r in scored)
