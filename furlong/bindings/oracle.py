@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from furlong import fixed_values as fixed
+
 # white space as the text functions understand it
 SPACE = r"[\s\x0b\x{85}\p{Z}]"
 WORD = r"[\p{L}\p{N}_]"
@@ -59,6 +61,12 @@ runners AS (
     FROM base b, (VALUES (1), (2)) t(n)
 )"""
 
+# Lines, labels and the share of label 1 in each cell of two flags.
+FLAG_CELLS = """
+flags AS (SELECT l_quantity > 25 AS large, l_discount > 0.05 AS cheap,
+                 CAST(CASE WHEN l_extendedprice * (1 - l_discount) > 40000 THEN 1 ELSE 0 END AS DOUBLE) AS label FROM lineitem),
+cells AS (SELECT large, cheap, count(*) AS n, avg(label) AS p FROM flags GROUP BY 1, 2)"""
+
 ORACLE: dict[str, str] = {
     "feature_build": f"""
 WITH typed AS (
@@ -200,6 +208,39 @@ FROM pages""",
 SELECT c_custkey, 'name' AS field, c_name AS value FROM customer
 UNION ALL SELECT c_custkey, 'segment', '<&> ' || c_mktsegment FROM customer
 UNION ALL SELECT c_custkey, 'nation', CAST(c_nationkey AS VARCHAR) FROM customer""",
+    "horse_history_rows": f"""
+SELECT o_orderkey, {", ".join(f"'c{i} ' || o_orderkey AS \"{name}\"" for i, name in enumerate(fixed.HISTORY_COLUMNS))}
+FROM orders""",
+    "horse_profile_rows": """
+SELECT c_custkey, CAST(0 AS INTEGER) AS row_no, 'item|entry' AS cells FROM customer
+UNION ALL SELECT c_custkey, CAST(1 AS INTEGER), 'name|' || c_name FROM customer""",
+    "path_keys": """
+SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS race_date, CAST(o_orderkey AS VARCHAR) AS race_id FROM orders""",
+    "assembled_vector": """
+SELECT CAST(l_linenumber AS DOUBLE) AS l_linenumber, CASE WHEN l_quantity < 40 THEN CAST(l_quantity AS DOUBLE) ELSE -1e6 END AS small,
+       CAST(l_tax AS DOUBLE) AS l_tax, count(*) AS n
+FROM lineitem GROUP BY ALL""",
+    "gbt_flags": f"""
+WITH {FLAG_CELLS},
+first AS (SELECT large, cheap, n, p, 2 * p - 1 AS f FROM cells),
+second AS (SELECT large, cheap, n, p, f + 0.1 * (p * 4 / (1 + exp(2 * f)) - (1 - p) * 4 / (1 + exp(-2 * f))) AS f FROM first),
+scored AS (SELECT large, cheap, n * p AS pos, n * (1 - p) AS neg, 1 / (1 + exp(-2 * f)) AS score FROM second),
+pairs AS (SELECT sum(a.pos * b.neg * CASE WHEN a.score > b.score THEN 1.0 WHEN a.score = b.score THEN 0.5 ELSE 0 END)
+                 / sum(a.pos * b.neg) AS auc FROM scored a, scored b)
+SELECT label, round(score, 9) AS score, count(*) AS n, CAST(2 AS INTEGER) AS depth, round(any_value(auc), 9) AS auc
+FROM flags JOIN scored USING (large, cheap), pairs GROUP BY 1, 2""",
+    "importance_flags": f"""
+WITH {FLAG_CELLS},
+total AS (SELECT sum(n * p) / sum(n) AS m FROM cells),
+pair AS (SELECT sum(n * (p - m) ** 2) AS gain FROM cells, total),
+one AS (SELECT 'large' AS feature, sum(n * (p - m) ** 2) AS gain
+        FROM (SELECT large, sum(n) AS n, sum(n * p) / sum(n) AS p FROM cells GROUP BY 1), total
+        UNION ALL SELECT 'cheap', sum(n * (p - m) ** 2)
+        FROM (SELECT cheap, sum(n) AS n, sum(n * p) / sum(n) AS p FROM cells GROUP BY 1), total),
+root AS (SELECT max(gain) AS gain FROM one)
+SELECT feature, round(CASE WHEN one.gain = root.gain THEN root.gain ELSE pair.gain - root.gain END / pair.gain, 9) AS gain,
+       CASE WHEN one.gain = root.gain THEN 1.0 ELSE 2.0 END::DOUBLE AS weight
+FROM one, root, pair""",
     "calendar_dates": """
 SELECT o_orderkey, CAST(1 AS INTEGER) AS link_no, strftime(o_orderdate, '%Y%m%d') AS race_date FROM orders""",
     "day_race_ids": """

@@ -6,8 +6,10 @@ import json
 from collections.abc import Callable
 from functools import wraps
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from furlong import fixed_values as fixed
 from furlong.bindings import render
 from furlong.functions import text
 from furlong.functions.encode import decode_bytes, label_code
@@ -418,6 +420,36 @@ def class_table_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.read_stacked_tables(pages, ["c_custkey"], "html", ["field", "value"], "wanted")
 
 
+@query
+def horse_history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = load_for_python(spark, sf_dir, "orders", "o_orderkey")
+    header = fixed.HISTORY_COLUMNS
+    cells = [F.concat(F.lit(f"c{i} "), F.col("o_orderkey").cast("string")) for i in range(len(header))]
+    pages = orders.select("o_orderkey", render.table(header, [cells], fixed.HISTORY_TABLE_CLASS).alias("html"))
+    return monthly.horse_history(pages, ["o_orderkey"])
+
+
+@query
+def horse_profile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = load_for_python(spark, sf_dir, "customer", "c_custkey")
+    tables_of_a_page = [
+        render.table(["item", "entry"], [[F.lit(kind), render.escape_html(F.col(column))]], fixed.PROFILE_TABLE_CLASS)
+        for kind, column in (("name", "c_name"), ("second", "c_mktsegment"))
+    ]
+    pages = customer.select("c_custkey", F.concat(*tables_of_a_page).alias("html"))
+    rows = monthly.horse_profile(pages, ["c_custkey"])
+    return rows.withColumn("cells", F.array_join("cells", "|"))
+
+
+@query
+def path_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    date, number = yyyymmdd("o_orderdate"), F.col("o_orderkey").cast("string")
+    path = F.concat(F.lit("file:/in/race_date="), date, F.lit("/"), number, F.lit(".html"))
+    return load(spark, sf_dir, "orders").select(
+        "o_orderkey", text.path_value(path, "race_date").alias("race_date"), text.stem_of_path(path).alias("race_id")
+    )
+
+
 @query
 def calendar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = render.calendar_pages(load_for_python(spark, sf_dir, "orders", "o_orderkey"))
@@ -536,7 +568,7 @@ def model_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 @query
 def gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = model_rows(spark, sf_dir)
-    fitted = model.fit_boosted(train, valid, {"maxDepth": 4}, max_rounds=8, patience=4)
+    fitted = model.fit_boosted(train, valid, {"maxDepth": 4}, max_rounds=20, patience=5)
     root = scratch_path(spark, "models")
     tables.publish_model(spark, fitted.model, {"maxDepth": 4}, {"auc": fitted.auc}, root, "gbt", "v1")
     stored, _, _ = tables.read_model(spark, root, "gbt", "v1")
@@ -544,10 +576,52 @@ def gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("rounds", F.lit(fitted.rounds))
 
 
+@query
+def assembled_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = load(spark, sf_dir, "lineitem").withColumn(model.LABEL, F.lit(1.0))
+    small = F.when(F.col("l_quantity") < 40, F.col("l_quantity"))
+    names = ["l_linenumber", "small", "l_tax"]
+    vectors = model.assemble(lines.withColumn("small", small), names)
+    values = vectors.select(vector_to_array("features").alias("v"))
+    return values.groupBy(*[F.col("v")[i].alias(name) for i, name in enumerate(names)]).agg(F.count("*").alias("n"))
+
+
+FLAGS = ["large", "cheap"]
+
+
+def flag_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two flags per line and a label: a tree of depth 2 has a leaf for each of the four cells."""
+    flags = [(F.col("l_quantity") > 25).alias("large"), (F.col("l_discount") > 0.05).alias("cheap")]
+    label = F.when(F.col("l_extendedprice") * (1 - F.col("l_discount")) > 40000, 1.0).otherwise(0.0)
+    return model.assemble(load(spark, sf_dir, "lineitem").select(*flags, label.alias(model.LABEL)), FLAGS)
+
+
+@query
+def gbt_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rounds of boosting, stored and read again: lines per label and score."""
+    rows = flag_rows(spark, sf_dir)
+    fitted = model.fit_boosted(rows, rows, {"maxDepth": 2}, max_rounds=2, patience=2)
+    root = scratch_path(spark, "models")
+    tables.publish_model(spark, fitted.model, {"maxDepth": 2}, {"auc": fitted.auc}, root, "gbt", "v1")
+    stored, params, metrics = tables.read_model(spark, root, "gbt", "v1")
+    scored = model.score(stored, rows).withColumn(model.SCORE, F.round(model.SCORE, 9))
+    counts = scored.groupBy(model.LABEL, model.SCORE).agg(F.count("*").alias("n"))
+    return counts.withColumns({"depth": F.lit(params["maxDepth"]), "auc": F.round(F.lit(metrics["auc"]), 9)})
+
+
+@query
+def importance_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One tree: share of the gain and number of splits of each flag."""
+    rows = flag_rows(spark, sf_dir)
+    fitted = model.fit_boosted(rows, rows, {"maxDepth": 2}, max_rounds=1, patience=1)
+    gain = model.importance(fitted.model, FLAGS).withColumn("gain", F.round("gain", 9))
+    return gain.join(model.importance(fitted.model, FLAGS, "weight"), "feature")
+
+
 @query
 def hpo_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = model_rows(spark, sf_dir)
-    best, trials = model.search(train, valid, model.SEARCH_SPACES["depth"], trials=3, max_rounds=3, patience=3)
+    best, trials = model.search(train, valid, model.SEARCH_SPACES["depth"], trials=4, max_rounds=8, patience=2)
     rows = [(t.number, t.auc, t.params == best, json.dumps(t.params, sort_keys=True)) for t in trials]
     return spark.createDataFrame(rows, "trial int, auc double, best boolean, params string")
 
