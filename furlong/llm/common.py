@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
+from types import ModuleType
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +52,18 @@ def join_sized(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, h
     return rows.join(hot, keys).unionByName(apart.join(rest, keys, how))
 
 
+def once_per_worker(key: Any, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once in a Python worker and kept for its later tasks.
+
+    The library's functions come to a worker by value, with globals of their own for every
+    task, so what is kept in a global is made anew each time.
+    """
+    kept = sys.modules.setdefault("furlong_kept", ModuleType("furlong_kept")).__dict__.setdefault("kept", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column, one text after the other, and where each begins (and the end)."""
     column = pc.fill_null(column, "").cast(pa.large_binary())
@@ -106,4 +121,6 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], least: int
         yield pa.Table.from_batches(held)
 
 
-__all__ = ["cut_lineage", "is_empty", "join_sized", "load", "pieces", "prepare", "text_bytes", "whole_groups"]
+__all__ = [
+    "cut_lineage", "is_empty", "join_sized", "load", "once_per_worker", "pieces", "prepare", "text_bytes", "whole_groups",
+]

@@ -197,4 +197,4 @@ def equal_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
 def drop_equal_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all their columns; rows without an id stay too."""
     gone = equal_texts(docs, id_column, text).filter("NOT kept").select(F.col(id_column)).distinct()
-    return docs.join(gone, id_column, "left_anti")
+    return docs.join(gone.hint("merge"), id_column, "left_anti")

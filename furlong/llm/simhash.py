@@ -258,4 +258,4 @@ def drop_near_copies(
     """The rows of ``docs`` with the smallest id of their group; rows without an id stay too."""
     groups = near_groups(docs, id_column, text, width, max_bits)
     gone = groups.filter(F.col(id_column) != F.col("component_id")).select(id_column).distinct()
-    return docs.join(gone, id_column, "left_anti")
+    return docs.join(gone.hint("merge"), id_column, "left_anti")

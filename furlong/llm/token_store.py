@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from furlong.llm.common import pieces
+from furlong.llm.common import once_per_worker, pieces
 from furlong.operators.skew import running_totals
 
 STRIPE_BYTES = 16 * 1024 * 1024
@@ -29,9 +29,13 @@ class WordIds:
     """Ids of whole texts by the tokenizers library.
 
     For a tokenizer that drops white space and splits at it, a text's ids are those of its
-    words one after the other, so each different word is encoded once; a bounded number is kept.
+    words one after the other, so each different word is encoded once; a bounded number is
+    kept. Whether a tokenizer does so is tried out on ``probe``; texts of any other are
+    encoded whole.
     """
 
+    probe = " aB  12 é's\tx-y\n日本 Z.\n\n!? don't  STOP"
+
     # ASCII white space only: whatever else a tokenizer may take for white space stays inside a word
     words = re.compile(r"[^ \t\n\r\f\v]+")
 
@@ -41,9 +45,16 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kept: dict[str, bytes] = {}
+        parts = [self._ids(word) for word in self.words.findall(self.probe)]
+        self.by_words = b"".join(parts) == self._ids(self.probe)
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian 32-bit integers."""
+        if not self.by_words:
+            return [self._ids(text) for text in texts]
         found = [self.words.findall(text) for text in texts]
         if len(self.kept) > KEPT_WORDS:
             self.kept.clear()
@@ -55,14 +66,9 @@ class WordIds:
         return [b"".join(map(self.kept.__getitem__, text)) for text in found]
 
 
-_CODERS: dict[str, WordIds] = {}
-
-
 def word_ids(path: str) -> WordIds:
     """The tokenizer of a file, read once per worker."""
-    if path not in _CODERS:
-        _CODERS[path] = WordIds(path)
-    return _CODERS[path]
+    return once_per_worker(("token_store", path), lambda: WordIds(path))
 
 
 def write_tokens(
