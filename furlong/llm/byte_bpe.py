@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from furlong.llm.common import pieces
+from furlong.llm.common import once_per_worker, pieces
 
 WORD = 256  # bits in a word of the lower level of the bitmap
 KEPT = 150_000
@@ -140,14 +140,9 @@ class Coder:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-_CODERS: dict[tuple[str, str], Coder] = {}
-
-
 def coder(path: str, pattern: str) -> Coder:
     """The coder of a rank file, read once per worker."""
-    if (path, pattern) not in _CODERS:
-        _CODERS[path, pattern] = Coder(path, pattern)
-    return _CODERS[path, pattern]
+    return once_per_worker(("byte_bpe", path, pattern), lambda: Coder(path, pattern))
 
 
 def _ids_array(blobs: list[bytes]) -> pa.Array:
