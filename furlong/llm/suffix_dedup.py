@@ -25,7 +25,7 @@ from furlong.llm.suffix_array import long_matches, suffix_array
 RUN = 32
 CHUNK_BYTES = 1024 * 1024
 #: Rows of about 300 bytes that a shard gathers before it is sorted.
-SHARD_ROWS = 12_000
+SHARD_ROWS = 6_000
 #: Different stretches around one anchor that go to one shard.
 MOST_STRETCHES = 20_000
 SEPARATOR = 0xFF  # no byte of UTF-8
