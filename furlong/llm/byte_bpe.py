@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import struct
 from collections.abc import Callable, Iterator
 from heapq import heappop, heappush
 
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from furlong.llm.common import once_per_worker, pieces
 
 WORD = 256  # bits in a word of the lower level of the bitmap
-KEPT = 150_000
+KEPT = 300_000
 LONGEST_KEPT = 64
 CHUNK_BYTES = 4 * 1024 * 1024
 
@@ -37,64 +38,68 @@ def encode_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     n = len(piece)
     end = list(range(1, n + 2))  # of the part that begins here, where the next one begins
     before = list(range(-1, n))
+    token = [ranks[piece[i : i + 1]] for i in range(n)]
     possible = [-1] * n  # rank of the merge of this part with the next
-    buckets: dict[int, list[int]] = {}  # by rank the positions, as a heap
+    buckets: dict[int, int | list[int]] = {}  # by rank a position, or several as a heap
     words: dict[int, int] = {}  # lower level of the bitmap
     summary = 0  # upper level: which words aren't empty
-    for i in range(n - 1):
-        rank = get(piece[i : i + 2])
-        if rank is None:
-            continue
-        possible[i] = rank
-        if rank in buckets:
-            buckets[rank].append(i)
-        else:
-            buckets[rank] = [i]
-            word = rank // WORD
-            words[word] = words.get(word, 0) | 1 << rank % WORD
-            summary |= 1 << word
-    while summary:
-        word = (summary & -summary).bit_length() - 1
-        bits = words[word]
-        lowest = bits & -bits
-        rank = word * WORD + lowest.bit_length() - 1
-        bucket = buckets[rank]
-        i = heappop(bucket)
-        if not bucket:
-            del buckets[rank]
-            words[word] = bits ^ lowest
-            if bits == lowest:
-                summary ^= 1 << word
-        if possible[i] != rank:
-            continue  # stale
-        j = end[i]
-        possible[j] = -1
-        end[i] = end[j]
-        if end[i] < n:
-            before[end[i]] = i
-        for at in (i, before[i]):
-            if at < 0:
-                continue
+    offered = range(n - 1)
+    while True:
+        for at in offered:
             after = end[at]
-            rank = get(piece[at : end[after]]) if after < n else None
-            if rank is None:
+            if after >= n or (rank := get(piece[at : end[after]])) is None:
                 possible[at] = -1
                 continue
             possible[at] = rank
-            if rank in buckets:
-                heappush(buckets[rank], at)
-            else:
-                buckets[rank] = [at]
+            held = buckets.get(rank)
+            if held is None:
+                buckets[rank] = at
                 word = rank // WORD
                 words[word] = words.get(word, 0) | 1 << rank % WORD
                 summary |= 1 << word
+            elif type(held) is int:
+                buckets[rank] = [held, at] if held < at else [at, held]
+            else:
+                heappush(held, at)
+        while summary:
+            word = (summary & -summary).bit_length() - 1
+            bits = words[word]
+            lowest = bits & -bits
+            rank = word * WORD + lowest.bit_length() - 1
+            held = buckets[rank]
+            if type(held) is int:
+                i = held
+                del buckets[rank]
+                words[word] = bits ^ lowest
+                if bits == lowest:
+                    summary ^= 1 << word
+            else:
+                i = heappop(held)
+                if len(held) == 1:
+                    buckets[rank] = held[0]
+            if possible[i] == rank:
+                break  # otherwise stale
+        else:
+            break
+        j = end[i]
+        possible[j] = -1
+        token[i] = rank
+        end[i] = after = end[j]
+        if after < n:
+            before[after] = i
+        possible[i] = -1
+        offered = (i, before[i]) if before[i] >= 0 else (i,)
     ids, i = [], 0
     while i < n:
-        ids.append(ranks[piece[i : end[i]]])
+        ids.append(token[i])
         i = end[i]
     return ids
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _Kept(dict):
     """Results by text; of short ones a bounded number is kept, those used last the longest."""
 
@@ -128,7 +133,7 @@ class Coder:
             pairs = [line.split() for line in lines if line.strip()]
         ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         find = regex.compile(pattern).findall
-        self.pieces = _Kept(lambda piece: np.array(encode_piece(piece.encode(), ranks), "<u4").tobytes())
+        self.pieces = _Kept(lambda piece: _packed(encode_piece(piece.encode(), ranks)))
         self.chunks = _Kept(lambda chunk: b"".join(map(self.pieces.__getitem__, find(chunk))))
         self.tokens = {rank: token for token, rank in ranks.items()}
 

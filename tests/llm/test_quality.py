@@ -17,7 +17,7 @@ def corpus(count=900, seed=3):
         text = [rnd.choice(words) for _ in range(rnd.randrange(20, 120))]
         good, toxic = int(i % 7 != 0), int(i % 9 == 0)
         if not good:
-            text = [w.upper() + "!!" for w in text] if i % 2 else [w + "%%%" for w in text]
+            text = [w.upper() + "!!" for w in text] if i % 4 < 2 else [w + "%%%" for w in text]
         if toxic:
             text[5:5] = [rnd.choice(["vile", "nasty", "foul"]) for _ in range(3)]
         host = "bad" if i % 7 == 0 and i % 3 else f"s{i % 5}"
