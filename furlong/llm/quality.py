@@ -27,6 +27,7 @@ from furlong.llm.common import cut_lineage, join_sized, pieces
 SAMPLE_ROWS = 20_000
 FEATURES = 1 << 16
 ROUNDS = 40
+FIT_TASKS = 8
 PENALTY = 0.001
 #: Share of the penalty that drops terms: rare words say nothing by themselves.
 SPARSITY = 1.0
@@ -89,7 +90,8 @@ def fit(labelled: DataFrame, targets: Sequence[str]) -> dict[str, LogisticRegres
                 featuresCol="__vector", labelCol="__label", maxIter=ROUNDS, regParam=PENALTY, elasticNetParam=SPARSITY, standardization=False,
                 rawPredictionCol="__raw", probabilityCol="__probability", predictionCol="__prediction",
             )
-            models[target] = logistic.fit(rows.select("__vector", "__label"))
+            # the sample is bounded: a few tasks a round, however many files it came from
+            models[target] = logistic.fit(rows.select("__vector", "__label").coalesce(FIT_TASKS))
         else:
             models[target] = (positive + 1) / (n + 2)
     return models
