@@ -18,7 +18,7 @@ from typing import Any
 from pyspark.sql import DataFrame, functions as F
 
 from furlong.llm.common import cut_lineage
-from furlong.operators.skew import row_numbers
+from furlong.operators.skew import _hashable, row_numbers
 
 BLOCK_ROWS = 32
 #: Slots of one period; also the most sources that can be mixed.
@@ -83,12 +83,32 @@ def schedule(
     slot. Rows without an id, and rows that repeat one, have their own places. An empty
     table gives an empty result.
     """
-    rows = docs.select(F.col(id_column).alias("__id"), F.col(source).alias("__source")).withColumn(
-        "__order", F.xxhash64(F.lit(seed), "__id")
+    rows = docs.select(F.col(id_column).alias("__id"), F.col(source).alias("__source"))
+    # rows that are equal in both columns can change places; the mark keeps them apart in the sort
+    marked = rows.withColumn("__mark", F.monotonically_increasing_id())
+    return _placed(marked, ["__mark"], weights, exponent, block_rows, period, seed).select(
+        F.col("__id").alias(id_column), F.col("__source").alias(source), "block", "slot", "place", "on_target"
     )
-    numbered = cut_lineage(row_numbers(rows, ["__source", "__order", "__id"], "__number"), "numbered")
+
+
+def _placed(
+    rows: DataFrame,
+    ties: list[str],
+    weights: Mapping[Any, float] | None = None,
+    exponent: float = 0.7,
+    block_rows: int = BLOCK_ROWS,
+    period: int = PERIOD,
+    seed: int = 17,
+) -> DataFrame:
+    """The rows, which have ``__id`` and ``__source``, with block, slot, place, on_target and ``__number``.
+
+    ``ties`` order rows with equal ids. ``__number``: place in the order by source, then hash.
+    """
+    columns = rows.columns
+    rows = rows.withColumn("__order", F.xxhash64(F.lit(seed), "__id"))
+    numbered = cut_lineage(row_numbers(rows, ["__source", "__order", "__id", *ties], "__number"), "numbered")
     sizes = numbered.groupBy("__source").agg(F.min("__number").alias("first"), F.count("*").alias("n"))
-    found = sizes.limit(period + 1).collect()  # bounded by the period
+    found = sizes.sort("first").limit(period + 1).collect()  # bounded by the period
     if len(found) > period:
         raise ValueError(f"more than {period} sources; raise the period")
     counts = {r["__source"]: r["n"] for r in found}
@@ -103,7 +123,7 @@ def schedule(
         ends.append(blocks // n * length + slots[s, blocks % n])
     horizon = min(ends, default=0)
 
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     kind = rows.schema["__source"].dataType.simpleString()
     starts = spark.createDataFrame(
         [(r["__source"], r["first"], parts.get(r["__source"])) for r in found],
@@ -123,8 +143,8 @@ def schedule(
     )
     slot = F.floor(F.col("block") / F.col("__parts")) * length + F.col("__at")
     return timed.select(
-        F.col("__id").alias(id_column),
-        F.col("__source").alias(source),
+        *columns,
+        "__number",
         F.col("block").cast("long").alias("block"),
         slot.cast("long").alias("slot"),
         "place",
@@ -133,13 +153,16 @@ def schedule(
 
 
 def mix(docs: DataFrame, id_column: str = "doc_id", source: str = "source", **options: Any) -> DataFrame:
-    """The rows of ``docs`` that are on target, in the order of the mix, all their columns.
+    """All rows of ``docs`` in the order of the mix, by slot and place, all their columns.
 
-    The mix ends with the first source that does ("first exhausted"). An id that is
-    repeated within the mix stays with all its rows; a row without an id has no place.
+    The shares hold until the first source ends (``on_target`` of ``schedule``). What
+    comes later follows in its slots, and rows of sources without a weight come last.
+    Rows without an id, and rows that repeat one, have their own places, in the order of
+    a hash of the row.
     """
-    placed = schedule(docs, id_column, source, **options).filter("on_target")
-    order = placed.groupBy(F.col(id_column).alias("__id")).agg(F.min(F.struct("slot", "place")).alias("__at"))
-    return (
-        docs.join(order.hint("merge"), F.col(id_column) == F.col("__id")).sort("__at", "__id").drop("__id", "__at")
-    )
+    keyed = docs.withColumn("__tie", F.xxhash64(*_hashable(docs))).withColumn("__key", F.monotonically_increasing_id())
+    keyed = cut_lineage(keyed, "keyed")
+    rows = keyed.select("__key", "__tie", F.col(id_column).alias("__id"), F.col(source).alias("__source"))
+    order = _placed(rows, ["__tie", "__key"], **options).select("__key", F.col("slot").alias("__slot"), "__number")
+    ordered = keyed.join(order.hint("merge"), "__key").sort(F.asc_nulls_last("__slot"), "__number")
+    return ordered.drop("__key", "__tie", "__slot", "__number")

@@ -1,7 +1,9 @@
 from collections import Counter, defaultdict
+from fractions import Fraction
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from furlong.llm import mixing
 from tests.llm.samples import empty, frame, odd_rows
@@ -65,3 +67,42 @@ def test_one_source_keeps_all_and_an_empty_table_none(spark):
     assert mixing.schedule(empty(spark)).collect() == [] and mixing.mix(empty(spark)).collect() == []
     with pytest.raises(ValueError):
         mixing.schedule(frame(spark, [(i, "t", None, f"s{i}", 1, 1, "", "") for i in range(5)]), period=4)
+
+
+def brute_slots(weights, blocks):
+    """{(source, block): slot}, slot by slot: of the released blocks the one that is due first; equal ones by source."""
+    total = sum(map(Fraction, weights.values()))
+    share = {s: Fraction(w) / total for s, w in weights.items()}
+    done, at, slot = Counter(), {}, 0
+    while any(done[s] < blocks[s] for s in share):
+        ready = [s for s in share if done[s] / share[s] < slot + 1]
+        first = min(ready, key=lambda s: (-(-(done[s] + 1) // share[s]), s is not None, s))
+        if done[first] < blocks[first]:
+            at[first, done[first]] = slot
+        done[first] += 1
+        slot += 1
+    return at
+
+
+def brute_mix(spark, rows, weights, block_rows):
+    """All rows by slot and place, those without a slot at the end."""
+    table = frame(spark, rows, 1)
+    keyed = table.select("*", F.xxhash64(F.lit(17), "doc_id"), F.xxhash64(*table.columns)).collect()
+    in_order = sorted(keyed, key=lambda r: (r["source"] is not None, r["source"] or "", *r[-2:]))
+    seen, sizes = Counter(), Counter(r["source"] for r in in_order)
+    slots = brute_slots(weights, {s: -(-sizes[s] // block_rows) for s in weights})
+    placed = []
+    for r in in_order:
+        block, place = divmod(seen[r["source"]], block_rows)
+        seen[r["source"]] += 1
+        placed.append((slots.get((r["source"], block), float("inf")), place if r["source"] in weights else len(placed), r[:-2]))
+    return [tuple(r) for _, _, r in sorted(placed, key=lambda x: x[:2])]
+
+
+def test_mix_returns_all_rows_by_slot_and_place(spark):
+    rows = odd_rows()
+    rows += [(None, f"no id {i % 6}", None, ["s0", "s1", None][i % 3], i % 2, None, None, None) for i in range(14)]
+    weights = {None: 2, "s0": 3, "s1": 1, "s2": 2}  # s3 has none
+    found = mixing.mix(frame(spark, rows), block_rows=2, period=8, weights=weights).collect()
+    assert Counter(map(tuple, found)) == Counter(rows)
+    assert list(map(tuple, found)) == brute_mix(spark, rows, weights, 2)
