@@ -75,11 +75,13 @@ def brute_slots(weights, blocks):
     share = {s: Fraction(w) / total for s, w in weights.items()}
     done, at, slot = Counter(), {}, 0
     while any(done[s] < blocks[s] for s in share):
-        ready = [s for s in share if done[s] / share[s] < slot + 1]
-        first = min(ready, key=lambda s: (-(-(done[s] + 1) // share[s]), s is not None, s))
-        if done[first] < blocks[first]:
-            at[first, done[first]] = slot
-        done[first] += 1
+        # a source asks for one slot after its last block, then for no more
+        ready = [s for s in share if done[s] <= blocks[s] and done[s] / share[s] < slot + 1]
+        if ready:
+            first = min(ready, key=lambda s: (-(-(done[s] + 1) // share[s]), s is not None, s or ""))
+            if done[first] < blocks[first]:
+                at[first, done[first]] = slot
+            done[first] += 1
         slot += 1
     return at
 
@@ -106,3 +108,46 @@ def test_mix_returns_all_rows_by_slot_and_place(spark):
     found = mixing.mix(frame(spark, rows), block_rows=2, period=8, weights=weights).collect()
     assert Counter(map(tuple, found)) == Counter(rows)
     assert list(map(tuple, found)) == brute_mix(spark, rows, weights, 2)
+
+
+@pytest.mark.parametrize("small", [19, 1000, 1900, 2500])
+def test_sources_stay_within_one_block_of_the_given_weights(small):
+    weights = {"hot": float(small * 500) ** 0.7} | {f"s{i}": 1000.0**0.7 + i / 7 for i in range(small)}
+    total = sum(map(Fraction, weights.values()))
+    names, share = list(weights), [float(Fraction(w) / total) for w in weights.values()]
+    slots, done, after = 12_000, [0] * len(names), 1e-6
+    plan = mixing.pfair(list(weights.values()), [slots] * len(names))
+    last = {}
+    for place, block, slot, on_target in plan:
+        if slot == slots:
+            break
+        assert on_target and block == done[place]
+        # furthest behind just before a block is taken, furthest ahead just after
+        assert block > share[place] * slot - 1 - after and block + 1 < share[place] * (slot + 1) + 1 + after
+        done[place] += 1
+        last[place] = slot
+    assert sum(done) == slots
+    assert all(abs(n - w * slots) < 1 for n, w in zip(done, share))
+
+
+def test_schedule_holds_the_given_weights_with_more_sources_than_a_period(spark):
+    small = 2100  # more than the 2,048 slots that a period had
+    rows = [(i, "t", None, "hot" if i < 3000 else f"s{i % small}", 1, 1, "", "") for i in range(3000 + 2 * small)]
+    weights = {"hot": 1.0} | {f"s{i}": 1 / 1000 for i in range(small)}
+    found = mixing.schedule(frame(spark, rows), block_rows=1, weights=weights).collect()
+    assert len(found) == len(rows) and len({r["slot"] for r in found}) == len(rows)
+    at = {(r["source"], r["block"]): r["slot"] for r in found}
+    total = sum(map(Fraction, weights.values()))
+    for (s, block), slot in at.items():
+        w = Fraction(weights[s]) / total
+        assert block // w <= slot < -(-(block + 1) // w)
+    horizon = max(r["slot"] for r in found if r["on_target"]) + 1
+    assert horizon > 2048
+    hot = sum(r["source"] == "hot" for r in found if r["slot"] < horizon)
+    assert abs(hot - horizon * float(1 / total)) < 1
+
+
+def test_weights_far_apart_leave_every_row_its_own_slot(spark):
+    rows = [(i, "t", None, f"s{i % 2}", 1, 1, "", "") for i in range(40)]
+    found = mixing.schedule(frame(spark, rows), block_rows=1, weights={"s0": 1.0, "s1": 1e-30}).collect()
+    assert len({r["slot"] for r in found}) == 40
