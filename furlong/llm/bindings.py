@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from furlong.llm import byte_bpe, kd_search, kd_shards, mixing, phrase_dedup, quality, suffix_dedup, token_store
+from furlong.llm import byte_bpe, kd_search, kd_shards, mixing, phrase_dedup, quality, suffix_dedup, token_counts, token_store
 from furlong.llm.common import load, prepare
 from furlong.llm.exact_dedup import equal_texts
 from furlong.llm.simhash import near_groups
@@ -83,6 +83,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(load(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
 FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {
