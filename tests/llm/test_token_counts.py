@@ -69,5 +69,5 @@ def test_clashing_names_and_an_empty_table(spark):
 
 
 def test_nothing_is_shuffled(spark):
-    plan = token_counts.count_tokens(frame(spark, odd_rows(count=5)).coalesce(1), PATH, limit=1)
+    plan = token_counts.count_tokens(frame(spark, odd_rows(count=20)).coalesce(1), PATH, limit=1)
     assert plan._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
