@@ -6,8 +6,14 @@ import os
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import furlong
+
+# workers get this code with the task and need no installed copy of it
+cloudpickle.register_pickle_by_value(furlong)
+
 # Settings the operators count on. Cluster sizing is left to the cluster.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
