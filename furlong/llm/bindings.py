@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from furlong.llm import byte_bpe, kd_search, kd_shards, mixing, phrase_dedup, quality, suffix_dedup, token_counts, token_store
+from furlong.llm import (
+    byte_bpe, collocations, kd_search, kd_shards, mixing, phrase_dedup, quality, suffix_dedup, token_counts, token_store, whitening,
+)
 from furlong.llm.common import load, prepare
 from furlong.llm.exact_dedup import equal_texts
 from furlong.llm.simhash import near_groups
@@ -83,6 +85,16 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(load(spark, sf_dir, "documents"), least=30, longest=4, top=2000).drop("example_id")
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(load(spark, sf_dir, "embeddings"), components=16)
+
+
 @query
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(load(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
@@ -96,4 +108,40 @@ ORACLE: dict[str, str] = {
                doc_id = max(doc_id) OVER same AS kept, sha256({FOLDED}) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY {FOLDED})
     """,
+    "op11_collocations": rf"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest([list_filter(string_split_regex(p, '[ \t]+'), lambda w: w != '')
+                           FOR p IN string_split_regex({FOLDED}, '[.,;:!?\x0A-\x0D]')]) AS w
+            FROM documents
+        ),
+        totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+        starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+        runs AS (SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase
+                 FROM starts, (VALUES (1), (2), (3), (4)) AS sizes(m) WHERE i + m - 1 <= len(w)),
+        grams AS (SELECT lang, m, phrase, count(*) AS a FROM runs GROUP BY ALL HAVING count(*) >= 30),
+        around AS (
+            SELECT lang, phrase, max(a) AS around FROM (
+                SELECT lang, a, unnest([array_to_string(string_split(phrase, ' ')[: m - 1], ' '),
+                                        array_to_string(string_split(phrase, ' ')[2 :], ' ')]) AS phrase
+                FROM grams WHERE m > 2) GROUP BY ALL
+        ),
+        kept AS (
+            SELECT g.* FROM grams g LEFT JOIN around USING (lang, phrase)
+            WHERE g.m > 1 AND coalesce(CAST(100 AS HUGEINT) * around < CAST(80 AS HUGEINT) * a, true)
+        ),
+        cuts AS (SELECT lang, phrase, a, unnest(range(1, m)) AS k, string_split(phrase, ' ') AS w FROM kept),
+        scored AS (
+            SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r,
+                   CAST(CAST(2000000 AS HUGEINT) * c.a // (x.a + y.a) AS BIGINT) AS score, k
+            FROM cuts c JOIN grams x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[: k], ' ')
+            JOIN grams y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1 :], ' ')
+        ),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS INT) AS rank
+            FROM best
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
 }
