@@ -9,35 +9,42 @@ can recur only where its anchor does.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+
+from furlong.llm.common import once_per_worker
 
 #: Low bits of a hash that give way to the place, so that of equal ones the leftmost is smallest.
 PLACE_BITS = 24
 
 _RANDOM = np.random.default_rng(20240229)
-_BYTE = _RANDOM.integers(0, 1 << 63, (2, 256), np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = [0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93]
+_BYTE = _RANDOM.integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
+
 
+def _powers(base: int, n: int) -> np.ndarray:
+    def make() -> np.ndarray:
+        out = np.full(n, base, np.uint64)
+        out[0] = 1
+        return np.cumprod(out)
 
-@lru_cache(maxsize=8)
-def _powers(which: int, inverse: bool, n: int) -> np.ndarray:
-    base = pow(_BASE[which], -1, 1 << 64) if inverse else _BASE[which]
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
+    return once_per_worker(("anchors", base, n), make)
 
 
 class Hashes:
-    """64-bit hashes of any byte ranges of one buffer, all at once."""
+    """64-bit hashes of any byte ranges of one buffer, all at once.
 
-    def __init__(self, data: np.ndarray, which: int = 0) -> None:
+    Fit for choosing anchors and finding those that may recur, not for telling texts apart:
+    some families of strings collide.
+    """
+
+    def __init__(self, data: np.ndarray) -> None:
         room = 1 << max(16, len(data).bit_length())  # few different table sizes
-        self.back = _powers(which, True, room)
-        terms = _BYTE[which][data] * _powers(which, False, room)[: len(data)]
+        self.back = _powers(pow(_BASE, -1, 1 << 64), room)
+        terms = _BYTE[data] * _powers(_BASE, room)[: len(data)]
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])
 
     def of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -47,6 +54,14 @@ class Hashes:
         return x ^ (x >> np.uint64(32)) ^ (end - begin).astype(np.uint64)
 
 
+def digests(data: bytes | memoryview, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """XXH128 of each byte range, as two 64-bit halves: equal ones count as equal texts."""
+    whole, digest = memoryview(data), xxhash.xxh3_128_digest
+    joined = b"".join([digest(whole[b:e]) for b, e in zip(begin.tolist(), end.tolist())])
+    halves = np.frombuffer(joined, "<i8").reshape(-1, 2)
+    return halves[:, 0], halves[:, 1]
+
+
 class Runs(NamedTuple):
     """Runs of neighbouring windows with one anchor; positions are units of the buffer."""
 
@@ -88,9 +103,8 @@ def anchor_runs(run_hashes: np.ndarray, begins: np.ndarray, ends: np.ndarray, k:
     return Runs(chosen[new], starts[new], starts[last], text[new])
 
 
-def combined(anchor: np.ndarray, rest: dict[str, np.ndarray], ids: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
-    """Rows that agree in the anchor and ``rest`` as one: ``n`` of them, one's id and place, and those of all if several."""
-    columns = {"anchor": anchor.view(np.int64), **rest}
+def combined(columns: dict[str, np.ndarray], places: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """Rows that agree in ``columns`` as one: ``n`` of them, the place of one (``place``), and those of all if several (``more``)."""
     by = np.lexsort([*list(columns.values())[::-1]])
     differ = np.zeros(max(len(by) - 1, 0), bool)
     for values in columns.values():
@@ -100,39 +114,13 @@ def combined(anchor: np.ndarray, rest: dict[str, np.ndarray], ids: np.ndarray, p
     several = n > 1
     in_several = np.repeat(several, n)
     offsets = np.concatenate([[0], np.cumsum(np.where(several, n, 0))]).astype(np.int32)
-    values = pa.StructArray.from_arrays(
-        [pa.array(ids[by][in_several]), pa.array(places[by][in_several].astype(np.int32))], names=["id", "at"]
-    )
-    more = pa.ListArray.from_arrays(pa.array(offsets), values, mask=pa.array(~several))
+
+    def structs(rows: np.ndarray) -> pa.StructArray:
+        return pa.StructArray.from_arrays([pa.array(values[rows]) for values in places.values()], names=list(places))
+
+    more = pa.ListArray.from_arrays(pa.array(offsets), structs(by[in_several]), mask=pa.array(~several))
     fields = {name: pa.array(values[by][first]) for name, values in columns.items()}
-    fields |= {"n": pa.array(n), "id": pa.array(ids[by][first]), "at": pa.array(places[by][first].astype(np.int32)), "more": more}
-    return pa.RecordBatch.from_pydict(fields)
-
-
-#: What ``combined`` adds to the anchor and the columns of ``rest``.
-COMBINED = "n long, id long, at int, more array<struct<id: long, at: int>>"
-
-
-def recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows in order of ``anchor`` those whose anchor another row has too, or that stand for several rows (``n``)."""
-    held: pa.RecordBatch | None = None
-    held_flag = False
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = batch if held is None else pa.concat_batches([held, batch])
-        anchor = rows.column(rows.schema.get_field_index("anchor")).to_numpy()
-        flags = rows.column(rows.schema.get_field_index("n")).to_numpy() > 1
-        same = anchor[1:] == anchor[:-1]
-        flags = flags.copy()
-        flags[1:] |= same
-        flags[:-1] |= same
-        if held is not None:
-            flags[0] |= held_flag
-        yield rows.slice(0, rows.num_rows - 1).filter(pa.array(flags[:-1]))
-        held, held_flag = rows.slice(rows.num_rows - 1), bool(flags[-1])
-    if held is not None and held_flag:
-        yield held
+    return pa.RecordBatch.from_pydict({**fields, "n": pa.array(n), "place": structs(by[first]), "more": more})
 
 
 def covered(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

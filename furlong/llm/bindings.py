@@ -60,7 +60,7 @@ def op5_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    return byte_bpe.coding_digest(byte_bpe.encode(load(spark, sf_dir, "documents"), path, pattern), path, pattern)
+    return byte_bpe.coding_digest(load(spark, sf_dir, "documents"), path, pattern)
 
 
 @query

@@ -1,12 +1,11 @@
 """Phrases that occur often and whose parts seldom stand without each other, found by Rabin-Karp fingerprints.
 
-Words joined by single spaces lie in one buffer, and prefix sums of a polynomial over its
-bytes give the fingerprint of any run of words at once. Phrases are counted by fingerprint,
-one length after the other: a phrase can only be frequent if both phrases of one word less
-in it are, so the fingerprints that turned out frequent, kept as a bitmap of fixed size,
-spare the others the shuffle. A last pass follows a pointer to each frequent fingerprint's
-text and counts by text, so phrases that share a fingerprint part there; no other phrase's
-text is ever made.
+Every word has a code, and prefix sums of a polynomial over the codes give the fingerprint of
+any run of words at once. Phrases are counted by fingerprint, one length after the other: a
+phrase can only be frequent if both phrases of one word less in it are, so the fingerprints
+that turned out frequent, kept as a bitmap of fixed size, spare the others the shuffle. A
+last pass follows a pointer to each frequent fingerprint's text and counts by text, so
+phrases that share a fingerprint part there; no other phrase's text is ever made.
 
 The bitmap only prunes: what it lets pass by chance, or because a corpus has filled it, is
 counted and dropped.
@@ -15,16 +14,17 @@ counted and dropped.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from furlong.llm.common import cut_lineage, once_per_worker, pieces, text_bytes
+from furlong.llm.common import cut_lineage, once_per_worker, pieces
 from furlong.operators.skew import spread_join
 
 #: Text read at once; a longer one is read in parts.
@@ -32,119 +32,135 @@ CHUNK_BYTES = 2 * 1024 * 1024
 #: Bits of the bitmap of frequent fingerprints of one length: 8 MB.
 BITMAP_BITS = 26
 #: Parts of a language in which its best phrases are first chosen.
-SALTS = 256
+SALTS = 64
+#: Longer words are coded one by one.
+LONG_WORD = 64
 
 WORD, BLANK, STOP = 0, 1, 2
-_KIND = np.full(256, WORD, np.uint8)
-_KIND[[0x20, 0x09]] = BLANK
-_KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = STOP
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[0x41:0x5B] += 32
+_STOPS, _BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b" \x09"
+_KINDS = bytes(STOP if b in _STOPS else BLANK if b in _BLANKS else WORD for b in range(256))
+_FOLD = bytes(range(256)).lower()  # A-Z only
 
 _PRIMES = (2**31 - 1, 2**31 - 19)
 _BASES = (1_180_463_921, 1_823_094_217)
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A one-to-one scramble of 64 bits, so that the upper ones are fit for a bitmap."""
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
+
 def _powers(base: int, prime: int, n: int) -> np.ndarray:
     """base^0 ... base^(n-1) modulo a prime under 2^31."""
     out = np.ones(1, np.uint64)
     while len(out) < n:
         out = np.concatenate([out, out * np.uint64(pow(base, len(out), prime)) % np.uint64(prime)])
-    return out[:n]
+    return out[:n].astype(np.uint32)
 
 
 def _tables(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Powers of each base and of its inverse, made once per worker for buffers of a size."""
-    room = 1 << max(16, n.bit_length())
+    """Powers of each base and of its inverse, made once per worker for a number of words."""
+    room = 1 << max(20, n.bit_length())
     make = lambda: [(_powers(b, p, room), _powers(pow(b, -1, p), p, room)) for b, p in zip(_BASES, _PRIMES)]
-    return once_per_worker(("collocations", room), make)
+    return once_per_worker(("collocations", _BASES, _PRIMES, room), make)
 
 
-class Fingerprints:
-    """Fingerprints of any byte ranges of a buffer, 62 bits from two prefix polynomials."""
-
-    def __init__(self, data: np.ndarray) -> None:
-        self.tables = _tables(len(data))
-        self.sums = []
-        values = data.astype(np.uint64) + np.uint64(1)
-        for (powers, _), prime in zip(self.tables, _PRIMES):
-            terms = values * powers[: len(data)] % np.uint64(prime)
-            self.sums.append(np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)]))
-
-    def of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(begin), np.uint64)
-        for sums, (_, back), prime in zip(self.sums, self.tables, _PRIMES):
-            p = np.uint64(prime)
-            out = out << np.uint64(31) | (sums[end] - sums[begin]) % p * back[begin] % p
-        return out
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A one-to-one scramble of 64 bits, so that the upper ones are fit for a bitmap."""
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(32))
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Bytes of every word that are read at once; and those kept free behind the last text.
+FIRST_BYTES, ROOM = 16, 24
 
 
 class Words(NamedTuple):
-    """Words of some texts; begin and end are places in ``data``, where single spaces join them."""
+    """The words of some texts, in a buffer of folded bytes."""
 
-    data: np.ndarray
-    begin: np.ndarray
-    end: np.ndarray
+    raw: np.ndarray  # with some bytes behind the last text
+    start: np.ndarray
+    size: np.ndarray
     piece: np.ndarray  # words of one piece have the same number
     text: np.ndarray  # number of the text
     own: np.ndarray  # whether phrases that begin here are counted here
 
+    def blocks(self, of: np.ndarray | slice, at: int) -> np.ndarray:
+        """The eight bytes from byte ``at`` on of some words, zeros behind a word's end."""
+        overlapping = np.ndarray(len(self.raw) - 7, "<u8", self.raw, 0, (1,))
+        return overlapping[self.start[of] + at] & _MASKS[np.clip(self.size[of] - at, 0, 8)]
 
-def words_of(raw: np.ndarray, offsets: np.ndarray, own_bytes: int | None = None) -> Words:
+    def bytes_of(self, i: int) -> bytes:
+        return self.raw[self.start[i] : self.start[i] + self.size[i]].tobytes()
+
+
+def words_of(texts: list[bytes], own_bytes: int | None = None) -> Words:
     """Fold and split; ``own_bytes``: words that begin beyond it belong to the next part of a long text."""
-    kind = _KIND[raw]
+    # a line feed between texts ends a piece, as they do; sizes count it
+    joined = b"".join([b"\n", b"\n".join(texts), b"\n" * ROOM])
+    raw = np.frombuffer(joined.translate(_FOLD), np.uint8)
+    kind = np.frombuffer(joined.translate(_KINDS), np.uint8)
     inside = kind == WORD
-    edge = np.zeros(len(raw) + 1, bool)
-    edge[offsets] = True
-    starts = np.flatnonzero(inside & (edge[:-1] | ~np.concatenate([[False], inside[:-1]])))
-    stops = np.flatnonzero(inside & (edge[1:] | ~np.concatenate([inside[1:], [False]]))) + 1
-    sizes = stops - starts
-    end = np.cumsum(sizes + 1) - 1
-    begin = end - sizes
-    data = np.full(int((sizes + 1).sum()), 0x20, np.uint8)
-    data[np.arange(int(sizes.sum())) + np.repeat(np.arange(len(sizes)), sizes)] = _FOLD[raw[inside]]
-    text = np.searchsorted(offsets, starts, "right") - 1
-    piece = np.cumsum(kind == STOP)[starts] + text
-    own = np.ones(len(starts), bool) if own_bytes is None else starts < own_bytes
-    return Words(data, begin, end, piece, text, own)
-
-
-def _parts(raw: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, int]]:
+    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    start, stop = edge[::2], edge[1::2]
+    begins = np.cumsum([1, *[len(t) + 1 for t in texts[:-1]]])
+    new = np.zeros(len(start) + 1, bool)
+    new[np.searchsorted(start, np.flatnonzero(kind == STOP))] = True
+    own = np.ones(len(start), bool) if own_bytes is None else start <= own_bytes
+    return Words(raw, start, stop - start, np.cumsum(new[:-1]), np.searchsorted(begins, start, "right") - 1, own)
+
+
+class Fingerprints:
+    """Fingerprints of any runs of words, 62 bits from two prefix polynomials."""
+
+    def __init__(self, words: Words) -> None:
+        code = words.size.astype(np.uint64)
+        for at in range(0, FIRST_BYTES, 8):
+            code = _mixed(code ^ words.blocks(slice(None), at))
+        some, at = np.flatnonzero((words.size > FIRST_BYTES) & (words.size <= LONG_WORD)), FIRST_BYTES
+        while len(some):
+            code[some] = _mixed(code[some] ^ words.blocks(some, at))
+            at += 8
+            some = some[words.size[some] > at]
+        for i in np.flatnonzero(words.size > LONG_WORD).tolist():
+            code[i] = int.from_bytes(hashlib.blake2b(words.bytes_of(i), digest_size=8).digest())
+        codes = [code % np.uint64(_PRIMES[0]), (code >> np.uint64(32)) % np.uint64(_PRIMES[1])]
+        self.codes = codes
+        self.tables = _tables(len(words.start))
+        self.sums = []
+        for code, (powers, _), prime in zip(codes, self.tables, _PRIMES):
+            terms = (code + np.uint64(1)) * powers[: len(code)] % np.uint64(prime)
+            self.sums.append(np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)]))
+
+    def of(self, first: np.ndarray, length: int) -> np.ndarray:
+        out = np.full(len(first), length, np.uint64)
+        for sums, (_, back), prime in zip(self.sums, self.tables, _PRIMES):
+            p = np.uint64(prime)
+            out = out << np.uint64(31) | (sums[first + length] - sums[first]) % p * back[first] % p
+        return out
+
+
+def _parts(text: bytes, longest: int) -> Iterator[tuple[bytes, int]]:
     """A long text in parts, each with the words behind it that its last phrases need, and how many bytes are its own."""
+    kind = text.translate(_KINDS)
+    gap = re.compile(b"[\x01\x02]").search
+    word = re.compile(b"\x00+").finditer
     at = 0
-    while at < len(raw):
-        cut = min(at + CHUNK_BYTES, len(raw))
-        while cut < len(raw) and _KIND[raw[cut]] == WORD:
-            step = np.flatnonzero(_KIND[raw[cut : cut + 4096]] != WORD)
-            cut = cut + int(step[0]) if len(step) else min(cut + 4096, len(raw))
-        tail, more = cut, 256
-        while cut < len(raw):
-            inside = _KIND[raw[cut : cut + more]] == WORD
-            ends = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
-            if len(ends) >= longest - 1 or cut + more >= len(raw):
-                tail = cut + int(ends[longest - 2]) if len(ends) >= longest - 1 else len(raw)
-                break
-            more *= 2
-        yield raw[at:tail], cut - at
+    while at < len(text):
+        found = gap(kind, at + CHUNK_BYTES)
+        cut = found.start() if found else len(text)
+        behind = islice(word(kind, cut), longest - 1)
+        tail = max([cut, *[match.end() for match in behind]])
+        yield text[at:tail], cut - at
         at = cut
 
 
 def _read(batch: pa.RecordBatch, longest: int) -> Iterator[tuple[pa.RecordBatch, Words]]:
     """The words of a batch, some texts at a time."""
     for some in pieces(batch, "text", CHUNK_BYTES):
-        raw, offsets = text_bytes(some.column("text"))
-        if len(raw) <= CHUNK_BYTES:
-            yield some, words_of(raw, offsets)
+        texts = some.column("text").cast(pa.large_binary()).to_pylist()
+        if len(texts) > 1 or len(texts[0]) <= CHUNK_BYTES:
+            yield some, words_of(texts)
         else:  # a single long text
-            for part, own in _parts(raw, longest):
-                yield some, words_of(part, np.array([0, len(part)]), own)
+            for part, own in _parts(texts[0], longest):
+                yield some, words_of([part], own)
 
 
 def _language_keys(some: pa.RecordBatch) -> np.ndarray:
@@ -154,87 +170,122 @@ def _language_keys(some: pa.RecordBatch) -> np.ndarray:
     return np.array(numbers, np.uint64)[coded.indices.to_numpy(zero_copy_only=False)]
 
 
-def _phrases(words: Words, languages: np.ndarray, longest: int, bitmaps: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _phrases(
+    words: Words, prints: Fingerprints, languages: np.ndarray, longest: int, bitmaps: list[np.ndarray]
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Per length the first words and fingerprints of the phrases both of whose shorter ones are in the bitmaps.
 
     Goes one length beyond the bitmaps, at most to ``longest``.
     """
-    prints = Fingerprints(words.data)
     language = languages[words.text]
-    frequent = np.ones(len(words.begin), bool)
+    frequent = np.ones(len(words.start), bool)
     for length in range(1, min(longest, len(bitmaps) + 1) + 1):
         if length == 1:
-            first = np.arange(len(words.begin))
+            first = np.arange(len(words.start))
         else:  # the phrases one word shorter that begin at this word and at the next
             first = np.flatnonzero(frequent[:-1] & frequent[1:])
-            first = first[first + length <= len(words.begin)]
+            first = first[first + length <= len(words.start)]
             first = first[words.piece[first] == words.piece[first + length - 1]]
-        keys = _mixed(prints.of(words.begin[first], words.end[first + length - 1]) ^ language[first])
+        keys = _mixed(prints.of(first, length) ^ language[first])
         if length <= len(bitmaps):
             bitmap = bitmaps[length - 1]
             place = keys >> np.uint64(65 - (8 * len(bitmap)).bit_length())
             hit = (bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            frequent = np.zeros(len(words.begin), bool)
+            frequent = np.zeros(len(words.start), bool)
             frequent[first[hit]] = True
             first, keys = first[hit], keys[hit]
         yield length, first, keys
 
 
+#: Marks the fingerprints of words that are in a frequent phrase of two.
+USED = "used"
+
+
 def _counted(length: int, longest: int, bitmaps: list[Broadcast]):
-    """Per batch how often each fingerprint of one length occurs; of single words also their number per language."""
+    """Per batch how often each fingerprint of one length occurs.
+
+    With single words also their number per language; with phrases of three also which words
+    are in a frequent phrase of two.
+    """
+
+    def rows(keys: np.ndarray, n: np.ndarray, lang: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([lang, pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps = [np.frombuffer(b.value, np.uint8) for b in bitmaps]
         for batch in batches:
             for some, words in _read(batch, longest):
-                for at, first, keys in _phrases(words, _language_keys(some), longest, maps):
-                    if at < length:
-                        continue
-                    keys, n = np.unique(keys[words.own[first]].view(np.int64), return_counts=True)
-                    names, sums = [], []
-                    if length == 1:
-                        per_text = np.bincount(words.text[words.own], minlength=some.num_rows)
-                        totals = pa.table({"lang": some.column("lang"), "n": per_text}).group_by("lang").aggregate([("n", "sum")])
-                        names, sums = totals["lang"].to_pylist(), totals["n_sum"].to_pylist()
+                prints, languages = Fingerprints(words), _language_keys(some)
+                for at, first, keys in _phrases(words, prints, languages, longest, maps):
+                    if at == 2 and length == 3:
+                        both = np.unique(np.concatenate([first, first + 1]))
+                        used = np.unique(_mixed(prints.of(both, 1) ^ languages[words.text[both]]))
+                        yield rows(used, np.zeros(len(used)), pa.array([USED] * len(used), pa.string()))
+                    if at == length:
+                        keys, n = np.unique(keys[words.own[first]], return_counts=True)
+                        yield rows(keys, n, pa.nulls(len(keys), pa.string()))
+                if length == 1:
+                    per_text = np.bincount(words.text[words.own], minlength=some.num_rows)
+                    totals = pa.table({"lang": some.column("lang"), "n": per_text}).group_by("lang").aggregate([("n", "sum")])
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.concat_arrays([pa.nulls(len(keys), pa.string()), pa.array(names, pa.string())]),
-                            pa.concat_arrays([pa.array(keys), pa.nulls(len(names), pa.int64())]),
-                            pa.concat_arrays([pa.array(n.astype(np.int64)), pa.array(sums, pa.int64())]),
-                        ],
+                        [pa.array(totals["lang"].to_pylist(), pa.string()), pa.nulls(len(totals), pa.int64()), pa.array(totals["n_sum"].to_pylist(), pa.int64())],
                         names=["lang", "key", "n"],
-                    )
+                    )
 
     return run
 
 
-def _cut(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The bytes of several ranges, one after the other."""
-    before = np.cumsum(size) - size
-    return data[np.arange(int(size.sum())) + np.repeat(begin - before, size)]
-
-
-def _equal(data: np.ndarray, begin: np.ndarray, other: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Whether ranges of equal sizes, none empty, hold the same bytes."""
-    if not len(size):
-        return np.empty(0, bool)
-    return np.logical_and.reduceat(_cut(data, begin, size) == _cut(data, other, size), np.cumsum(size) - size)
-
-
-def _apart(data: np.ndarray, keys: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Group numbers of ranges by key and bytes: each is held against the first range with its key."""
+def _word_numbers(words: Words, prints: Fingerprints) -> np.ndarray:
+    """A number per word, the same for equal words only: each is held against the first with its code."""
+    codes = prints.codes[0] << np.uint64(31) | prints.codes[1]
+    _, at, number = np.unique(codes, return_index=True, return_inverse=True)
+    other = at[number]
+    same = words.size == words.size[other]
+    for begin in range(0, FIRST_BYTES, 8):
+        block = words.blocks(slice(None), begin)
+        same &= block == block[other]
+    some, begin = np.flatnonzero(same & (words.size > FIRST_BYTES) & (words.size <= LONG_WORD)), FIRST_BYTES
+    while len(some):
+        equal = words.blocks(some, begin) == words.blocks(other[some], begin)
+        same[some[~equal]] = False
+        begin += 8
+        some = some[equal & (words.size[some] > begin)]
+    for i in np.flatnonzero(same & (words.size > LONG_WORD)).tolist():
+        same[i] = words.bytes_of(i) == words.bytes_of(int(other[i]))
+    known: dict[bytes, int] = {}
+    for i in np.flatnonzero(~same).tolist():  # a code shared by different words
+        number[i] = known.setdefault(words.bytes_of(i), len(at) + len(known))
+    return number
+
+
+def _apart(keys: np.ndarray, numbers: np.ndarray, first: np.ndarray, length: int) -> np.ndarray:
+    """Group numbers of phrases by key and words: each is held against the first with its key."""
     _, at, group = np.unique(keys, return_index=True, return_inverse=True)
-    same = size == size[at][group]
-    same[same] = _equal(data, begin[same], begin[at][group][same], size[same])
-    if same.all():
-        return group
-    known: dict[tuple[int, bytes], int] = {}
-    for i in np.flatnonzero(~same).tolist():  # a fingerprint shared by different texts
-        text = data[begin[i] : begin[i] + size[i]].tobytes()
-        group[i] = known.setdefault((int(keys[i]), text), len(at) + len(known))
+    other = first[at[group]]
+    same = np.ones(len(first), bool)
+    for k in range(length):
+        same &= numbers[first + k] == numbers[other + k]
+    known: dict[tuple[int, ...], int] = {}
+    for i in np.flatnonzero(~same).tolist():  # a fingerprint shared by different phrases
+        phrase = (int(keys[i]), *numbers[first[i] : first[i] + length].tolist())
+        group[i] = known.setdefault(phrase, len(at) + len(known))
     return group
 
 
+def _texts(words: Words, first: np.ndarray, length: int) -> pa.Array:
+    """The phrases' words joined by single spaces."""
+    each = (first[:, None] + np.arange(length)).ravel()
+    size = words.size[each]
+    spaced = size + 1
+    spaced[length - 1 :: length] -= 1
+    ends = np.concatenate([[0], np.cumsum(spaced)])
+    out = np.full(int(ends[-1]), 0x20, np.uint8)
+    along, skipped = np.arange(int(size.sum())), np.cumsum(size) - size
+    out[along + np.repeat(ends[:-1] - skipped, size)] = words.raw[along + np.repeat(words.start[each] - skipped, size)]
+    offsets = ends[::length].astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.tobytes())).cast(pa.string())
+
+
 def _materialised(longest: int, bitmaps: list[Broadcast]):
     """Per batch the texts of the phrases whose fingerprints are frequent, with their counts and one document each."""
 
@@ -242,25 +293,18 @@ def _materialised(longest: int, bitmaps: list[Broadcast]):
         maps = [np.frombuffer(b.value, np.uint8) for b in bitmaps]
         for batch in batches:
             for some, words in _read(batch, longest):
-                ids = some.column("id").to_numpy(zero_copy_only=False)
-                lacking = some.column("id").is_null().to_numpy(zero_copy_only=False)
-                for length, first, keys in _phrases(words, _language_keys(some), longest, maps):
+                prints = Fingerprints(words)
+                numbers = _word_numbers(words, prints)
+                for length, first, keys in _phrases(words, prints, _language_keys(some), longest, maps):
                     counted = words.own[first]
                     first, keys = first[counted], keys[counted]
-                    begin = words.begin[first]
-                    size = words.end[first + length - 1] - begin
-                    group = _apart(words.data, keys, begin, size)
-                    _, at, n = np.unique(group, return_index=True, return_counts=True)
-                    begin, size, text = begin[at], size[at], words.text[first[at]]
-                    # of equal languages and texts there may be two rows where fingerprints are shared; they are added up
-                    ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-                    phrase = pa.Array.from_buffers(
-                        pa.string(), len(at), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(_cut(words.data, begin, size).tobytes())]
-                    )
+                    # there may be two rows of one phrase where fingerprints are shared; they are added up
+                    _, at, n = np.unique(_apart(keys, numbers, first, length), return_index=True, return_counts=True)
+                    text = pa.array(words.text[first[at]])
                     yield pa.RecordBatch.from_arrays(
                         [
-                            some.column("lang").take(pa.array(text)), phrase, pa.array(np.full(len(at), length, np.int32)),
-                            pa.array(n.astype(np.int64)), pa.array(ids[text].astype(np.int64), mask=lacking[text]),
+                            some.column("lang").take(text), _texts(words, first[at], length), pa.array(np.full(len(at), length, np.int32)),
+                            pa.array(n.astype(np.int64)), some.column("id").take(text),
                         ],
                         names=["lang", "phrase", "words", "n", "id"],
                     )
@@ -289,18 +333,22 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, id_column: str,
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     bitmaps: list[Broadcast] = []
-    totals = None
+    totals, used = None, None
     for length in range(1, longest):
         counts = rows.mapInArrow(_counted(length, longest, list(bitmaps)), "lang string, key long, n long")
         counts = counts.groupBy("lang", "key").agg(F.sum("n").alias("n"))
-        counts = cut_lineage(counts.filter((F.col("n") >= least) | F.col("key").isNull()), f"prints-{length}")
-        if totals is None:
+        counts = cut_lineage(counts.filter((F.col("n") >= least) | F.col("lang").isNotNull()), f"prints-{length}")
+        if length == 1:
             totals = counts.filter("key IS NULL").select("lang", "n")
-        bitmaps.append(_bitmap(counts.filter("key IS NOT NULL")))
-    found = rows.mapInArrow(_materialised(longest, list(bitmaps)), "lang string, phrase string, words int, n long, id long")
+        if length == 3:
+            used = _bitmap(counts.filter(F.col("lang") == USED))
+        bitmaps.append(_bitmap(counts.filter("lang IS NULL")))
+    # only words that are in a frequent phrase are parts of one
+    last = [used if used is not None else bitmaps[0], *bitmaps[1:]]
+    found = rows.mapInArrow(_materialised(longest, last), "lang string, phrase string, words int, n long, id long")
     found = found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("a"), F.min("id").alias("example_id"))
     found = cut_lineage(found.filter(F.col("a") >= least), "phrases")
-    for bitmap in bitmaps:
+    for bitmap in {*bitmaps, *last}:
         bitmap.destroy()
     return found, totals
 

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from types import ModuleType
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from furlong.session import cut_lineage
 
@@ -38,6 +38,21 @@ def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 
 
+def free_names(df: DataFrame, count: int) -> list[str]:
+    """Names that no column of the table has, whatever their case."""
+    taken = {name.lower() for name in df.columns}
+    return [name for name in (f"__{i}" for i in range(count + len(taken))) if name not in taken][:count]
+
+
+def row_keys(id_column: str | Column, text: str | Column) -> list[Column]:
+    """``k0`` and ``k1``, two hashes that stand for a row with this id and text.
+
+    Rows may lack an id, or share one with another text; rows that agree in both are the same to
+    the operators.
+    """
+    return [F.xxhash64(id_column, text).alias("k0"), F.xxhash64(F.lit(7), text, id_column).alias("k1")]
+
+
 def join_sized(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, how: str = "inner") -> DataFrame:
     """Join rows to a table that has one row per key and, in ``size``, how many rows the key has.
 
@@ -64,6 +79,32 @@ def once_per_worker(key: Any, make: Callable[[], Any]) -> Any:
     return kept[key]
 
 
+class Recent:
+    """Results by short text, kept for later batches: a bounded number, those asked for last the longest.
+
+    Results of longer texts are held for the batch that needs them.
+    """
+
+    def __init__(self, limit: int, longest: int) -> None:
+        self.limit, self.longest = limit, longest
+        self.now: dict[str, Any] = {}
+        self.older: dict[str, Any] = {}
+        self.passing: list[str] = []
+
+    def of(self, texts: set[str], make: Callable[[list[str]], Iterable[Any]]) -> dict[str, Any]:
+        """A dictionary with the results of all ``texts``; ``make`` is given those that are not kept."""
+        for text in self.passing:
+            del self.now[text]
+        if len(self.now) > self.limit:
+            self.now, self.older = {}, self.now
+        again = (texts & self.older.keys()) - self.now.keys()
+        self.now.update(zip(again, map(self.older.__getitem__, again)))
+        new = list(texts - self.now.keys())
+        self.now.update(zip(new, make(new)))
+        self.passing = [text for text in new if len(text) > self.longest]
+        return self.now
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column, one text after the other, and where each begins (and the end)."""
     column = pc.fill_null(column, "").cast(pa.large_binary())
@@ -122,5 +163,6 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], least: int
 
 
 __all__ = [
-    "cut_lineage", "is_empty", "join_sized", "load", "once_per_worker", "pieces", "prepare", "text_bytes", "whole_groups",
+    "Recent", "cut_lineage", "free_names", "is_empty", "join_sized", "load", "once_per_worker", "pieces", "prepare", "row_keys",
+    "text_bytes", "whole_groups",
 ]

@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from furlong.llm.common import cut_lineage, is_empty, join_sized, whole_groups
+from furlong.llm.common import cut_lineage, free_names, is_empty, join_sized, row_keys, whole_groups
 
 FIRST_DIGIT = 16
 #: Bytes of text that one slice of a group holds, about.
@@ -57,66 +57,67 @@ def _by_length(texts: list[bytes]) -> Iterator[list[int]]:
             yield from equal_groups(texts, members)
 
 
+def _largest(group: list[int], ids: list[int | None]) -> int:
+    """The member with the largest id; one without an id comes before all others."""
+    return max(group, key=lambda i: (ids[i] is not None, ids[i] or 0, i))
+
+
 def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row's representative within its batch, its first digit, and its hash for the result."""
+    """Each row's representative within its batch, its first digit, its hash for the result; a representative's text."""
     for batch in batches:
-        ids = batch.column(0).to_pylist()
-        texts = folded(batch.column(1)).to_pylist()
-        reps, counts = list(ids), [1] * len(ids)
+        rows, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        column = folded(batch.column(2)).cast(pa.binary())
+        texts = column.to_pylist()
+        reps, counts = list(rows), [1] * len(rows)
         for group in _by_length(texts):
-            rep = max(group, key=lambda i: (ids[i], i))
+            rep = _largest(group, ids)
             for i in group:
-                reps[i], counts[i] = ids[rep], 0
+                reps[i], counts[i] = rows[rep], 0
             counts[rep] = len(group)
+        lasting = pa.array(n > 0 for n in counts)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0),
+                *[batch.column(i) for i in (0, 1, 3, 4)],
                 pa.array(reps, pa.int64()),
                 pa.array(counts, pa.int64()),
                 pa.array(map(len, texts), pa.int64()),
                 pa.array([text[:FIRST_DIGIT] for text in texts], pa.binary()),
                 pa.array([hashlib.sha256(text).hexdigest() for text in texts], pa.string()),
+                pc.if_else(lasting, column, pa.scalar(None, pa.binary())),
             ],
-            names=["id", "rep", "n", "length", "digit", "sha256"],
+            names=["row", "id", "k0", "k1", "rep", "n", "length", "digit", "sha256", "text"],
         )
 
 
-def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        at = batch.schema.get_field_index("text")
-        yield batch.set_column(at, pa.field("text", pa.binary()), folded(batch.column(at)).cast(pa.binary()))
-
-
 def _within_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The representative of each row within its slice of a group; its text where the group has further slices."""
     for table in whole_groups(batches, ["length", "digit", "slice"], least=1000):
-        ids, n, texts = (table.column(c).to_pylist() for c in ("id", "n", "text"))
+        rows, ids, n, texts = (table.column(c).to_pylist() for c in ("row", "id", "n", "text"))
         length, digit, part, slices = (table.column(c).to_pylist() for c in ("length", "digit", "slice", "slices"))
         groups: dict[tuple, list[int]] = {}
-        seen: set[int] = set()
-        for i, row_id in enumerate(ids):  # a repeated row brings its text twice
-            if row_id not in seen:
-                seen.add(row_id)
-                groups.setdefault((length[i], digit[i], part[i]), []).append(i)
-        once = sorted(i for members in groups.values() for i in members)
-        reps, first = list(ids), [True] * len(ids)
+        for i in range(len(rows)):
+            groups.setdefault((length[i], digit[i], part[i]), []).append(i)
+        reps, rep_ids, first = list(rows), list(ids), [True] * len(rows)
         for members in groups.values():
             for group in equal_groups(texts, members):
-                rep = max(group, key=lambda i: (ids[i], i))
+                rep = _largest(group, ids)
                 total = sum(n[i] for i in group)
                 for i in group:
-                    reps[i], first[i], n[i] = ids[rep], i == rep, total
+                    reps[i], rep_ids[i], first[i], n[i] = rows[rep], ids[rep], i == rep, total
+        more = [s > 1 for s in slices]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([ids[i] for i in once], pa.int64()),
-                pa.array([reps[i] for i in once], pa.int64()),
-                pa.array([n[i] for i in once], pa.int64()),
-                pa.array([first[i] for i in once], pa.bool_()),
-                pa.array([length[i] for i in once], pa.int64()),
-                pa.array([slices[i] > 1 for i in once], pa.bool_()),
-                pa.array([texts[i] if slices[i] > 1 and first[i] else None for i in once], pa.binary()),
+                pa.array(rows, pa.int64()),
+                pa.array(ids, pa.int64()),
+                pa.array(reps, pa.int64()),
+                pa.array(rep_ids, pa.int64()),
+                pa.array(n, pa.int64()),
+                pa.array(first, pa.bool_()),
+                pa.array(length, pa.int64()),
+                pa.array(more, pa.bool_()),
+                pa.array([text if m and f else None for text, m, f in zip(texts, more, first)], pa.binary()),
             ],
-            names=["id", "rep", "n", "first", "length", "more", "text"],
+            names=["row", "id", "rep", "rep_id", "n", "first", "length", "more", "text"],
         )
 
 
@@ -127,41 +128,34 @@ def _sliced(counted: DataFrame) -> DataFrame:
 
 
 def _slice_of() -> Column:
-    return F.pmod(F.xxhash64("id"), F.col("slices")).alias("slice")
+    return F.pmod(F.xxhash64("row"), F.col("slices")).alias("slice")
 
 
-def equal_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: its id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
-
-    Texts are equal when identical after lower-casing A-Z; null counts as empty. Of equal
-    texts the largest id stays. Rows that repeat an id and its text are all counted, and
-    all rows with the largest id are marked as kept; an id is expected to have one text.
-    Rows without an id are left out. Other columns are neither read nor returned.
-    """
-    source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text")).filter("id IS NOT NULL")
-    schema = "id long, rep long, n long, length long, digit binary, sha256 string"
+def _grouped(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """Per row ``id``, ``k0``, ``k1`` (``row_keys``), ``keep_id``, ``group_size``, ``kept``, ``sha256``."""
+    source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
+    source = source.select(F.monotonically_increasing_id().alias("row"), "id", "text", *row_keys("id", "text"))
+    schema = "row long, id long, k0 long, k1 long, rep long, n long, length long, digit binary, sha256 string, text binary"
+    # written with the numbers of its rows, so these hold from here on
     rows = cut_lineage(source.mapInArrow(_first_pass, schema), "radix")
 
-    reps = rows.filter("n > 0").groupBy("id", "length", "digit").agg(F.sum("n").alias("n"))
+    reps = rows.filter("n > 0").select("row", "id", "n", "length", "digit", "text")
     groups = cut_lineage(_sliced(rows.filter("n > 0").groupBy("length", "digit").agg(F.count("*").alias("rows"))), "digits")
-    open_rows = cut_lineage(join_sized(reps, groups, ["length", "digit"], "rows"), "open")
-    open_rows = source.join(open_rows.hint("merge"), "id").select("id", "length", "digit", "n", "slices", "text").mapInArrow(
-        _fold, "id long, length long, digit binary, n long, slices long, text binary"
-    )
+    open_rows = join_sized(reps, groups, ["length", "digit"], "rows")
 
     links: list[DataFrame] = []
     width = FIRST_DIGIT
-    out_schema = "id long, rep long, n long, first boolean, length long, more boolean, text binary"
+    out_schema = "row long, id long, rep long, rep_id long, n long, first boolean, length long, more boolean, text binary"
     while True:
         placed = (
             open_rows.withColumn("slice", _slice_of())
             .repartition("length", "digit", "slice")
             .sortWithinPartitions("length", "digit", "slice")
-            .select("id", "n", "length", "digit", "slice", "slices", "text")
+            .select("row", "id", "n", "length", "digit", "slice", "slices", "text")
         )
         done = cut_lineage(placed.mapInArrow(_within_slices, out_schema), "slices")
         links.append(done)
-        further = done.filter("more AND first").select("id", "n", "length", "text")
+        further = done.filter("more AND first").select("row", "id", "n", "length", "text")
         if is_empty(further):
             break
         width *= 8
@@ -171,30 +165,48 @@ def equal_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
         open_rows = join_sized(open_rows, groups, ["length", "digit"], "rows")
 
     # from the last round back: what a representative was joined to holds for its rows
-    last = links[-1].select("id", F.col("rep").alias("keep_id"), F.col("n").alias("group_size"))
+    last = links[-1].select("row", F.col("rep_id").alias("keep_id"), F.col("n").alias("group_size"))
     for done in reversed(links[:-1]):
-        step = done.select("id", "rep", "n").join(
-            last.select(F.col("id").alias("rep"), "keep_id", "group_size"), "rep", "left"
+        step = done.select("row", "rep", "rep_id", "n").join(
+            last.select(F.col("row").alias("rep"), "keep_id", "group_size"), "rep", "left"
         )
         last = step.select(
-            "id", F.coalesce("keep_id", "rep").alias("keep_id"), F.coalesce("group_size", "n").alias("group_size")
+            "row", _known("keep_id").otherwise(F.col("rep_id")).alias("keep_id"), F.coalesce("group_size", "n").alias("group_size")
         )
-    alone = rows.filter("n > 0").groupBy("id").agg(F.sum("n").alias("__n"))
-    found = alone.join(last, "id", "left").select(
-        F.col("id").alias("rep"),
-        F.coalesce("keep_id", "id").alias("keep_id"),
-        F.coalesce("group_size", "__n").alias("group_size"),
+    alone = rows.filter("n > 0").select("row", "id", "n")
+    found = alone.join(last, "row", "left").select(
+        F.col("row").alias("rep"),
+        _known("keep_id").otherwise(F.col("id")).alias("keep_id"),
+        F.coalesce("group_size", "n").alias("group_size"),
+    )
+    return rows.select("id", "k0", "k1", "rep", "sha256").join(found, "rep").select(
+        "id", "k0", "k1", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "sha256"
     )
-    return rows.join(found, "rep").select(
-        F.col("id").alias(id_column),
-        "keep_id",
-        "group_size",
-        (F.col("id") == F.col("keep_id")).alias("kept"),
-        F.col("sha256").alias("text_sha256"),
+
+
+def _known(column: str) -> Column:
+    """A column of a left join's right side, null or not, where there was a match."""
+    return F.when(F.col("group_size").isNotNull(), F.col(column))
+
+
+def equal_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: its id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
+
+    Texts are equal when identical after lower-casing A-Z; null counts as empty. Of equal
+    texts the largest id stays. All rows count: those that repeat an id, with the same text or
+    another, and those without an id. All rows with the largest id are marked as kept; a row
+    without an id is kept only where no equal text has one. Other columns are neither read nor
+    returned.
+    """
+    return _grouped(docs, id_column, text).select(
+        F.col("id").alias(id_column), "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256")
     )
 
 
 def drop_equal_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all their columns; rows without an id stay too."""
-    gone = equal_texts(docs, id_column, text).filter("NOT kept").select(F.col(id_column)).distinct()
-    return docs.join(gone.hint("merge"), id_column, "left_anti")
+    """The rows of ``docs`` that ``equal_texts`` keeps, all their columns."""
+    gone = _grouped(docs, id_column, text).filter("NOT kept").select("k0", "k1").distinct()
+    keys = dict(zip(free_names(docs, 2), row_keys(F.col(id_column).cast("long"), F.col(text))))
+    marked = docs.withColumns(keys)
+    same = [marked[name] == gone[key] for name, key in zip(keys, ("k0", "k1"))]
+    return marked.join(gone.hint("merge"), same, "left_anti").drop(*keys)

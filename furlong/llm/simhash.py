@@ -24,15 +24,13 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from furlong.llm.common import cut_lineage, is_empty, join_sized, whole_groups
+from furlong.llm.common import cut_lineage, free_names, is_empty, join_sized, row_keys, whole_groups
 from furlong.llm.components import components
 
 SEED = 42
 FAN = 16
 #: Fingerprints under one upper node that a task takes; beyond that the node is divided.
 NODE_LIMIT = 2_000_000
-#: Up to this size a node's members are compared neighbour by neighbour.
-SMALL = 24
 
 
 def fingerprint(text: bytes, width: int) -> int:
@@ -58,16 +56,16 @@ def fingerprint(text: bytes, width: int) -> int:
 
 
 def fingerprints(docs: DataFrame, id_column: str, text: str, width: int) -> DataFrame:
-    """``id`` and ``fp`` (the 64 bits as a long) of every row that has an id."""
+    """``id``, ``k0``, ``k1`` (``row_keys``) and ``fp`` (the 64 bits as a long) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lowered = pc.ascii_lower(pc.fill_null(batch.column(1), "")).cast(pa.large_binary())
+            lowered = pc.ascii_lower(pc.fill_null(batch.column(3), "")).cast(pa.large_binary())
             marks = np.array([fingerprint(t.as_py(), width) for t in lowered], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.int64())], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(marks, pa.int64())], names=["id", "k0", "k1", "fp"])
 
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text")).filter("id IS NOT NULL")
-    return rows.mapInArrow(run, "id long, fp long")
+    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
+    return rows.select("id", *row_keys("id", "text"), "text").mapInArrow(run, "id long, k0 long, k1 long, fp long")
 
 
 def _block_masks(free: int, blocks: int) -> list[int]:
@@ -118,24 +116,40 @@ def _tree(marks: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return levels[::-1]
 
 
-def node_labels(marks: np.ndarray, max_bits: int, block: int = 2048) -> np.ndarray:
-    """For fingerprints in Gray order the first position of each one's group under this node."""
-    labels = np.arange(len(marks))
+def node_labels(
+    marks: np.ndarray, max_bits: int, block: int = 4096, starts: np.ndarray | None = None, seen_nodes: list[int] | None = None
+) -> np.ndarray:
+    """For fingerprints under one or more upper nodes the first position of each one's group.
+
+    ``starts``: where each upper node begins; within it the fingerprints lie in Gray order.
+    One tree of shared patterns spans them all, and a search stays under its own upper node.
+    ``seen_nodes`` gets how many nodes were looked at, and how many of them were left out
+    because of their differences, or because all their members were known to be linked.
+    """
+    total = len(marks)
+    starts = np.zeros(1, np.int64) if starts is None else starts
+    stop = np.repeat(np.append(starts[1:], total), np.diff(np.append(starts, total)))
+    labels = np.arange(total)
     levels = _tree(marks)
-    for start in range(0, len(marks), block):
-        asking = np.arange(start, min(start + block, len(marks)))
-        spans = [FAN ** (len(levels) - 1 - depth) for depth in range(len(levels))]
+    spans = [FAN ** (len(levels) - 1 - depth) for depth in range(len(levels))]
+    counts = np.zeros(3, np.int64)
+    for start in range(0, total, block):
+        asking = np.arange(start, min(start + block, total))
         who = np.repeat(asking, len(levels[0][1]))
         node = np.tile(np.arange(len(levels[0][1])), len(asking))
         seen, above = np.zeros(len(who), np.int64), np.zeros(len(who), np.uint64)
         for depth, (shared, pattern) in enumerate(levels):
+            # later rows under the same upper node only: a pair is met once
+            own = (node * spans[depth] < stop[who]) & ((node + 1) * spans[depth] > who + 1)
+            who, node, seen, above = who[own], node[own], seen[own], above[own]
             new_bits = shared[node] & ~above
             seen = seen + np.bitwise_count((marks[who] ^ pattern[node]) & new_bits)
-            begins = np.arange(0, len(marks), spans[depth])
+            begins = np.arange(0, total, spans[depth])
             least, most = np.minimum.reduceat(labels, begins), np.maximum.reduceat(labels, begins)
             known = (least[node] == labels[who]) & (most[node] == labels[who])
-            # later rows only: a pair is met once
-            keep = (seen <= max_bits) & ~known & ((node + 1) * spans[depth] > who)
+            near = seen <= max_bits
+            counts += len(node), np.count_nonzero(~near), np.count_nonzero(near & known)
+            keep = near & ~known
             who, node, seen, above = who[keep], node[keep], seen[keep], shared[node[keep]]
             if depth + 1 < len(levels):
                 width = len(levels[depth + 1][1])
@@ -144,32 +158,25 @@ def node_labels(marks: np.ndarray, max_bits: int, block: int = 2048) -> np.ndarr
                 inside = node < width
                 who, node, seen, above = who[inside], node[inside], seen[inside], above[inside]
         labels = _joined_labels(labels, who, node)
+    if seen_nodes is not None:
+        seen_nodes[:] = counts.tolist()
     return labels
 
 
 def _links_under_nodes(max_bits: int):
-    """Links of each member to the first member of its group, node by node."""
+    """Links of each member to the first member of its group, for the upper nodes with two members or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ["mask", "pattern"], least=20_000):
-            ids, marks = table.column("id").to_numpy(), table.column("fp").to_numpy().view(np.uint64)
             mask, pattern = table.column("mask").to_numpy(), table.column("pattern").to_numpy()
-            new = np.concatenate([[True], (mask[1:] != mask[:-1]) | (pattern[1:] != pattern[:-1])])
-            starts = np.flatnonzero(new)
-            sizes = np.diff(np.append(starts, len(ids)))
-            group = np.repeat(np.arange(len(starts)), sizes)
-            small = (sizes <= SMALL)[group]
-            labels = np.arange(len(ids))
-            pairs = []
-            for step in range(1, min(SMALL, int(sizes.max()))):
-                a = np.flatnonzero((group[step:] == group[:-step]) & small[step:])
-                near = np.bitwise_count(marks[a] ^ marks[a + step]) <= max_bits
-                pairs.append((a[near], a[near] + step))
-            if pairs:
-                labels = _joined_labels(labels, *(np.concatenate(x) for x in zip(*pairs)))
-            for g in np.flatnonzero(sizes > SMALL):
-                here = slice(starts[g], starts[g] + sizes[g])
-                labels[here] = starts[g] + node_labels(marks[here], max_bits)
+            heads = np.flatnonzero(np.concatenate([[True], (mask[1:] != mask[:-1]) | (pattern[1:] != pattern[:-1])]))
+            sizes = np.diff(np.append(heads, len(mask)))
+            several = np.repeat(sizes > 1, sizes)
+            ids, marks = table.column("id").to_numpy()[several], table.column("fp").to_numpy()[several].view(np.uint64)
+            sizes = sizes[sizes > 1]
+            if not len(sizes):
+                continue
+            labels = node_labels(marks, max_bits, starts=np.cumsum(sizes) - sizes)
             linked = np.flatnonzero(labels != np.arange(len(ids)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[linked]), pa.array(ids[labels[linked]])], names=["a", "b"]
@@ -227,6 +234,22 @@ def _divided(rows: DataFrame, max_bits: int) -> DataFrame:
     )
 
 
+def _grouped(docs: DataFrame, id_column: str, text: str, width: int, max_bits: int) -> DataFrame:
+    """Per row ``id``, ``k0``, ``k1``, ``fp`` and ``component_id``."""
+    marks = cut_lineage(fingerprints(docs, id_column, text, width), "fingerprints")
+    nodes = cut_lineage(marks.groupBy("fp").agg(F.min("id").alias("first"), F.count("*").alias("n")), "nodes")
+    # fingerprints are what is linked: rows may lack an id, or share one
+    found = components(near_links(nodes.select("fp", F.col("fp").alias("id")), max_bits), "a", "b")
+    grouped = nodes.join(found.select(F.col("id").alias("fp"), "component"), "fp", "left").select(
+        "fp", F.coalesce("component", "fp").alias("component"), "first", "n"
+    )
+    grouped = cut_lineage(grouped, "members")
+    least = grouped.groupBy("component").agg(F.min("first").alias("component_id"), F.count("*").alias("members"))
+    named = join_sized(grouped, cut_lineage(least, "components"), ["component"], "members")
+    named = cut_lineage(named.select("fp", "component_id", "n"), "groups")
+    return join_sized(marks, named, ["fp"], "n").select("id", "k0", "k1", "fp", "component_id")
+
+
 def near_groups(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = 4, max_bits: int = 4
 ) -> DataFrame:
@@ -235,19 +258,11 @@ def near_groups(
     Texts are read in lower case (A-Z only), null as empty; a text with fewer than
     ``width`` words is one shingle, and one without words has fingerprint zero, which
     links like any other. ``component_id`` is the smallest id that can be reached over
-    links of at most ``max_bits`` bits. Rows that repeat an id have a row each; rows
-    without an id are left out. Other columns are neither read nor returned.
+    links of at most ``max_bits`` bits, null where none of the rows reached has one. Rows
+    that repeat an id, with the same text or another, and rows without an id have a row each
+    and link like others. Other columns are neither read nor returned.
     """
-    marks = cut_lineage(fingerprints(docs, id_column, text, width), "fingerprints")
-    nodes = cut_lineage(
-        marks.groupBy("fp").agg(F.min("id").alias("first"), F.count("*").alias("n")), "nodes"
-    )
-    found = components(near_links(nodes.select("fp", F.col("first").alias("id")), max_bits), "a", "b")
-    # an id may have several fingerprints, if rows repeat it with other texts
-    grouped = nodes.join(found.select(F.col("id").alias("first"), "component"), "first", "left").select(
-        "fp", F.coalesce("component", "first").alias("component_id"), "n"
-    )
-    return join_sized(marks, cut_lineage(grouped, "groups"), ["fp"], "n").select(
+    return _grouped(docs, id_column, text, width, max_bits).select(
         F.col("id").alias(id_column), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
@@ -255,7 +270,13 @@ def near_groups(
 def drop_near_copies(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = 4, max_bits: int = 4
 ) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their group; rows without an id stay too."""
-    groups = near_groups(docs, id_column, text, width, max_bits)
-    gone = groups.filter(F.col(id_column) != F.col("component_id")).select(id_column).distinct()
-    return docs.join(gone.hint("merge"), id_column, "left_anti")
+    """The rows of ``docs`` with the smallest id of their group, all their columns.
+
+    A row without an id stays only where no row of its group has one.
+    """
+    groups = _grouped(docs, id_column, text, width, max_bits)
+    gone = groups.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select("k0", "k1").distinct()
+    keys = dict(zip(free_names(docs, 2), row_keys(F.col(id_column).cast("long"), F.col(text))))
+    marked = docs.withColumns(keys)
+    same = [marked[name] == gone[key] for name, key in zip(keys, ("k0", "k1"))]
+    return marked.join(gone.hint("merge"), same, "left_anti").drop(*keys)

@@ -18,8 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from furlong.llm.anchors import COMBINED, Hashes, anchor_runs, combined, covered, recurring
-from furlong.llm.common import cut_lineage, join_sized, pieces, text_bytes, whole_groups
+from furlong.llm.anchors import Hashes, anchor_runs, combined, covered, digests
+from furlong.llm.common import cut_lineage, join_sized, pieces, row_keys, text_bytes, whole_groups
 from furlong.llm.suffix_array import long_matches, suffix_array
 
 RUN = 32
@@ -29,7 +29,12 @@ SHARD_ROWS = 6_000
 #: Different stretches around one anchor that go to one shard.
 MOST_STRETCHES = 20_000
 SEPARATOR = 0xFF  # no byte of UTF-8
-KEYS = ["anchor", "v", "windows", "off"]
+#: A stretch: hash of its anchor, digest of its bytes, windows in it, bytes before the anchor.
+KEYS = ["anchor", "v0", "v1", "windows", "off"]
+KEY_TYPES = "anchor long, v0 long, v1 long, windows int, off int"
+#: A row, by two hashes of its id and text: it may lack an id, or share one with another text.
+ROW = ["k0", "k1"]
+PLACE = "struct<k0: long, k1: long, at: long>"
 
 
 def _stretches(offsets: np.ndarray, length: int) -> Iterator[list[tuple[int, int, int]]]:
@@ -49,14 +54,14 @@ def _stretches(offsets: np.ndarray, length: int) -> Iterator[list[tuple[int, int
 
 
 def _anchored(length: int):
-    """Per batch the anchors of all windows, with a hash of the stretch that their windows cover."""
+    """Per batch the anchors of all windows, with a digest of the stretch that their windows cover."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[tuple[np.ndarray, ...]] = []
             for some in pieces(batch, "text", 4 * CHUNK_BYTES):
-                ids = some.column(0).to_numpy()
-                whole, offsets = text_bytes(some.column(1))
+                keys = [some.column(name).to_numpy() for name in ROW]
+                whole, offsets = text_bytes(some.column("text"))
                 for group in _stretches(offsets, length):
                     rows, begins, ends = (np.array(x, np.int64) for x in zip(*group))
                     base = begins[0]
@@ -69,17 +74,17 @@ def _anchored(length: int):
                     runs = anchor_runs(run_hashes, begins - base, ends - base, RUN, length)
                     if not len(runs.anchor):
                         continue
-                    content = Hashes(data, 1).of(runs.first, runs.last + length).view(np.int64)
+                    row = rows[runs.text]
                     found.append(
                         (
-                            run_hashes[runs.anchor], content, (runs.last - runs.first + 1).astype(np.int32),
-                            (runs.anchor - runs.first).astype(np.int32), ids[rows[runs.text]],
-                            runs.first + base - offsets[rows[runs.text]],
+                            run_hashes[runs.anchor].view(np.int64), *digests(data, runs.first, runs.last + length),
+                            (runs.last - runs.first + 1).astype(np.int32), (runs.anchor - runs.first).astype(np.int32),
+                            *[key[row] for key in keys], runs.first + base - offsets[row],
                         )
                     )
             if found:
-                anchor, v, windows, off, ids, at = (np.concatenate(x) for x in zip(*found))
-                yield combined(anchor, {"v": v, "windows": windows, "off": off}, ids, at)
+                columns = [np.concatenate(x) for x in zip(*found)]
+                yield combined(dict(zip(KEYS, columns)), dict(zip([*ROW, "at"], columns[len(KEYS) :])))
 
     return run
 
@@ -91,15 +96,15 @@ def _cut_out(length: int):
         for batch in batches:
             for some in pieces(batch, "text", 4 * CHUNK_BYTES):
                 out = []
-                for text, wanted in zip(some.column(1).cast(pa.large_binary()).to_pylist(), some.column(2).to_pylist()):
+                for text, wanted in zip(some.column(0).cast(pa.large_binary()).to_pylist(), some.column(1).to_pylist()):
                     for w in wanted:
                         at = w.pop("at")
                         out.append({**w, "bytes": (text or b"")[at : at + w["windows"] + length - 1]})
                 yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
     arrow = pa.schema(
-        [("anchor", pa.int64()), ("v", pa.int64()), ("windows", pa.int32()), ("off", pa.int32()), ("c", pa.int64()),
-         ("members", pa.int64()), ("bytes", pa.binary())]
+        [("anchor", pa.int64()), ("v0", pa.int64()), ("v1", pa.int64()), ("windows", pa.int32()), ("off", pa.int32()),
+         ("c", pa.int64()), ("members", pa.int64()), ("bytes", pa.binary())]
     )
     return run
 
@@ -133,7 +138,7 @@ def _sorted_shards(length: int):
 
 
 def _windows(length: int):
-    """Every window of each stretch, by two hashes."""
+    """Every window of each stretch, by its digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,10 +147,9 @@ def _windows(length: int):
                 texts = some.column(some.schema.get_field_index("bytes")).to_pylist()
                 sizes = np.array([len(t) for t in texts])
                 windows = np.minimum(some.column(some.schema.get_field_index("windows")).to_numpy(), np.maximum(sizes - length + 1, 0))
-                data = np.frombuffer(b"".join(texts), np.uint8)
                 place = np.arange(windows.sum()) - np.repeat(np.concatenate([[0], np.cumsum(windows)[:-1]]), windows)
                 at = place + np.repeat(np.concatenate([[0], np.cumsum(sizes)[:-1]]), windows)
-                two = [pa.array(Hashes(data, i).of(at, at + length).view(np.int64)) for i in (0, 1)]
+                two = [pa.array(half) for half in digests(b"".join(texts), at, at + length)]
                 keys = some.select([*KEYS, "c"]).take(pa.array(np.repeat(np.arange(len(texts)), windows)))
                 yield pa.RecordBatch.from_arrays(
                     [*keys.columns, *two, pa.array(place.astype(np.int32))], names=[*KEYS, "c", "w0", "w1", "place"]
@@ -178,36 +182,37 @@ def _removed(length: int):
 
 
 def repeated_spans(rows: DataFrame, length: int, most: int | None = None) -> DataFrame:
-    """Per ``id`` the byte spans (``begin``, ``end``) of all strings of ``length`` bytes that occur elsewhere too.
+    """Per row (``ROW``) the byte spans (``begin``, ``end``) of all strings of ``length`` bytes that occur elsewhere too.
 
-    ``rows``: ``id`` and ``text``.
+    ``rows``: ``ROW`` and ``text``.
     """
-    key_types = "anchor long, v long, windows int, off int"
-    anchored = rows.mapInArrow(_anchored(length), f"{key_types}, {COMBINED}")
-    ordered = anchored.repartition("anchor").sortWithinPartitions("anchor")
-    found = cut_lineage(ordered.mapInArrow(recurring, f"{key_types}, {COMBINED}"), "recurring")
+    anchored = rows.mapInArrow(_anchored(length), f"{KEY_TYPES}, n long, place {PLACE}, more array<{PLACE}>")
+    anchored = cut_lineage(anchored, "anchored")
+    # only counts are shuffled by anchor; where it occurs stays with the row
+    counts = anchored.groupBy("anchor").agg(F.sum("n").alias("n"), F.count("*").alias("size")).filter("n > 1").drop("n")
+    found = join_sized(anchored, cut_lineage(counts, "recurring"), ["anchor"], "size")
+    found = cut_lineage(found.select(*anchored.columns), "found")
 
     stretches = cut_lineage(
-        found.groupBy(*KEYS).agg(F.sum("n").alias("c"), F.count("*").alias("rows"), F.min(F.struct("id", "at")).alias("place")),
-        "stretches",
+        found.groupBy(*KEYS).agg(F.sum("n").alias("c"), F.count("*").alias("rows"), F.min("place").alias("place")), "stretches"
     )
     groups = stretches.groupBy("anchor").agg(F.count("*").alias("members")).filter("members > 1")
     groups = cut_lineage(groups.withColumn("size", F.col("members")), "anchors")
     several = join_sized(stretches, groups, ["anchor"], "size")
-    wanted = several.groupBy(F.col("place.id").alias("id")).agg(  # at most what one text holds
+    wanted = several.groupBy(*[F.col(f"place.{k}").alias(k) for k in ROW]).agg(  # at most what one text holds
         F.collect_list(F.struct(*KEYS, "c", "members", F.col("place.at").alias("at"))).alias("wanted")
     )
-    cut_out = rows.join(wanted.hint("merge"), "id").select("id", "text", "wanted").mapInArrow(
-        _cut_out(length), f"{key_types}, c long, members long, bytes binary"
+    cut_out = rows.join(wanted.hint("merge"), ROW).select("text", "wanted").mapInArrow(
+        _cut_out(length), f"{KEY_TYPES}, c long, members long, bytes binary"
     )
     cut_out = cut_lineage(cut_out, "candidates")
     limit = most or MOST_STRETCHES
     ranges = "array<struct<begin: int, end: int>>"
     placed = cut_out.filter(F.col("members") <= limit).repartition("anchor").sortWithinPartitions("anchor")
-    by_arrays = placed.mapInArrow(_sorted_shards(length), f"{key_types}, c long, ranges {ranges}")
+    by_arrays = placed.mapInArrow(_sorted_shards(length), f"{KEY_TYPES}, c long, ranges {ranges}")
 
     windows = cut_out.filter(F.col("members") > limit).mapInArrow(
-        _windows(length), f"{key_types}, c long, w0 long, w1 long, place int"
+        _windows(length), f"{KEY_TYPES}, c long, w0 long, w1 long, place int"
     )
     windows = cut_lineage(windows, "windows")
     equal = cut_lineage(windows.groupBy("w0", "w1").agg(F.count("*").alias("size")).filter("size > 1"), "equal")
@@ -219,31 +224,37 @@ def repeated_spans(rows: DataFrame, length: int, most: int | None = None) -> Dat
     settled = stretches.filter("c > 1").select(*KEYS, "rows", whole.alias("ranges"))
     verdicts = cut_lineage(settled.unionByName(compared), "verdicts")
     hits = join_sized(found, verdicts, KEYS, "rows")
-    places = F.coalesce("more", F.array(F.struct("id", "at")))
-    spans = hits.select(F.explode(places).alias("p"), "ranges").select("p.id", "p.at", F.explode("ranges").alias("r"))
+    places = F.coalesce("more", F.array("place"))
+    spans = hits.select(F.explode(places).alias("p"), "ranges").select("p.*", F.explode("ranges").alias("r"))
     return spans.select(
-        "id", (F.col("at") + F.col("r.begin")).alias("begin"), (F.col("at") + F.col("r.end") - 1 + length).alias("end")
+        *ROW, (F.col("at") + F.col("r.begin")).alias("begin"), (F.col("at") + F.col("r.end") - 1 + length).alias("end")
     )
 
 
 def drop_repeats(
     docs: DataFrame, length: int = 200, id_column: str = "doc_id", text: str = "text", most: int | None = None
 ) -> DataFrame:
-    """Id, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (bytes) of every row of ``docs`` that has an id.
+    """Id, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (bytes) of every row of ``docs``.
 
     Removed is every byte covered by a string of ``length`` bytes that starts anywhere else
     too, in the same text or another; strings never cross texts, and overlaps count. Null
-    counts as empty; a text shorter than ``length`` stays. Rows that repeat an id count as
-    texts of their own; an id is expected to have one text. ``n_spans``: maximal removed
-    runs. Equality is that of two 64-bit hashes for strings in equal stretches, that of the
-    bytes otherwise. Other columns are neither read nor returned.
+    counts as empty; a text shorter than ``length`` stays. Rows without an id, and rows that
+    repeat one with the same text or another, count as texts of their own. ``n_spans``:
+    maximal removed runs. Equality is that of 128-bit digests for strings in equal stretches,
+    that of the bytes otherwise. Other columns are neither read nor returned.
     """
     if length < 2 * RUN:
         raise ValueError(f"strings must have {2 * RUN} bytes at least")
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text")).filter("id IS NOT NULL")
-    spans = repeated_spans(rows, length, most).groupBy("id").agg(
-        F.collect_list(F.struct("begin", "end")).alias("spans")  # at most what one text holds
+    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = rows.select(*row_keys("id", "text"), "id", "text")
+    # a text this short can't repeat a string; such rows, a third of all perhaps, stay where they are
+    long_enough = F.octet_length("text") >= length
+    candidates = rows.filter(long_enough)
+    spans = repeated_spans(candidates.drop("id"), length, most).groupBy(*ROW).agg(
+        F.collect_set(F.struct("begin", "end")).alias("spans")  # at most what one text holds
     )
-    joined = rows.join(spans.hint("merge"), "id", "left").select("id", "text", "spans")
-    out = joined.mapInArrow(_removed(length), "id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    joined = candidates.join(spans.hint("merge"), ROW, "left").select("id", "text", "spans")
+    short = rows.filter(~long_enough).select("id", "text", F.lit(None).cast("array<struct<begin: long, end: long>>").alias("spans"))
+    schema = "id long, n_bytes long, n_removed long, n_spans long, kept binary"
+    out = joined.mapInArrow(_removed(length), schema).unionByName(short.mapInArrow(_removed(length), schema))
     return out.withColumnRenamed("id", id_column)

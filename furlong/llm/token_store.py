@@ -7,35 +7,67 @@ hold none of the documents asked for, and each stripe can be read by a task of i
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from furlong.llm.common import once_per_worker, pieces
+from furlong.llm.common import Recent, cut_lineage, once_per_worker, pieces
 from furlong.operators.skew import running_totals
 
 STRIPE_BYTES = 16 * 1024 * 1024
 ROWS_PER_INDEX_ENTRY = 1_000
 CHUNK_BYTES = 4 * 1024 * 1024
-KEPT_WORDS = 300_000
+KEPT_WORDS = 500_000
+LONGEST_KEPT = 64
+
+
+def splits_at_space(parts: dict[str, Any]) -> bool:
+    """Whether a tokenizer's description says that it drops white space, and that no id depends on what lies beyond it.
+
+    Known to be so: normalisers that work on single characters and their marks (NFC and the
+    like, lower case, runs of white space as one space), a pre-tokenizer whose first step takes
+    pieces without white space by a pattern and drops the rest, and no step after the model.
+    """
+    normalizer = parts.get("normalizer") or {"type": "Sequence", "normalizers": []}
+    steps = normalizer["normalizers"] if normalizer["type"] == "Sequence" else [normalizer]
+    spaces = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+    if any(step["type"] not in ("NFC", "NFD", "NFKC", "NFKD", "Lowercase") and step != spaces for step in steps):
+        return False
+    before = parts.get("pre_tokenizer") or {"type": None}
+    first = (before["pretokenizers"] or [{"type": None}])[0] if before["type"] == "Sequence" else before
+    if first["type"] in ("Whitespace", "WhitespaceSplit"):
+        drops = True
+    elif first["type"] == "Split" and first.get("behavior") == "Removed" and first.get("invert"):
+        drops = all(_takes_no_space(choice) for choice in first["pattern"].get("Regex", " ").split("|"))
+    else:
+        drops = False
+    added = all(not re.search(r"\s", token["content"]) and not token["lstrip"] and not token["rstrip"] for token in parts.get("added_tokens", []))
+    model = parts["model"]
+    lasting = not model.get("dropout") and not model.get("fuse_unk")
+    return drops and added and lasting and not any(parts.get(step) for step in ("post_processor", "truncation", "padding"))
+
+
+def _takes_no_space(choice: str) -> bool:
+    """Whether a choice of a pattern is plain letters, or classes of letters, numbers, or what is none of these and no space."""
+    return bool(re.fullmatch(r"[A-Za-z']+|(\[(\\p\{[LN]\})+\]\+?|\[\^\\s(\\p\{[LN]\})*\]\+?)", choice))
 
 
 class WordIds:
     """Ids of whole texts by the tokenizers library.
 
-    For a tokenizer that drops white space and splits at it, a text's ids are those of its
-    words one after the other, so each different word is encoded once; a bounded number is
-    kept. Whether a tokenizer does so is tried out on ``probe``; texts of any other are
-    encoded whole.
+    For a tokenizer that drops white space and splits at it (``splits_at_space``), a text's
+    ids are those of its words one after the other, so each different word is encoded once; a
+    bounded number is kept. Texts of any other are encoded whole.
     """
 
-    probe = " aB  12 é's\tx-y\n日本 Z.\n\n!? don't  STOP"
-
     # ASCII white space only: whatever else a tokenizer may take for white space stays inside a word
     words = re.compile(r"[^ \t\n\r\f\v]+")
 
@@ -44,26 +76,22 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kept: dict[str, bytes] = {}
-        parts = [self._ids(word) for word in self.words.findall(self.probe)]
-        self.by_words = b"".join(parts) == self._ids(self.probe)
+        with open(path, encoding="utf-8") as file:
+            self.by_words = splits_at_space(json.load(file))
+        self.kept = Recent(KEPT_WORDS, LONGEST_KEPT)
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        for start in range(0, len(texts), 4096):
+            for coded in self.tokenizer.encode_batch_fast(texts[start : start + 4096], add_special_tokens=False):
+                yield array("I", coded.ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian 32-bit integers."""
         if not self.by_words:
-            return [self._ids(text) for text in texts]
-        found = [self.words.findall(text) for text in texts]
-        if len(self.kept) > KEPT_WORDS:
-            self.kept.clear()
-        new = list(set().union(*found) - self.kept.keys())
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
-            for word, coded in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                self.kept[word] = np.array(coded.ids, "<u4").tobytes()
-        return [b"".join(map(self.kept.__getitem__, text)) for text in found]
+            return list(self._encode_all(texts))
+        found = list(map(self.words.findall, texts))
+        known = self.kept.of(set().union(*found), self._encode_all).__getitem__
+        return [b"".join(map(known, text)) for text in found]
 
 
 def word_ids(path: str) -> WordIds:
@@ -146,5 +174,7 @@ def token_index(tokens: DataFrame, id_column: str = "doc_id") -> DataFrame:
             )
 
     rows = tokens.select(F.col(id_column).alias("__id"), "ids").mapInArrow(run, "__id long, n_tokens long, ids_crc32 long")
+    # sorting looks at its input twice: at these few numbers, not at the files
+    rows = cut_lineage(rows, "token-counts")
     placed = running_totals(rows, ["__id", "n_tokens", "ids_crc32"], {"start": "n_tokens"})
     return placed.select(F.col("__id").alias(id_column), "start", "n_tokens", "ids_crc32")

@@ -26,6 +26,14 @@ def odd_rows(seed=5, count=60):
     return rows + [rows[3], rows[3], rows[5]]
 
 
+def rows_without_proper_ids(rows):
+    """Rows that lack an id, with texts that others have and of their own, and ids that come with two texts."""
+    texts = [r[1] for r in rows]
+    odd = [(None, texts[3]), (None, texts[3]), (None, None), (None, texts[3] + " " + texts[6]), (None, "only here"), (None, "only here")]
+    odd += [(4, texts[3]), (4, texts[6]), (2, texts[9]), (rows[0][0], None)]
+    return [(i, t, "en", "s1", 3, 5, "z", None) for i, t in odd]
+
+
 def frame(spark, rows, parts=5):
     return spark.createDataFrame(rows, ODD_SCHEMA).repartition(parts)
 

@@ -75,7 +75,7 @@ def test_long_texts_in_parts(spark, chunk, monkeypatch):
 
 def test_equal_fingerprints_of_unequal_texts(spark, monkeypatch):
     whole = collocations.Fingerprints.of
-    monkeypatch.setattr(collocations.Fingerprints, "of", lambda self, b, e: whole(self, b, e) % np.uint64(5))
+    monkeypatch.setattr(collocations.Fingerprints, "of", lambda self, first, length: whole(self, first, length) % np.uint64(5))
     rows = texts(count=60)
     assert found(collocations.collocations(frame(spark, rows), least=5)) == brute(rows, 5)
 
@@ -99,16 +99,27 @@ def test_example_is_the_smallest_id(spark):
     assert (row["example_id"], row["a"], row["score"], row["n"]) == (3, 4, 1000000, 8)
 
 
-def test_fingerprints_differ_where_texts_do():
-    random_ = np.random.default_rng(3)
-    data = random_.integers(0, 256, 5000).astype(np.uint8)
-    prints = collocations.Fingerprints(np.concatenate([data, data]))
-    begin = np.arange(4000)
-    size = random_.integers(1, 900, 4000)
-    first, second = prints.of(begin, begin + size), prints.of(begin + 5000, begin + 5000 + size)
-    assert (first == second).all() and len(np.unique(first)) == 4000
-    word = np.array([bin(i).count("1") % 2 for i in range(4096)], np.uint8)  # Thue-Morse and its complement
-    assert len(set(collocations.Fingerprints(np.concatenate([word, 1 - word])).of(np.array([0, 4096]), np.array([4096, 8192])))) == 2
+def test_equal_codes_of_unequal_words(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "_PRIMES", (3, 2))
+    rows = texts(count=40)
+    assert found(collocations.collocations(frame(spark, rows), least=5)) == brute(rows, 5)
+
+
+def test_fingerprints_differ_where_words_do():
+    rnd = random.Random(3)
+    long = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))  # Thue-Morse
+    some = ["".join(rnd.choice("abcdé") for _ in range(rnd.randrange(1, 90))) for _ in range(3000)] + [long, long.translate({97: 98, 98: 97})]
+    text = " ".join(some).encode()
+    words = collocations.words_of([text, b"", b" . ", text])
+    assert words.bytes_of(0) == some[0].encode() and len(words.start) == 2 * len(some)
+    prints = collocations.Fingerprints(words)
+    for length in (1, 3):
+        first = np.arange(len(some) - length + 1)
+        own, again = prints.of(first, length), prints.of(first + len(some), length)
+        assert (own == again).all()
+        assert len(np.unique(own)) == len({tuple(some[i : i + length]) for i in first})
+    numbers = collocations._word_numbers(words, prints)
+    assert len(np.unique(numbers)) == len(set(some)) and (numbers[: len(some)] == numbers[len(some) :]).all()
 
 
 def test_given_table_against_sql(spark, sf_dir):

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from furlong.llm import suffix_array, suffix_dedup
-from tests.llm.samples import empty, frame, odd_rows
+from tests.llm.samples import empty, frame, odd_rows, rows_without_proper_ids
 
 
 def brute(rows, length):
@@ -51,6 +51,7 @@ def test_against_brute_force(spark, most, chunk, monkeypatch):
 
 def test_odd_rows(spark):
     rows = odd_rows()
+    rows += rows_without_proper_ids(rows)
     assert found(suffix_dedup.drop_repeats(frame(spark, rows), 200)) == brute(rows, 200)
 
 

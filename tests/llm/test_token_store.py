@@ -1,3 +1,4 @@
+import json
 import zlib
 from collections import Counter
 
@@ -30,6 +31,34 @@ def test_a_tokenizer_that_keeps_white_space_reads_whole_texts():
     assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == Tokenizer.from_file(path).encode(text).ids
 
 
+def test_whether_words_can_be_encoded_one_by_one():
+    """Decided by what the tokenizer says of itself: one that joins letters over a space is not split there."""
+    with open(PATH, encoding="utf-8") as file:
+        parts = json.load(file)
+    assert token_store.splits_at_space(parts)
+    joins = {"type": "Replace", "pattern": {"String": "q z"}, "content": "qz"}
+    changed = [
+        {"normalizer": {"type": "Sequence", "normalizers": [joins]}}, {"normalizer": joins}, {"pre_tokenizer": None},
+        {"pre_tokenizer": {"type": "Split", "pattern": {"Regex": r"\s?[\p{L}]+"}, "behavior": "Removed", "invert": True}},
+        {"pre_tokenizer": {"type": "Split", "pattern": {"Regex": r"[\p{L}]+"}, "behavior": "Isolated", "invert": False}},
+        {"post_processor": {"type": "TemplateProcessing"}}, {"truncation": {"max_length": 5}},
+        {"added_tokens": [{"content": "a b", "lstrip": False, "rstrip": False}]}, {"added_tokens": [{"content": "a", "lstrip": True, "rstrip": False}]},
+    ]
+    assert not any(token_store.splits_at_space(parts | change) for change in changed)
+    assert token_store.splits_at_space(parts | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}})
+
+
+def test_a_tokenizer_that_joins_words_reads_whole_texts(folder):
+    with open(PATH, encoding="utf-8") as file:
+        parts = json.load(file)
+    parts["normalizer"]["normalizers"].append({"type": "Replace", "pattern": {"String": "q z"}, "content": "qz"})
+    path = f"{folder}/joins.json"
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(parts, file)
+    coder = token_store.WordIds(path)
+    assert np.frombuffer(coder.encode(["a q z b"])[0], "<u4").tolist() == Tokenizer.from_file(path).encode("a q z b").ids
+
+
 def test_files_hold_whole_texts_in_order(spark, folder):
     rows = odd_rows(count=30)
     token_store.write_tokens(frame(spark, rows), f"{folder}/t", PATH, end_id=1)
