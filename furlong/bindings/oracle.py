@@ -67,6 +67,36 @@ flags AS (SELECT l_quantity > 25 AS large, l_discount > 0.05 AS cheap,
                  CAST(CASE WHEN l_extendedprice * (1 - l_discount) > 40000 THEN 1 ELSE 0 END AS DOUBLE) AS label FROM lineitem),
 cells AS (SELECT large, cheap, count(*) AS n, avg(label) AS p FROM flags GROUP BY 1, 2)"""
 
+
+
+def boosting_round(before: str, after: str) -> str:
+    """One round on the four cells: the root is split by ``large``, each side by ``cheap`` if that gains."""
+    shrunk = "sign({0}) * greatest(abs({0}) - 0.5, 0)"
+    return f"""
+{after}_sums AS (SELECT *, n / (1 + exp(-f)) - pos AS g, n * exp(-f) / (1 + exp(-f)) ** 2 AS h FROM {before}),
+{after}_cells AS (SELECT *, sum(g) OVER side AS sg, sum(h) OVER side AS sh, ({shrunk.format("g")}) ** 2 / (h + 3) AS worth
+                  FROM {after}_sums WINDOW side AS (PARTITION BY large)),
+{after}_gains AS (SELECT *, sum(worth) OVER (PARTITION BY large) - ({shrunk.format("sg")}) ** 2 / (sh + 3) AS gain FROM {after}_cells),
+{after} AS (SELECT large, cheap, n, pos,
+                   f - 0.3 * CASE WHEN gain > 0 THEN ({shrunk.format("g")}) / (h + 3) ELSE ({shrunk.format("sg")}) / (sh + 3) END AS f
+            FROM {after}_gains)"""
+
+
+def hash_share(text: str) -> str:
+    return f"CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT) / CAST(4503599627370496 AS DOUBLE)"
+
+
+def drawn(name: str, kind: str, low: float, high: float) -> str:
+    u = hash_share(f"'0:' || trial || ':{name}'")
+    if kind == "int":
+        return f"CAST(least({low} + floor({u} * {high - low + 1}), {high}) AS INTEGER) AS {name}"
+    if kind == "log":
+        return f"round(exp(ln({low}::DOUBLE) + {u} * (ln({high}::DOUBLE) - ln({low}::DOUBLE))), 9) AS {name}"
+    return f"{low}::DOUBLE + {u} * {high - low} AS {name}"
+
+
+DRAWS = ", ".join(drawn(name, *how) for name, how in fixed.LEAF_WISE_SEARCH.items())
+
 ORACLE: dict[str, str] = {
     "feature_build": f"""
 WITH typed AS (
@@ -300,4 +330,59 @@ ranked AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITIO
 c AS (SELECT CAST(sum(label) AS BIGINT) AS positives, CAST(count(*) - sum(label) AS BIGINT) AS negatives,
              sum(CASE WHEN label = 1 THEN r END) AS ranks FROM ranked)
 SELECT positives, negatives, round((ranks - positives * (positives + 1) / 2.0) / (positives * negatives), 9) AS auc FROM c""",
+    "ids_by_date": """
+SELECT strftime(o_orderdate, '%Y%m%d') AS race_date, o_custkey,
+       row_number() OVER (PARTITION BY o_orderdate ORDER BY o_custkey) - 1 AS place FROM orders""",
+    "mean_before_day": """
+SELECT l_orderkey, l_linenumber,
+       round(avg(l_quantity) OVER (PARTITION BY l_partkey ORDER BY CAST(l_shipdate AS DATE)
+                                   RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING), 6) AS mean_before
+FROM lineitem""",
+    "growing_means": """
+SELECT l_partkey, round(avg(l_quantity), 6) AS mean,
+       round(avg(l_quantity) FILTER (WHERE l_shipdate < TIMESTAMP '1999-01-01'), 6) AS mean_before
+FROM lineitem GROUP BY 1""",
+    "growing_codes": """
+WITH first AS (
+    SELECT l_suppkey, min(CASE WHEN l_shipdate < TIMESTAMP '1997-01-01' THEN 1 WHEN l_shipdate < TIMESTAMP '1999-01-01' THEN 2 ELSE 3 END) AS part
+    FROM lineitem WHERE l_extendedprice > 90000 GROUP BY 1
+)
+SELECT l_suppkey, row_number() OVER (ORDER BY part, l_suppkey) - 1 AS code FROM first""",
+    "co_located_mean_join": """
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, round(avg(l_quantity) OVER (PARTITION BY l_partkey), 6) AS mean FROM lineitem""",
+    "commit_versions": """
+SELECT CAST(number AS INTEGER) AS number, 'orders' AS name, o_orderkey AS key, o_totalprice AS value
+FROM orders, (VALUES (1), (2), (0)) AS v(number) WHERE number <> 1 OR o_orderstatus = 'F'
+UNION ALL
+SELECT CAST(number AS INTEGER), 'customer', c_custkey, c_acctbal FROM customer, (VALUES (1), (2), (0)) AS v(number)""",
+    "page_files_scan": """
+SELECT * FROM (SELECT source, '202403' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') AS race_date, page_id, md5(html) AS html_md5
+               FROM pages, (VALUES ('files'), ('text')) AS v(source))
+WHERE race_date BETWEEN '20240305' AND '20240320'""",
+    "keyed_ingest_stream": "SELECT event_id, user_id, event_type FROM events",
+    "boosted_flags": f"""
+WITH flags AS (SELECT CAST(l_quantity > 25 AS INTEGER) AS large, CAST(l_discount > 0.05 AS INTEGER) AS cheap,
+                      CASE WHEN l_extendedprice * (1 - l_discount) > 40000 THEN 1 ELSE 0 END AS label FROM lineitem),
+counts AS (SELECT large, cheap, count(*) AS n, sum(label) AS pos FROM flags GROUP BY 1, 2),
+start AS (SELECT large, cheap, n, pos, ln(sum(pos) OVER () / (sum(n) OVER () - sum(pos) OVER ())) AS f FROM counts),
+{boosting_round("start", "one")}, {boosting_round("one", "two")}
+SELECT large, cheap, round(f, 9) AS margin, n FROM two""",
+    "boosted_sets": """
+WITH lines AS (SELECT l_suppkey, CASE WHEN l_extendedprice > 40000 THEN 1 ELSE 0 END AS label FROM lineitem),
+total AS (SELECT count(*) AS n, avg(label) AS p, ln(sum(label) / (count(*) - sum(label))) AS f FROM lines),
+ids AS (SELECT l_suppkey, count(*) AS n, count(*) * any_value(p) - sum(label) AS g, count(*) * any_value(p * (1 - p)) AS h
+        FROM lines, (SELECT p FROM total) GROUP BY 1),
+prefix AS (SELECT l_suppkey, n, sum(g) OVER w AS lg, sum(h) OVER w AS lh, sum(n) OVER w AS ln, sum(g) OVER () AS tg, sum(h) OVER () AS th,
+                  sum(n) OVER () AS tn, row_number() OVER w AS place
+           FROM ids WINDOW w AS (ORDER BY g / (h + 10), CAST(l_suppkey AS VARCHAR) ROWS UNBOUNDED PRECEDING)),
+best AS (SELECT place, lg, lh, tg, th FROM prefix WHERE ln >= 20 AND tn - ln >= 20
+         ORDER BY lg ** 2 / (lh + 1) + (tg - lg) ** 2 / (th - lh + 1) DESC, place LIMIT 1)
+SELECT l_suppkey, p.n, round(f - 0.3 * CASE WHEN p.place <= b.place THEN b.lg / (b.lh + 1) ELSE (b.tg - b.lg) / (b.th - b.lh + 1) END, 9) AS margin
+FROM prefix p, best b, (SELECT f FROM total)""",
+    "hpo_draws": f"""
+WITH draws AS (SELECT trial, {DRAWS} FROM range(100) AS t(trial)),
+marks AS (SELECT {hash_share("l_orderkey || ':' || l_linenumber")} AS mark FROM lineitem),
+counts AS (SELECT trial, count(mark) AS rows FROM draws LEFT JOIN marks ON mark < bagging_fraction GROUP BY 1)
+SELECT draws.* REPLACE (round(feature_fraction, 9) AS feature_fraction, round(bagging_fraction, 9) AS bagging_fraction), rows
+FROM draws JOIN counts USING (trial)""",
 }

@@ -7,18 +7,19 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from furlong import fixed_values as fixed
 from furlong.bindings import render
 from furlong.functions import text
 from furlong.functions.encode import decode_bytes, label_code
 from furlong.operators import aggregates, joins, project
-from furlong.plans import model, monthly, race_result
+from furlong.plans import boosting, model, monthly, race_result, search
 from furlong.plans.features import preprocess
 from furlong.session import configure, cut_lineage, scratch_path
-from furlong.sources import extract, tables
-from furlong.streaming.ingest import ingest, read_landed
+from furlong.sources import commits, extract, flat, growing, page_files, tables
+from furlong.sources.pages import scan_pages
+from furlong.streaming.ingest import LANDED_AT, ingest, read_landed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -208,8 +209,8 @@ def time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_names(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Names listed on a page, padded, and the names and ids of its links."""
-    pages = load_for_python(spark, sf_dir, "pages", "page_id")
-    items = extract.read_item_links(pages, ["page_id"], "html")
+    pages = load(spark, sf_dir, "pages")
+    items = flat.item_links(pages, ["page_id"], "html")
     rows = items.select("page_id", "item_no", F.concat(F.lit("　"), "text").alias("name"))
     links = text.flat_links("html")
     ids = pages.select("page_id", F.explode(links).alias("link")).select(
@@ -290,6 +291,58 @@ def stored_code_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.encode_with(later, {"l_partkey": stored})
 
 
+def day_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "lineitem").withColumn("day", F.to_date("l_shipdate"))
+
+
+@query
+def mean_before_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per line the mean quantity of its part on earlier days only."""
+    lines = day_lines(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", "day", "l_quantity")
+    found = aggregates.mean_before(lines, "l_partkey", "day", "l_quantity", "mean_before")
+    return found.select("l_orderkey", "l_linenumber", F.round("mean_before", 6).alias("mean_before"))
+
+
+#: Ends of the increments in which rows arrive.
+ARRIVALS = ("1997-01-01", "1999-01-01", "2100-01-01")
+
+
+def arrivals(lines: DataFrame) -> list[DataFrame]:
+    """Lines in three increments by day."""
+    ends = ("0001-01-01", *ARRIVALS)
+    return [lines.filter((F.col("day") >= F.lit(a).cast("date")) & (F.col("day") < F.lit(b).cast("date"))) for a, b in zip(ends, ends[1:])]
+
+
+@query
+def growing_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means per part after three increments; of the second commit as well."""
+    root = scratch_path(spark, "means")
+    for part in arrivals(day_lines(spark, sf_dir)):
+        growing.grow_means(spark, root, part, "l_partkey", "l_quantity")
+    now = growing.stored_means(spark, root, "l_partkey", "mean")
+    before = growing.stored_means(spark, root, "l_partkey", "mean_before", number=2)
+    return now.join(before, "l_partkey", "left").withColumns({c: F.round(c, 6) for c in ("mean", "mean_before")})
+
+
+@query
+def growing_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of suppliers of dear lines: those of the first increment keep theirs, new ones follow in order."""
+    root = scratch_path(spark, "codes")
+    for part in arrivals(day_lines(spark, sf_dir).filter("l_extendedprice > 90000")):
+        growing.grow_codes(spark, root, part, "l_suppkey")
+    return growing.stored_codes(spark, root, "l_suppkey", "code")
+
+
+@query
+def co_located_mean_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and means bucketed by part on disk, joined without a shuffle."""
+    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    means = aggregates.mean_per_key(lines, "l_partkey", "l_quantity", "mean")
+    stored = [tables.write_bucketed(df, scratch_path(spark, name), "l_partkey", 8) for name, df in (("lines", lines), ("means", means))]
+    joined = stored[0].join(stored[1].hint("merge"), "l_partkey", "left")
+    return joined.withColumn("mean", F.round("mean", 6))
+
+
 @query
 def missing_worklist_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.still_missing(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), ["doc_id"])
@@ -309,6 +362,11 @@ def tiered_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- lists and stacks ----------------------------------------------------------
 
 
+@query
+def ids_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.placed_ids(races(spark, sf_dir), "race_date", "o_custkey")
+
+
 @query
 def collect_list_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = aggregates.ids_per_date(races(spark, sf_dir).select("race_date", "o_custkey"), "race_date", "o_custkey")
@@ -369,12 +427,12 @@ def href_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def link_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.read_links(load_for_python(spark, sf_dir, "pages", "page_id"), ["page_id"], "html", "")
+    return flat.page_links(load(spark, sf_dir, "pages"), ["page_id"], "html", "")
 
 
 @query
 def list_item_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = extract.read_item_links(load_for_python(spark, sf_dir, "pages", "page_id"), ["page_id"], "html")
+    items = flat.item_links(load(spark, sf_dir, "pages"), ["page_id"], "html")
     return items.select("page_id", "item_no", text.id_after("href", "").alias("item_id"))
 
 
@@ -452,18 +510,18 @@ def path_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def calendar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = render.calendar_pages(load_for_python(spark, sf_dir, "orders", "o_orderkey"))
+    pages = render.calendar_pages(load(spark, sf_dir, "orders"))
     return monthly.race_dates(pages, ["o_orderkey"])
 
 
 @query
 def day_race_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly.race_ids(render.day_pages(load_for_python(spark, sf_dir, "orders", "o_orderkey")))
+    return monthly.race_ids(render.day_pages(load(spark, sf_dir, "orders")))
 
 
 @query
 def day_work_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = render.day_pages(load_for_python(spark, sf_dir, "orders", "o_orderkey"))
+    days = render.day_pages(load(spark, sf_dir, "orders"))
     # the pages of one status have landed, those of another landed empty, the rest did not
     landed = races(spark, sf_dir).filter(F.col("o_orderstatus") != "P").select(
         "race_date",
@@ -509,6 +567,39 @@ def versioned_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_or_build(spark, root, "v1", "orders", never)
 
 
+@query
+def commit_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables in two commits and a third that broke off: rows of each table as of each commit."""
+    root = scratch_path(spark, "commits")
+    orders, customers = load(spark, sf_dir, "orders").drop("o_orderdate"), load(spark, sf_dir, "customer")
+    commits.commit(spark, root, {"orders": orders.filter("o_orderstatus = 'F'"), "customer": customers}, note="first")
+    commits.commit(spark, root, {"orders": orders}, note="all")
+    commits.write_files(orders.filter("o_orderstatus = 'P'"), root)  # never named by a manifest
+    found = None
+    for number in (1, 2, None):
+        for name, key, value in (("orders", "o_orderkey", "o_totalprice"), ("customer", "c_custkey", "c_acctbal")):
+            table = commits.read_version(spark, root, name, number)
+            rows = table.select(
+                F.lit(number or 0).alias("number"), F.lit(name).alias("name"), F.col(key).cast("long").alias("key"), F.col(value).alias("value")
+            )
+            found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+@query
+def page_files_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written one file each and read again, within a range of dates, by two sources."""
+    page_files.register(spark)
+    path = scratch_path(spark, "page-files")
+    date = F.format_string("202403%02d", F.col("page_id") % 28 + 1)
+    pages = load(spark, sf_dir, "pages").select(date.alias("race_date"), F.col("page_id").cast("string").alias("race_id"), "html")
+    pages.write.format("page_files").mode("append").save(path)
+    found = page_files.read(spark, path).filter(F.col("race_date").between("20240305", "20240320"))
+    scanned = scan_pages(spark, path, "20240305", "20240320")
+    digest = [F.col("race_date"), F.col("race_id").cast("long").alias("page_id"), F.md5("html").alias("html_md5")]
+    return found.select(F.lit("files").alias("source"), *digest).unionByName(scanned.select(F.lit("text").alias("source"), *digest))
+
+
 @query
 def partitioned_write_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "monthly")
@@ -528,6 +619,23 @@ def incremental_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landed(spark, f"{root}/landed", pages.schema).drop("lang")
 
 
+@query
+def keyed_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by user and kind in three increments; repeats within a day of the first are dropped by keyed state."""
+    root = scratch_path(spark, "keyed")
+    events = load(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").alias(LANDED_AT), F.col("event_type").alias("html"))
+    thirds = F.ntile(3).over(Window.orderBy("day"))
+    days = events.select(F.to_date(LANDED_AT).alias("day")).distinct().select("day", thirds.alias("third"))
+    dated = cut_lineage(events.join(days, F.to_date(LANDED_AT) == F.col("day")).drop("day"), "events")
+    schema = events.schema
+    # every increment brings all events of the last one again
+    for third in (1, 2, 3):
+        dated.filter(F.col("third").between(third - 1, third)).drop("third").write.mode("append").parquet(f"{root}/arrived")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/arrived")
+        ingest(stream, f"{root}/landed", f"{root}/progress", keys=["event_id"], by=None, within="100 days")
+    return read_landed(spark, f"{root}/landed", schema).select("event_id", "user_id", F.col("html").alias("event_type"))
+
+
 # -- models --------------------------------------------------------------------
 
 
@@ -546,10 +654,11 @@ def roc_auc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MODEL_FEATURES = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "o_totalprice", "status", "priority"]
+MODEL_SETS = ["l_suppkey"]
 
 
-def model_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Assembled train and valid rows of one stored table: does a line cost more than 2,000 per piece?"""
+def model_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Train and valid rows of one stored table: does a line cost more than 2,000 per piece?"""
     orders = races(spark, sf_dir).select(
         "o_orderkey",
         "race_date",
@@ -560,20 +669,25 @@ def model_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     lines = load(spark, sf_dir, "lineitem")
     rank = F.when(F.col("l_extendedprice") / F.col("l_quantity") > 2000, 1).otherwise(2)
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("rank", rank)
-    stored = cut_lineage(model.with_label(rows).select(*MODEL_FEATURES, "race_date", model.LABEL), "feature")
-    train, valid = model.split_by_date(stored, "race_date", TRAIN_FIRST, TRAIN_LAST)
-    return model.assemble(train, MODEL_FEATURES), model.assemble(valid, MODEL_FEATURES)
+    stored = cut_lineage(model.with_label(rows).select(*MODEL_FEATURES, *MODEL_SETS, "race_date", model.LABEL), "feature")
+    return model.split_by_date(stored, "race_date", TRAIN_FIRST, TRAIN_LAST)
+
+
+#: Grown fast, so that a fit ends by its stop within some dozen rounds.
+MODEL_PARAMS = boosting.BoostParams(rate=0.5, leaves=15, max_depth=4, l2=1.0)
 
 
 @query
 def gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, valid = model_rows(spark, sf_dir)
-    fitted = model.fit_boosted(train, valid, {"maxDepth": 4}, max_rounds=20, patience=5)
+    """A fit with the default patience, stored, read again and used on the raw valid rows."""
+    train, valid = model_parts(spark, sf_dir)
+    fitted = boosting.fit(boosting.prepare(train, valid, MODEL_FEATURES, MODEL_SETS), MODEL_PARAMS)
     root = scratch_path(spark, "models")
-    tables.publish_model(spark, fitted.model, {"maxDepth": 4}, {"auc": fitted.auc}, root, "gbt", "v1")
-    stored, _, _ = tables.read_model(spark, root, "gbt", "v1")
-    scored = aggregates.roc_auc(model.score(stored, valid), model.SCORE, model.LABEL)
-    return scored.withColumn("rounds", F.lit(fitted.rounds))
+    tables.publish_booster(spark, fitted.model, {"leaves": 15}, {"auc": fitted.auc}, root, "gbt", "v1")
+    stored, _, metrics = tables.read_booster(spark, root, "gbt", "v1")
+    scored = aggregates.roc_auc(boosting.score(stored, valid), boosting.SCORE, model.LABEL)
+    stop = len(fitted.state.history) - fitted.rounds
+    return scored.withColumns({"rounds": F.lit(fitted.rounds), "without_gain": F.lit(stop), "auc_in_fit": F.lit(metrics["auc"])})
 
 
 @query
@@ -618,16 +732,58 @@ def importance_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gain.join(model.importance(fitted.model, FLAGS, "weight"), "feature")
 
 
+BOOSTED_FLAGS = boosting.BoostParams(rate=0.3, leaves=4, l1=0.5, l2=3.0, least_rows=1, least_curvature=0.0)
+
+
+@query
+def boosted_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rounds with L1 and L2 terms, the second gone on to from the state of the first: lines per cell and margin."""
+    flags = [(F.col("l_quantity") > 25).cast("int").alias("large"), (F.col("l_discount") > 0.05).cast("int").alias("cheap")]
+    label = F.when(F.col("l_extendedprice") * (1 - F.col("l_discount")) > 40000, 1.0).otherwise(0.0)
+    rows = cut_lineage(load(spark, sf_dir, "lineitem").select(*flags, label.alias(model.LABEL)), "flags")
+    prepared = boosting.prepare(rows, rows, FLAGS)
+    first = boosting.fit(prepared, BOOSTED_FLAGS, max_rounds=1)
+    fitted = boosting.fit(prepared, BOOSTED_FLAGS, max_rounds=2, state=first.state)
+    scored = boosting.margins(fitted.state.model, rows)
+    return scored.groupBy(*FLAGS, F.round(boosting.MARGIN, 9).alias("margin")).agg(F.count("*").alias("n"))
+
+
+@query
+def boosted_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One split of all lines on a set of suppliers: margin and lines of each supplier."""
+    label = F.when(F.col("l_extendedprice") > 40000, 1).otherwise(0)
+    rows = load(spark, sf_dir, "lineitem").select("l_suppkey", label.alias(model.LABEL))
+    rows = cut_lineage(rows, "suppliers")
+    params = boosting.BoostParams(rate=0.3, leaves=2, l2=1.0)
+    fitted = boosting.fit(boosting.prepare(rows, rows, [], ["l_suppkey"]), params, max_rounds=1)
+    scored = boosting.margins(fitted.model, rows)
+    return scored.groupBy("l_suppkey", F.round(boosting.MARGIN, 9).alias("margin")).agg(F.count("*").alias("n"))
+
+
+@query
+def hpo_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hundred draws of the leaf-wise search, and how many lines the row share of each takes in its first round."""
+    drawn = search.draw_table(spark.range(100).withColumnRenamed("id", "trial"), search.SEARCH_SPACES["leaves"])
+    shares = drawn.select("trial", "bagging_fraction").collect()  # one row per trial
+    mark = search.share_column(F.col("l_orderkey"), F.col("l_linenumber"))
+    lines = load(spark, sf_dir, "lineitem").select(mark.alias("mark"))
+    counts = lines.agg(F.array(*[F.count_if(F.col("mark") < row["bagging_fraction"]) for row in sorted(shares)]).alias("rows"))
+    per_trial = counts.select(F.posexplode("rows").alias("at", "rows")).select(F.col("at").cast("long").alias("trial"), "rows")
+    return drawn.join(per_trial, "trial").withColumns({c: F.round(c, 9) for c, (kind, _, _) in search.SEARCH_SPACES["leaves"].items() if kind != "int"})
+
+
 @query
 def hpo_random(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, valid = model_rows(spark, sf_dir)
-    best, trials = model.search(train, valid, model.SEARCH_SPACES["depth"], trials=4, max_rounds=8, patience=2)
-    rows = [(t.number, t.auc, t.params == best, json.dumps(t.params, sort_keys=True)) for t in trials]
-    return spark.createDataFrame(rows, "trial int, auc double, best boolean, params string")
+    """Trials of the leaf-wise search over rungs of growing rounds."""
+    train, valid = model_parts(spark, sf_dir)
+    prepared = boosting.prepare(train, valid, MODEL_FEATURES)
+    _, trials = search.search(prepared, search.SEARCH_SPACES["leaves"], trials=6, max_rounds=9, least_rounds=3, rate=0.5, max_depth=4)
+    rows = [(t.number, t.auc, t.rounds, t.rung, json.dumps(t.drawn, sort_keys=True)) for t in trials]
+    return spark.createDataFrame(rows, "trial int, auc double, rounds int, rung int, params string")
 
 
 @query
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fitted = model.fit_boosted(*model_rows(spark, sf_dir), {"maxDepth": 4}, max_rounds=4, patience=4)
-    gain = model.importance(fitted.model, MODEL_FEATURES)
-    return gain.join(model.importance(fitted.model, MODEL_FEATURES, "weight"), "feature")
+    train, valid = model_parts(spark, sf_dir)
+    fitted = boosting.fit(boosting.prepare(train, valid, MODEL_FEATURES, MODEL_SETS), MODEL_PARAMS, patience=5)
+    return boosting.importance(spark, fitted.model)

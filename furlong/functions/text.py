@@ -96,21 +96,28 @@ def year_month(year: Column, month: Column) -> Column:
     return F.format_string("%04d%02d", year, month)
 
 
+# Named entities that pages use.
+ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&", "middot": "·", "copy": "©", "nbsp": "\xa0"}
+_CHARACTER = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|" + "|".join(ENTITIES) + ");"
+
+
+def _character(entity: Column) -> Column:
+    """The character of one entity; numbers that stand for none give the replacement character."""
+    digits = F.regexp_extract(entity, "^&#([0-9]+);", 1)
+    hexadecimal = F.regexp_extract(entity, "^&#[xX]([0-9a-fA-F]+);", 1)
+    code = F.when(digits != "", digits.try_cast("int")).otherwise(F.conv(hexadecimal, 16, 10).try_cast("int"))
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    number = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+    names = F.create_map(*[F.lit(x) for name, plain in ENTITIES.items() for x in (f"&{name};", plain)])
+    return F.coalesce(F.try_element_at(names, entity), number)
+
+
 def unescape_basic(value: Column | str) -> Column:
-    """Decode the entities a flat page uses; the ampersand goes last."""
+    """Decode named and numeric entities, each once: what an ampersand is decoded to starts no new one."""
     text = _col(value)
-    for entity, plain in (
-        ("&lt;", "<"),
-        ("&gt;", ">"),
-        ("&quot;", '"'),
-        ("&#39;", "'"),
-        ("&middot;", "·"),
-        ("&copy;", "©"),
-        ("&nbsp;", " "),
-        ("&amp;", "&"),
-    ):
-        text = F.replace(text, F.lit(entity), F.lit(plain))
-    return text
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s){_CHARACTER}|[^&]+|&"), 0)
+    decoded = F.transform(pieces, lambda piece: F.when(F.regexp_like(piece, F.lit(f"^{_CHARACTER}$")), _character(piece)).otherwise(piece))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(decoded, "")).otherwise(text)
 
 
 def element_text(html: Column | str, tag: str) -> Column:
@@ -136,3 +143,41 @@ def flat_links(html: Column | str) -> Column:
         return F.struct(href.alias("href"), unescape_basic(name).alias("text"))
 
     return F.transform(F.regexp_extract_all(_col(html), F.lit(pattern), 0), parts)
+
+
+# -- flat pages: links and list items by patterns, for pages whose wanted elements don't nest --
+
+_COMMENTS = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
+
+
+def without_comments(html: Column | str) -> Column:
+    """The page without comments, scripts and styles."""
+    return F.regexp_replace(_col(html), _COMMENTS, "")
+
+
+def tag_attribute(tag: Column, name: str) -> Column:
+    """An attribute of an opening tag, however quoted, entities decoded; null where the tag has none."""
+    pattern = rf"""(?is)^<[^>]*?\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    groups = [F.regexp_extract(tag, pattern, group) for group in (1, 2, 3)]
+    return F.when(F.regexp_like(tag, F.lit(pattern)), unescape_basic(F.concat(*groups)))
+
+
+def has_class(tag: Column, css_class: str) -> Column:
+    """Whether an opening tag is of a class."""
+    names = F.regexp_replace(F.coalesce(tag_attribute(tag, "class"), F.lit("")), r"\s+", " ")
+    return F.contains(F.concat(F.lit(" "), names, F.lit(" ")), F.lit(f" {css_class} "))
+
+
+def elements(html: Column | str, tag: str, ends: str) -> Column:
+    """Elements of a kind from the opening tag up to the first of ``ends`` behind it, in page order."""
+    return F.regexp_extract_all(_col(html), F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>.*?(?={ends}|\z)"), 0)
+
+
+def link_elements(html: Column | str) -> Column:
+    """All links, each up to its end or the next one."""
+    return elements(html, "a", r"</a\s*>|<a[\s>]")
+
+
+def inner_text(element: Column) -> Column:
+    """Text of an element with the tags in it left out, entities decoded."""
+    return unescape_basic(F.regexp_replace(element, r"(?s)<[^>]*>", ""))

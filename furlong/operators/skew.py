@@ -221,3 +221,44 @@ def row_numbers(df: DataFrame, order: list[str], name: str) -> DataFrame:
     counts = placed.groupBy(_PART).agg(F.count(F.lit(1)).alias(name))
     within = F.col(_MARK) - F.shiftleft(F.col(_PART), 33)
     return placed.join(_starts(counts, [name]), _PART).select(*df.columns, (within + F.col(f"__start_{name}")).alias(name))
+
+
+def keyed_running_totals(df: DataFrame, key: str, order: list[str], totals: dict[str, str]) -> DataFrame:
+    """Sum of a column over the rows of the same key ordered before this one, whatever a key's share of the rows.
+
+    Rows are range sorted by key and order, so a key with many rows lies in several ranges. Each
+    range is summed on its own; only a key that crosses a border carries on, and of these there
+    is at most one per range. ``key`` and ``order`` together should be unique. A missing key is a
+    key of its own.
+    """
+    placed = _placed(df, [key, *order])
+    rows = placed.withColumn("__key", F.struct(F.col(key)))
+    within = Window.partitionBy(_PART, key).orderBy(_MARK).rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
+    # the key that a range ends with is the only one that can go on behind it
+    last = rows.groupBy(_PART).agg(F.max_by("__key", _MARK).alias("__last"), F.min_by("__key", _MARK).alias("__first"))
+    ends = (
+        rows.join(F.broadcast(last), _PART)
+        .filter(F.col("__key").eqNullSafe(F.col("__last")))
+        .groupBy(_PART, "__last")
+        .agg(*[F.sum(c).alias(new) for new, c in totals.items()])
+    )
+    # one row per range: what its first key had in the ranges before
+    before = Window.partitionBy("__last").orderBy(_PART).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = ends.select(
+        (F.col(_PART)).alias("__from"), "__last", *[F.coalesce(F.sum(new).over(before), F.lit(0)).alias(f"__carry_{new}") for new in totals]
+    )
+    ranges = last.select(_PART, "__first").withColumn("__prior", F.lag(_PART).over(Window.orderBy(_PART)))
+    carried = ranges.join(upto, (F.col("__prior") == F.col("__from")) & F.col("__first").eqNullSafe(F.col("__last")), "left").select(
+        _PART, "__first", *[f"__carry_{new}" for new in totals]
+    )
+    out = rows.withColumns({f"__in_{new}": F.coalesce(F.sum(c).over(within), F.lit(0)) for new, c in totals.items()}).join(
+        F.broadcast(carried), _PART
+    )
+    is_first = F.col("__key").eqNullSafe(F.col("__first"))
+    return out.select(
+        *df.columns,
+        *[
+            (F.col(f"__in_{new}") + F.when(is_first, F.coalesce(F.col(f"__carry_{new}"), F.lit(0))).otherwise(F.lit(0))).alias(new)
+            for new in totals
+        ],
+    )

@@ -13,21 +13,22 @@ from furlong.operators.joins import still_missing
 from furlong.operators.project import concat_rows, rename_columns
 from furlong.plans.race_result import build_race_results
 from furlong.schemas import PAGE_KEYS
-from furlong.sources.extract import read_cells, read_item_links, read_table, read_table_links
+from furlong.sources.extract import read_cells, read_table
+from furlong.sources.flat import item_links, table_links
 from furlong.sources.tables import read_table as read_stored
 from furlong.sources.tables import write_monthly
 
 
 def race_dates(calendar_pages: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
     """Dates linked from calendar pages; links without a date are dropped."""
-    links = read_table_links(calendar_pages, keys, html, fixed.CALENDAR_TABLE_CLASS)
+    links = table_links(calendar_pages, keys, html, fixed.CALENDAR_TABLE_CLASS)
     dated = links.withColumn("race_date", query_value("href", fixed.DATE_PARAMETER, fixed.DATE_VALUE))
     return dated.filter(F.col("race_date").isNotNull()).select(*keys, "link_no", "race_date")
 
 
 def race_ids(day_pages: DataFrame, html: str = "html") -> DataFrame:
     """Race ids listed on the pages of days (``race_date, html``)."""
-    items = read_item_links(day_pages, ["race_date"], html, fixed.RACE_ITEM_CLASS)
+    items = item_links(day_pages, ["race_date"], html, fixed.RACE_ITEM_CLASS)
     named = items.withColumn("race_id", query_value("href", fixed.RACE_PARAMETER))
     return named.filter(F.col("race_id").isNotNull()).select("race_date", "item_no", "race_id")
 

@@ -88,7 +88,14 @@ def clear_scratch(spark: SparkSession) -> None:
 
     Nothing else deletes them: a result may be read long after the call that returned it.
     """
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    discard(spark, run_folder(spark))
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder in the shared folder that nothing reads any more."""
+    if not path.startswith(run_folder(spark)):
+        raise ValueError(f"{path} is not an intermediate table")
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 

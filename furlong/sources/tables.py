@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
+from dataclasses import asdict
 from typing import Any
 
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassificationModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from furlong.functions.text import year_month
 from furlong.operators.project import between_dates
+from furlong.plans.boosting import NODE_SCHEMA, Boosted, Node
 
 MAX_RECORDS_PER_FILE = 5_000_000
 # names with an underscore in front are passed over by readers
@@ -48,7 +51,10 @@ def spread_scan(table: DataFrame, keys: list[str]) -> DataFrame:
     row groups is returned as it is, without a shuffle.
     """
     slots = table.sparkSession.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() >= slots:
+    # from the plan's own figures: nothing of it is run
+    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().doubleValue()
+    split = table.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    if size / split >= slots or len(table.inputFiles()) >= slots:
         return table
     return table.repartition(slots, *keys)
 
@@ -152,6 +158,39 @@ def read_or_build(
     return read_version(spark, root, version, name)
 
 
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
+    """Store a table bucketed and sorted by a key, and read it back.
+
+    Two tables with the same key and number of buckets are joined on it without a shuffle of
+    either, once they are stored. The key should not be hot: a bucket is one task.
+    """
+    spark, name = df.sparkSession, f"bucketed_{uuid.uuid4().hex}"
+    placed = df.repartition(buckets, key)  # one file per bucket
+    placed.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def _model_path(spark: SparkSession, root: str, name: str, version: str, replace: bool) -> str:
+    path = f"{root}/{name}/model_version={version}"
+    if not replace and is_published(spark, path):
+        raise FileExistsError(f"{path} is there")
+    if path_exists(spark, path):  # what is replaced, or what a save left that broke off
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return path
+
+
+def _write_json(spark: SparkSession, path: str, parts: dict[str, Any]) -> None:
+    for part, values in parts.items():
+        spark.createDataFrame([(json.dumps(values),)], "value string").coalesce(1).write.text(f"{path}/{part}")
+
+
+def _read_json(spark: SparkSession, path: str, *parts: str) -> list[Any]:
+    if not is_published(spark, path):
+        raise FileNotFoundError(f"{path} holds no finished model")
+    return [json.loads(spark.read.text(f"{path}/{part}").first()[0]) for part in parts]
+
+
 def publish_model(
     spark: SparkSession,
     model: Model,
@@ -160,12 +199,16 @@ def publish_model(
     root: str,
     name: str,
     version: str,
+    replace: bool = False,
 ) -> str:
-    """Store a model with its parameters and metrics under a model version."""
-    path = f"{root}/{name}/model_version={version}"
+    """Store a model with its parameters and metrics under a model version; it is there once its mark is.
+
+    A finished version stays unless ``replace`` is set; what a save left that broke off is written over.
+    """
+    path = _model_path(spark, root, name, version, replace)
     model.write().save(f"{path}/model")
-    for part, values in (("params", params), ("metrics", metrics)):
-        spark.createDataFrame([(json.dumps(values),)], "value string").coalesce(1).write.text(f"{path}/{part}")
+    _write_json(spark, path, {"params": params, "metrics": metrics})
+    _mark_published(spark, path)
     return path
 
 
@@ -174,5 +217,41 @@ def read_model(
 ) -> tuple[Model, dict[str, Any], dict[str, float]]:
     """A stored model with its parameters and metrics."""
     path = f"{root}/{name}/model_version={version}"
-    params, metrics = (json.loads(spark.read.text(f"{path}/{part}").first()[0]) for part in ("params", "metrics"))
+    params, metrics = _read_json(spark, path, "params", "metrics")
     return kind.load(f"{path}/model"), params, metrics
+
+
+SET_SCHEMA = "node int, feature int, id string"
+
+
+def publish_booster(
+    spark: SparkSession,
+    model: Boosted,
+    params: dict[str, Any],
+    metrics: dict[str, float],
+    root: str,
+    name: str,
+    version: str,
+    replace: bool = False,
+) -> str:
+    """Store boosted trees: their nodes and sets of ids as tables, beside parameters and metrics."""
+    path = _model_path(spark, root, name, version, replace)
+    nodes = [Row(**asdict(node)) for node in model.nodes]
+    spark.createDataFrame(nodes, NODE_SCHEMA).coalesce(1).write.parquet(f"{path}/nodes")
+    ids = model.ids if model.ids is not None else spark.createDataFrame([], SET_SCHEMA)
+    used = [node.number for node in model.nodes if node.is_set]
+    ids.filter(F.col("node").isin(used)).write.parquet(f"{path}/sets")
+    shape = {"features": model.features, "sets": model.sets, "start": model.start}
+    _write_json(spark, path, {"shape": shape, "params": params, "metrics": metrics})
+    _mark_published(spark, path)
+    return path
+
+
+def read_booster(spark: SparkSession, root: str, name: str, version: str) -> tuple[Boosted, dict[str, Any], dict[str, float]]:
+    """Stored boosted trees with their parameters and metrics."""
+    path = f"{root}/{name}/model_version={version}"
+    shape, params, metrics = _read_json(spark, path, "shape", "params", "metrics")
+    nodes = [Node(**row.asDict()) for row in spark.read.parquet(f"{path}/nodes").sort("number").collect()]  # bounded by leaves and rounds
+    has_sets = any(node.is_set for node in nodes)
+    ids = spark.read.schema(SET_SCHEMA).parquet(f"{path}/sets") if has_sets else None
+    return Boosted(shape["features"], shape["sets"], shape["start"], nodes, ids), params, metrics

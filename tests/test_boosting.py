@@ -1,0 +1,216 @@
+"""Boosted trees against a brute-force learner, stops, resumed fits, stored models."""
+
+import heapq
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from furlong.operators.aggregates import bucketed_auc, roc_auc
+from furlong.plans import boosting
+from furlong.plans.boosting import BoostParams
+from furlong.sources import tables
+
+SCHEMA = "x double, z double, u double, team string, city string, label int"
+
+
+def made(count=600, seed=1):
+    rnd = random.Random(seed)
+    rows = []
+    for _ in range(count):
+        x = None if rnd.random() < 0.15 else rnd.randrange(12) / 2
+        z = rnd.choice([1.0, 2.0, 5.0, float("nan")])
+        team, city = f"t{rnd.randrange(30)}", rnd.choice(["a", "b", None])
+        odds = (x or 4.5) * 0.5 - 1.5 + (int(team[1:]) * 7 % 10 - 4.5) * 0.3 + (1 if city is None else 0) + (0.8 if z == 2.0 else 0)
+        rows.append((x, z, rnd.random(), team, city, int(rnd.random() < 1 / (1 + math.exp(-odds)))))
+    return rows
+
+
+def brute_trees(rows, features, sets, params, rounds):
+    """Margins after each round, by trying every split of every leaf, leaf by leaf."""
+    names = SCHEMA.replace(" double", "").replace(" string", "").replace(" int", "").split(", ")
+    column = {name: [None if isinstance(r[i], float) and math.isnan(r[i]) else r[i] for r in rows] for i, name in enumerate(names)}
+    y = np.array(column["label"], float)
+    f = np.full(len(rows), math.log(y.sum() / (len(y) - y.sum())))
+    out = []
+
+    def shrunk(v):
+        return math.copysign(max(abs(v) - params.l1, 0), v)
+
+    def worth(g, h):
+        return shrunk(g) ** 2 / max(h + params.l2, 1e-300)
+
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-f))
+        g, h = p - y, p * (1 - p)
+
+        def sums(members):
+            return g[members].sum(), h[members].sum(), len(members)
+
+        def split(members):
+            """(gain, left members, right members) of the best split, the first of equal ones."""
+            best = (1e-9, None, None)
+            whole = sums(members)
+            choices = []
+            for name in features:
+                values = column[name]
+                present = sorted({values[i] for i in members if values[i] is not None})
+                missing = [i for i in members if values[i] is None]
+                for cut in present:
+                    low = [i for i in members if values[i] is not None and values[i] <= cut]
+                    choices += [low, low + missing] if missing else [low]
+            for name in sets:
+                by_id = {}
+                for i in members:
+                    if column[name][i] is not None:
+                        by_id.setdefault(column[name][i], []).append(i)
+                order = sorted(by_id, key=lambda k: (sums(by_id[k])[0] / (sums(by_id[k])[1] + params.set_smoothing), k))
+                choices += [sum((by_id[k] for k in order[: n + 1]), []) for n in range(len(order))]
+            for left in choices:
+                right = sorted(set(members) - set(left))
+                lg, lh, ln = sums(left)
+                rg, rh, rn = sums(right)
+                if min(ln, rn) < params.least_rows or min(lh, rh) < params.least_curvature:
+                    continue
+                gain = worth(lg, lh) + worth(rg, rh) - worth(*whole[:2])
+                if gain > best[0] + 1e-9:
+                    best = (gain, sorted(left), right)
+            return best
+
+        leaves, depth = [list(range(len(rows)))], {0: 0}
+        heap = []
+
+        def offer(number):
+            if not params.max_depth or depth[number] < params.max_depth:
+                gain, left, right = split(leaves[number])
+                if left is not None:
+                    heapq.heappush(heap, (-gain, number, left, right))
+
+        offer(0)
+        live = {0}
+        while heap and len(live) < params.leaves:
+            _, number, left, right = heapq.heappop(heap)
+            live.discard(number)
+            for side in (left, right):
+                leaves.append(side)
+                depth[len(leaves) - 1] = depth[number] + 1
+                live.add(len(leaves) - 1)
+            for new in (len(leaves) - 2, len(leaves) - 1):
+                offer(new)
+        for number in live:
+            lg, lh, _ = sums(leaves[number])
+            f[leaves[number]] -= params.rate * shrunk(lg) / max(lh + params.l2, 1e-300)
+        out.append(f.copy())
+    return out
+
+
+def prepared_of(spark, rows, features, sets):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    path_free = df.withColumn("__keep", F.lit(1)).drop("__keep")
+    return boosting.prepare(path_free, path_free, features, sets), path_free
+
+
+@pytest.mark.parametrize(
+    "features, sets, params",
+    [
+        (["x", "z"], [], BoostParams(rate=0.4, leaves=6, least_rows=15)),
+        (["x", "z"], [], BoostParams(rate=0.4, leaves=9, l1=0.7, l2=2.0, max_depth=3, least_rows=5)),
+        ([], ["team", "city"], BoostParams(rate=0.4, leaves=5, l2=1.0, least_rows=10)),
+        (["x"], ["team"], BoostParams(rate=0.3, leaves=7, l2=0.5, least_rows=10, set_smoothing=3.0)),
+    ],
+)
+def test_against_brute_force(spark, features, sets, params):
+    rows = made(300)
+    prepared, df = prepared_of(spark, rows, features, sets)
+    fitted = boosting.fit(prepared, params, max_rounds=2, patience=5)
+    expected = brute_trees(rows, features, sets, params, 2)
+    own = sorted(r[0] for r in fitted.state.rows.filter("NOT valid").select(boosting.MARGIN).collect())
+    assert np.abs(np.array(own) - np.sort(expected[1])).max() < 1e-9
+    # the model on the raw rows, through its thresholds and sets
+    again = boosting.margins(fitted.state.model, df).select(*df.columns, boosting.MARGIN).collect()
+    by_row = {}
+    for row, margin in zip(rows, expected[1]):
+        by_row[str(row)] = margin
+    assert max(abs(r[boosting.MARGIN] - by_row[str(tuple(r)[:-1])]) for r in again) < 1e-9
+
+
+def test_a_resumed_fit_is_the_whole_fit(spark):
+    prepared, df = prepared_of(spark, made(), ["x", "z", "u"], ["team"])
+    params = BoostParams(rate=0.3, leaves=5, least_rows=10, row_share=0.7, row_every=2, feature_share=0.6)
+    whole = boosting.fit(prepared, params, max_rounds=4, patience=10)
+    part = boosting.fit(prepared, params, max_rounds=2, patience=10)
+    resumed = boosting.fit(prepared, params, max_rounds=4, patience=10, state=part.state)
+    assert len(part.state.history) == 2 and resumed.state.history == pytest.approx(whole.state.history, abs=1e-12)
+    assert [(n.feature, n.is_set, n.bin, n.left) for n in resumed.model.nodes] == [(n.feature, n.is_set, n.bin, n.left) for n in whole.model.nodes]
+
+
+def test_no_round_is_fitted_after_the_stop(spark):
+    rows = [(float(i % 4), 0.0, 0.0, "t", "a", int(i % 4 > 1)) for i in range(200)]
+    prepared, _ = prepared_of(spark, rows, ["x"], [])
+    fitted = boosting.fit(prepared, BoostParams(rate=0.5, leaves=2), max_rounds=50, patience=3)
+    assert fitted.rounds == 1 and fitted.auc == 1.0 and len(fitted.state.history) == 4 and fitted.model.trees == 1
+
+
+def test_the_stop():
+    assert not boosting.stopped([], 2) and not boosting.stopped([0.5, 0.6, 0.55], 2)
+    assert boosting.stopped([0.5, 0.6, 0.55, 0.6], 2) and boosting.best_round([0.5, 0.6, 0.55, 0.6]) == 2
+
+
+def test_a_stored_model_scores_alike(spark, folder):
+    prepared, df = prepared_of(spark, made(), ["x", "z"], ["team", "city"])
+    fitted = boosting.fit(prepared, BoostParams(rate=0.3, leaves=6, least_rows=10), max_rounds=3)
+    tables.publish_booster(spark, fitted.model, {"leaves": 6}, {"auc": fitted.auc}, folder, "m", "1")
+    stored, params, metrics = tables.read_booster(spark, folder, "m", "1")
+    assert params == {"leaves": 6} and metrics == {"auc": fitted.auc} and stored.nodes == fitted.model.nodes
+    scored = boosting.score(stored, df)
+    assert scored.columns == [*df.columns, boosting.SCORE]
+    assert roc_auc(scored, boosting.SCORE, "label").first()["auc"] == pytest.approx(fitted.auc, abs=1e-12)
+    with pytest.raises(FileExistsError):
+        tables.publish_booster(spark, fitted.model, {}, {}, folder, "m", "1")
+    gain = {r["feature"]: (r["gain"], r["weight"]) for r in boosting.importance(spark, stored).collect()}
+    assert set(gain) == {"x", "z", "team", "city"} and sum(g for g, _ in gain.values()) == pytest.approx(1)
+    assert sum(w for _, w in gain.values()) == sum(n.left >= 0 for n in stored.nodes)
+
+
+def test_new_ids_and_missing_values_are_scored(spark):
+    prepared, _ = prepared_of(spark, made(), ["x"], ["team"])
+    fitted = boosting.fit(prepared, BoostParams(leaves=8, least_rows=5), max_rounds=2)
+    odd = spark.createDataFrame([(None, "never seen"), (float("nan"), None), (1e9, "t1")], "x double, team string")
+    assert boosting.score(fitted.model, odd).filter("score BETWEEN 0 AND 1").count() == 3
+
+
+def test_many_ids_are_no_matter(spark):
+    """More ids than any bin count, a third of the rows on one of them."""
+    rnd = random.Random(2)
+    rows = [(None, None, None, "hot" if rnd.random() < 0.33 else f"i{rnd.randrange(2500)}", None, rnd.randrange(2)) for _ in range(6000)]
+    rows = [(*r[:5], int(r[3] == "hot" or r[5])) for r in rows]
+    prepared, df = prepared_of(spark, rows, [], ["team"])
+    fitted = boosting.fit(prepared, BoostParams(rate=1.0, leaves=2), max_rounds=1)
+    members = {r["id"] for r in fitted.model.ids.collect()}
+    assert "hot" in members and 500 < len(members) < 2500
+
+
+def test_labels_of_one_kind_are_refused(spark):
+    with pytest.raises(ValueError):
+        prepared_of(spark, [(1.0, None, None, None, None, 1)] * 5, ["x"], [])
+
+
+@pytest.mark.parametrize("buckets", [3, 4096])
+def test_auc_by_buckets(spark, buckets, monkeypatch):
+    from furlong.operators import aggregates
+
+    monkeypatch.setattr(aggregates, "AUC_BUCKETS", buckets)
+    rnd = random.Random(3)
+    rows = [(rnd.choice([rnd.random(), 0.5, 0.0, 1.0]), rnd.choice([0, 1, None])) for _ in range(500)] + [(None, 1)]
+    df = spark.createDataFrame(rows, "s double, y int")
+    assert bucketed_auc(df, "s", "y", F.col("s")) == pytest.approx(roc_auc(df, "s", "y").first()["auc"], abs=1e-12)
+    assert bucketed_auc(df.filter("y = 1"), "s", "y", F.col("s")) is None
+
+
+def test_bins_are_cut_at_values(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1000)] + [(None,), (float("nan"),)], "x double")
+    (cuts,) = boosting.bin_cuts(df, ["x"], 10)
+    assert len(cuts) == 9 and all(abs(c - 100 * (i + 1)) < 20 for i, c in enumerate(cuts))
+    assert boosting.bin_cuts(df.filter("x < 3"), ["x"]) == [[0.0, 1.0]]
