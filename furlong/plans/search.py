@@ -12,6 +12,7 @@ import math
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from threading import Lock
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -163,20 +164,24 @@ def climb(
     the next rung takes, and those that run.
     """
     done: dict[int, Trial] = {}
-    going = list(trials)
+    going, lock = list(trials), Lock()
     for level, rounds in enumerate(rungs):
         places = max(1, math.ceil(keep * len(going)))
         finished: list[Trial] = []
+
+        def one(trial: Trial) -> None:
+            found = replace(run(trial, rounds), rung=level)
+            with lock:
+                finished.append(found)
+                done[found.number] = found
+                late = promoted(finished, 1.0)[places:] if level + 1 < len(rungs) else []
+                for other in late:
+                    if other.fitted is not None:
+                        drop(other)
+                        other.fitted = None
+
         with ThreadPoolExecutor(parallelism) as pool:
-            for trial in pool.map(lambda t: replace(run(t, rounds), rung=level), going):
-                finished.append(trial)
-                done[trial.number] = trial
-                if level + 1 < len(rungs):
-                    ahead = promoted(finished, 1.0)
-                    for late in ahead[places:]:
-                        if late.fitted is not None:
-                            drop(late)
-                            late.fitted = None
+            list(pool.map(one, going))
         going = promoted(finished, keep)
     return [done[trial.number] for trial in trials]
 

@@ -106,7 +106,7 @@ def write_files(df: DataFrame, root: str, by: str | None = None) -> list[dict[st
     kept = df.schema if by is None else StructType([f for f in df.schema.fields if f.name != by])
     counts = spark.read.schema(kept).parquet(*names).selectExpr("_metadata.file_path AS path").groupBy("path").count().collect()
     rows = {_name(row["path"]): row["count"] for row in counts}
-    return [{"path": path, "rows": rows.get(_name(path), 0), "part": part} for path, part in sorted(names.items())]
+    return [{"path": path, "rows": rows[_name(path)], "part": part} for path, part in sorted(names.items()) if _name(path) in rows]
 
 
 def _name(path: str) -> str:
