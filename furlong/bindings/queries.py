@@ -623,7 +623,7 @@ def incremental_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyed_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events by user and kind in three increments; repeats within a day of the first are dropped by keyed state."""
     root = scratch_path(spark, "keyed")
-    events = load(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").alias(LANDED_AT), F.col("event_type").alias("html"))
+    events = load(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias(LANDED_AT), F.col("event_type").alias("html"))
     thirds = F.ntile(3).over(Window.orderBy("day"))
     days = events.select(F.to_date(LANDED_AT).alias("day")).distinct().select("day", thirds.alias("third"))
     dated = cut_lineage(events.join(days, F.to_date(LANDED_AT) == F.col("day")).drop("day"), "events")
