@@ -55,7 +55,9 @@ def _scaled(vector: Column) -> Column:
 def usable(vectors: DataFrame, id_column: str, vector: str) -> DataFrame:
     """``id`` and ``v`` (whole numbers as doubles) of the rows whose vectors take part."""
     rows = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector).alias("v"))
-    bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    # scores of larger components would not fit a long
+    most = F.sqrt(F.lit(2.0**62) / F.greatest(F.size("v"), F.lit(1))) / SCALE
+    bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) > most))
     return rows.filter("id IS NOT NULL AND v IS NOT NULL").filter(~bad).filter(F.size("v") > 0).select("id", _scaled(F.col("v")).alias("v"))
 
 

@@ -35,12 +35,24 @@ class Cut(NamedTuple):
     off: int  # bytes from the aim
 
 
-def _ordinal(column: str, numeric: bool) -> Column:
-    """A dimension as a double: numbers as they are, text by its first six bytes; null below all."""
+def _common_bytes(docs: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Per text column the number of bytes with which all its values begin: those that the least and the largest share."""
+    if not columns:
+        return {}
+    found = docs.agg(*[f(F.col(c).cast("string")).alias(f"{f.__name__}{i}") for i, c in enumerate(columns) for f in (F.min, F.max)]).first()
+    out = {}
+    for i, c in enumerate(columns):
+        low, high = ((found[f"{f}{i}"] or "").encode() for f in ("min", "max"))
+        out[c] = next((at for at, (x, y) in enumerate(zip(low, high)) if x != y), min(len(low), len(high)))
+    return out
+
+
+def _ordinal(column: str, numeric: bool, skipped: int = 0) -> Column:
+    """A dimension as a double: numbers as they are, text by six bytes behind the ``skipped`` ones that all values share; null below all."""
     if numeric:
         value = F.col(column).cast("double")
         return F.when(F.isnan(value), F.lit(None)).otherwise(value)
-    head = F.substring(F.encode(F.col(column).cast("string"), "UTF-8"), 1, 6)
+    head = F.substring(F.encode(F.col(column).cast("string"), "UTF-8"), skipped + 1, 6)
     padded = F.rpad(F.hex(head), 12, "0")
     return F.conv(padded, 16, 10).cast("double")
 
@@ -48,12 +60,13 @@ def _ordinal(column: str, numeric: bool) -> Column:
 def text_groups(docs: DataFrame, id_column: str, text: str, dims: Sequence[str]) -> DataFrame:
     """Narrow rows: id, ``size``, ``crc``, ``hash`` of the text, and each dimension as ``d0``, ``d1``..."""
     kinds = {f.name: isinstance(f.dataType, NumericType) for f in docs.schema}
+    skipped = _common_bytes(docs, [d for d in dims if not kinds[d]])
     return docs.select(
         F.col(id_column).alias("id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("crc"),
         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("hash"),
-        *[_ordinal(d, kinds[d]).alias(f"d{i}") for i, d in enumerate(dims)],
+        *[_ordinal(d, kinds[d], skipped.get(d, 0)).alias(f"d{i}") for i, d in enumerate(dims)],
     )
 
 

@@ -23,7 +23,7 @@ from typing import Any
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from furlong.llm.common import cut_lineage
+from furlong.llm.common import cut_lineage, free_names
 from furlong.operators.skew import _hashable, row_numbers
 
 BLOCK_ROWS = 32
@@ -212,9 +212,11 @@ def mix(docs: DataFrame, id_column: str = "doc_id", source: str = "source", **op
     Rows without an id, and rows that repeat one, have their own places, in the order of
     a hash of the row.
     """
-    keyed = docs.withColumn("__tie", F.xxhash64(*_hashable(docs))).withColumn("__key", F.monotonically_increasing_id())
+    key, tie, slot, number = free_names(docs, 4)
+    keyed = docs.withColumns({tie: F.xxhash64(*_hashable(docs)), key: F.monotonically_increasing_id()})
     keyed = cut_lineage(keyed, "keyed")
-    rows = keyed.select("__key", "__tie", F.col(id_column).alias("__id"), F.col(source).alias("__source"))
-    order = _placed(rows, ["__tie", "__key"], **options).select("__key", F.col("slot").alias("__slot"), "__number")
-    ordered = keyed.join(order.hint("merge"), "__key").sort(F.asc_nulls_last("__slot"), "__number")
-    return ordered.drop("__key", "__tie", "__slot", "__number")
+    rows = keyed.select(F.col(key).alias("__key"), F.col(tie).alias("__tie"), F.col(id_column).alias("__id"), F.col(source).alias("__source"))
+    order = _placed(rows, ["__tie", "__key"], **options)
+    order = order.select(F.col("__key").alias(key), F.col("slot").alias(slot), F.col("__number").alias(number))
+    ordered = keyed.join(order.hint("merge"), key).sort(F.asc_nulls_last(slot), number)
+    return ordered.drop(key, tie, slot, number)

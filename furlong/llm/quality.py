@@ -186,8 +186,13 @@ def classify(
     targets = [good, bad]
     made = [f"{x}_{t}" for t in targets for x in ("p", "site")] + [f"{t}_score" for t in targets] + ["kept"]
     source = docs.drop(*[c for c in made if c not in (id_column, text, host, path)])
-    keyed = evidence(source, labels, targets, id_column, text, sample_rows)
-    keyed = keyed.withColumns({f"__{k}": F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for k, c in (("host", host), ("path", path))})
+    # by place, so that no column of the table can have the name of one that is made on the way
+    names = {name: f"c{i}" for i, name in enumerate(source.columns)}
+    inner = source.toDF(*names.values())
+    places = [names[c] for c in (id_column, text, host, path)]
+    known = labels.select(F.col(id_column).alias(places[0]), *targets)
+    keyed = evidence(inner, known, targets, places[0], places[1], sample_rows)
+    keyed = keyed.withColumns({f"__{k}": F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for k, c in zip(("host", "path"), places[2:])})
     scored = cut_lineage(keyed, "evidence")
     sites, means = site_posteriors(scored, "__host", "__path", targets)
     joined = join_sized(scored, sites, ["__host", "__path"], "n")
@@ -196,7 +201,8 @@ def classify(
         joined = joined.withColumn(f"{t}_score", 1 / (1 + F.exp(-(own + site))))
     kept = (F.col(f"{good}_score") >= 0.5) & (F.col(f"{bad}_score") <= 0.5)
     scores = [c for t in targets for c in (f"{t}_score", f"site_{t}")]
-    return joined.withColumn("kept", kept).select(*source.columns, *scores, "kept")
+    out = joined.withColumn("kept", kept).select(*names.values(), *scores, "kept")
+    return out.toDF(*names, *scores, "kept")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

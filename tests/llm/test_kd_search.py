@@ -8,7 +8,7 @@ SCHEMA = "vec_id long, embedding array<double>, label int, id long, v string, sc
 
 def brute(rows, queries, k):
     def usable(v):
-        return v and all(x is not None and np.isfinite(x) for x in v)
+        return v and all(x is not None and np.isfinite(x) and abs(x) * 1024 <= (2**62 / len(v)) ** 0.5 for x in v)
 
     whole = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v, *_ in rows if i is not None and usable(v)]
     out = []
@@ -47,6 +47,14 @@ def test_too_large_for_doubles_is_still_exact(spark):
     assert sorted(tuple(r) for r in small) == brute([(i, [x / 2**20 for x in v], *r) for i, v, *r in rows], {0}, 3)
 
 
+def test_vectors_whose_scores_do_not_fit_a_long_take_no_part(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1e18, 2.0]), (2, [-1e18, 3.0]), (3, [1e-300, 4.0]), (100, [2.0**20, 2.0**20]), (200, [2.0**20, 2.0**20])]
+    vectors = spark.createDataFrame([(i, v, 0, 1, "", 1) for i, v in rows], SCHEMA)
+    found = kd_search.top_k(vectors, vectors.filter("vec_id % 100 = 0"), k=9).collect()
+    assert sorted(tuple(r) for r in found) == brute(rows, {0, 100, 200}, 9)
+    assert {r["vec_id"] for r in found} == {0, 3, 100, 200} and max(r["score"] for r in found) == 2**61
+
+
 def test_few_rows_and_none(spark):
     vectors = spark.createDataFrame([(0, [1.0], 1, 1, "", 1), (1, [2.0], 1, 1, "", 1)], SCHEMA)
     assert [tuple(r) for r in kd_search.top_k(vectors, vectors.filter("vec_id = 0")).collect()] == [(0, 1, 1, 2 * 1024 * 1024)]

@@ -57,3 +57,15 @@ def test_no_python_runs_in_tasks(spark):
     found = kd_shards.shard_by_bytes(frame(spark, odd_rows()))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+def test_texts_that_begin_alike_are_told_apart(spark):
+    """URLs share their first bytes; the bytes behind those make the dimension."""
+    rows = [(i, f"text {i} " + "x" * 50, "en", f"https://example.com/{'abcdefgh'[i % 8]}", 60, 1, "", "") for i in range(400)]
+    groups = kd_shards.text_groups(frame(spark, rows), "doc_id", "text", ["source"])
+    assert groups.select("d0").distinct().count() == 8
+    placed = kd_shards.shard_by_bytes(frame(spark, rows), shards=8, dims=["source"]).collect()
+    of = {}
+    for r in placed:
+        of.setdefault(r["shard"], set()).add("abcdefgh"[r["doc_id"] % 8])
+    assert len(of) == 8 and sum(len(letters) for letters in of.values()) <= 16

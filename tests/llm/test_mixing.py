@@ -151,3 +151,13 @@ def test_weights_far_apart_leave_every_row_its_own_slot(spark):
     rows = [(i, "t", None, f"s{i % 2}", 1, 1, "", "") for i in range(40)]
     found = mixing.schedule(frame(spark, rows), block_rows=1, weights={"s0": 1.0, "s1": 1e-30}).collect()
     assert len({r["slot"] for r in found}) == 40
+
+
+def test_mix_keeps_columns_whatever_their_names(spark):
+    docs = frame(spark, odd_rows(count=30))
+    clashing = docs.selectExpr("*", *[f"{i} AS {name}" for i, name in enumerate(("__slot", "__key", "__tie", "__number", "__0", "__1"))])
+    mixed = mixing.mix(clashing)
+    assert mixed.columns == clashing.columns
+    own = [tuple(r)[: len(docs.columns)] for r in mixed.collect()]
+    assert {tuple(r)[len(docs.columns) :] for r in mixed.collect()} == {(0, 1, 2, 3, 4, 5)}
+    assert sorted(own, key=str) == sorted((tuple(r) for r in docs.collect()), key=str)

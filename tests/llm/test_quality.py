@@ -87,3 +87,13 @@ def test_the_sample_is_bounded_and_the_same_again(spark):
     labels = spark.createDataFrame([(i % 500, i % 2, None) for i in range(1000)], LABELS)
     first, again = (sorted(r["doc_id"] for r in quality.sampled_labels(labels.repartition(n), "doc_id", ["quality", "toxic"], 100).collect()) for n in (2, 5))
     assert first == again and len(first) == 100
+
+
+def test_inner_names_do_not_clash(spark):
+    rows, truth = corpus(60)
+    labels = spark.createDataFrame(truth, LABELS)
+    inner = ["__terms", "__vector", "__host", "__path", "__id", "__text", "c0", "c1", "p_quality_x"]
+    docs = frame(spark, rows).selectExpr("*", *[f"'{name}' AS {name}" for name in inner])
+    left = quality.keep_good(docs, labels).collect()
+    plain = quality.keep_good(frame(spark, rows), labels).collect()
+    assert sorted(r["doc_id"] for r in left) == sorted(r["doc_id"] for r in plain) and all(r[name] == name for r in left for name in inner)
