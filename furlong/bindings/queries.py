@@ -654,11 +654,10 @@ def roc_auc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MODEL_FEATURES = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "o_totalprice", "status", "priority"]
-MODEL_SETS = ["l_suppkey"]
 
 
 def model_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Train and valid rows of one stored table: does a line cost more than 2,000 per piece?"""
+    """Train and valid rows of one stored table: does a line cost more than 2,000 per piece? A tenth of the answers are wrong."""
     orders = races(spark, sf_dir).select(
         "o_orderkey",
         "race_date",
@@ -667,21 +666,23 @@ def model_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
         text.leading_int("o_orderpriority").alias("priority"),
     )
     lines = load(spark, sf_dir, "lineitem")
-    rank = F.when(F.col("l_extendedprice") / F.col("l_quantity") > 2000, 1).otherwise(2)
+    wrong = search.share_column(F.col("l_orderkey"), F.col("l_linenumber")) < 0.1
+    rank = F.when((F.col("l_extendedprice") / F.col("l_quantity") > 2000) != wrong, 1).otherwise(2)
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("rank", rank)
-    stored = cut_lineage(model.with_label(rows).select(*MODEL_FEATURES, *MODEL_SETS, "race_date", model.LABEL), "feature")
+    stored = cut_lineage(model.with_label(rows).select(*MODEL_FEATURES, "race_date", model.LABEL), "feature")
     return model.split_by_date(stored, "race_date", TRAIN_FIRST, TRAIN_LAST)
 
 
-#: Grown fast, so that a fit ends by its stop within some dozen rounds.
-MODEL_PARAMS = boosting.BoostParams(rate=0.5, leaves=15, max_depth=4, l2=1.0)
+#: Grown fast and stopped early: a round is some jobs, however few the rows are.
+MODEL_PARAMS = boosting.BoostParams(rate=0.7, leaves=12, max_depth=4, l2=1.0)
+PATIENCE = 3
 
 
 @query
 def gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A fit with the default patience, stored, read again and used on the raw valid rows."""
+    """A fit up to its stop, stored, read again and used on the raw valid rows."""
     train, valid = model_parts(spark, sf_dir)
-    fitted = boosting.fit(boosting.prepare(train, valid, MODEL_FEATURES, MODEL_SETS), MODEL_PARAMS)
+    fitted = boosting.fit(boosting.prepare(train, valid, MODEL_FEATURES), MODEL_PARAMS, patience=PATIENCE)
     root = scratch_path(spark, "models")
     tables.publish_booster(spark, fitted.model, {"leaves": 15}, {"auc": fitted.auc}, root, "gbt", "v1")
     stored, _, metrics = tables.read_booster(spark, root, "gbt", "v1")
@@ -777,7 +778,7 @@ def hpo_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trials of the leaf-wise search over rungs of growing rounds."""
     train, valid = model_parts(spark, sf_dir)
     prepared = boosting.prepare(train, valid, MODEL_FEATURES)
-    _, trials = search.search(prepared, search.SEARCH_SPACES["leaves"], trials=6, max_rounds=9, least_rounds=3, rate=0.5, max_depth=4)
+    _, trials = search.search(prepared, search.SEARCH_SPACES["leaves"], trials=6, max_rounds=6, least_rounds=2, rate=0.5, max_depth=4)
     rows = [(t.number, t.auc, t.rounds, t.rung, json.dumps(t.drawn, sort_keys=True)) for t in trials]
     return spark.createDataFrame(rows, "trial int, auc double, rounds int, rung int, params string")
 
@@ -785,5 +786,5 @@ def hpo_random(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = model_parts(spark, sf_dir)
-    fitted = boosting.fit(boosting.prepare(train, valid, MODEL_FEATURES, MODEL_SETS), MODEL_PARAMS, patience=5)
+    fitted = boosting.fit(boosting.prepare(train, valid, MODEL_FEATURES), MODEL_PARAMS, patience=PATIENCE)
     return boosting.importance(spark, fitted.model)

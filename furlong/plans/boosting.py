@@ -195,46 +195,47 @@ def _bin_at(index: int, cuts: list[float]) -> Column:
 # -- walking trees -------------------------------------------------------------
 
 
-def _leaf(nodes: Sequence[Node], root: Column | int, values: Column, by_bin: bool, members: Column | None) -> Column:
-    """Number of the leaf that a row falls into. ``members``: per id column the nodes whose set has the row's id."""
+def _literal(values: Sequence[Any], kind: str) -> str:
+    """A constant array in SQL; as ``_array``."""
+    return f"cast(split('{','.join(map(str, values))}', ',') AS array<{kind}>)"
+
+
+def _leaf(nodes: Sequence[Node], root: int | str, values: str, by_bin: bool, members: bool) -> str:
+    """SQL for the number of the leaf that a row falls into; one text is planned faster than many calls.
+
+    ``root``: a number or an expression, ``values``: the column with bins or numbers, ``members``:
+    whether there is a column ``members``, per id column the nodes whose set has the row's id.
+    """
     base = nodes[0].number
     depth = max(node.depth for node in nodes)
-    at_root = (F.lit(root) if isinstance(root, int) else root).cast("int")
     if not depth:
-        return at_root
-    column = {
-        "feature": _array([node.feature for node in nodes], "int"),
-        "limit": _array([node.bin if by_bin else node.threshold for node in nodes], "int" if by_bin else "double"),
-        "missing": _array([int(node.missing_left) for node in nodes], "int"),
-        "left": _array([node.left for node in nodes], "int"),
-        "right": _array([node.right for node in nodes], "int"),
-        "set": _array([int(node.is_set) for node in nodes], "int"),
-    }
-
-    def of(name: str, at: Column) -> Column:
-        return F.get(column[name], at - base)
-
-    def step(at: Column, _: Column) -> Column:
-        value = F.get(values, of("feature", at))
-        goes_left = F.when(value.isNull(), of("missing", at) == 1).otherwise(value <= of("limit", at))
-        if members is not None:
-            in_set = F.coalesce(F.array_contains(F.get(members, of("feature", at)), at), F.lit(False))
-            goes_left = F.when(of("set", at) == 1, in_set).otherwise(goes_left)
-        return F.when(of("left", at) < 0, at).when(goes_left, of("left", at)).otherwise(of("right", at))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), at_root, step)
-
-
-def _with_members(rows: DataFrame, ids: DataFrame | None, count: int, hot: Sequence[HotKeys | None]) -> tuple[DataFrame, Column | None]:
-    """Per id column the nodes that a row's id is in the set of, looked up once per id and not per node."""
+        return f"cast({root} AS int)"
+
+    def of(kind: str, found: Sequence[Any]) -> str:
+        return f"get({_literal(found, kind)}, at - {base})"
+
+    feature = of("int", [node.feature for node in nodes])
+    limit = of("int", [node.bin for node in nodes]) if by_bin else of("double", [node.threshold for node in nodes])
+    missing = of("int", [int(node.missing_left) for node in nodes])
+    left, right = of("int", [node.left for node in nodes]), of("int", [node.right for node in nodes])
+    goes_left = f"CASE WHEN get({values}, {feature}) IS NULL THEN {missing} = 1 ELSE get({values}, {feature}) <= {limit} END"
+    if members:
+        in_set = f"coalesce(array_contains(get(members, {feature}), at), false)"
+        goes_left = f"CASE WHEN {of('int', [int(node.is_set) for node in nodes])} = 1 THEN {in_set} ELSE {goes_left} END"
+    step = f"CASE WHEN {left} < 0 THEN at WHEN {goes_left} THEN {left} ELSE {right} END"
+    return f"aggregate(sequence(1, {depth}), cast({root} AS int), (at, level) -> {step})"
+
+
+def _with_members(rows: DataFrame, ids: DataFrame | None, count: int, hot: Sequence[HotKeys | None]) -> DataFrame:
+    """With a column ``members``: per id column the nodes that a row's id is in the set of, looked up once per id, not per node."""
     if ids is None:
-        return rows, None
-    found = []
+        return rows
+    columns = rows.columns
     for i in range(count):
         per_id = ids.filter(F.col("feature") == i).groupBy(F.col("id").alias(f"__id{i}")).agg(F.collect_list("node").alias(f"__nodes{i}"))
         rows = spread_join(rows.withColumn(f"__id{i}", F.get("s", i)), per_id, [f"__id{i}"], hot=hot[i])
-        found.append(F.coalesce(f"__nodes{i}", F.array().cast("array<int>")))
-    return rows, F.array(*found)
+    found = ", ".join(f"coalesce(__nodes{i}, cast(array() AS array<int>))" for i in range(count))
+    return rows.selectExpr(*[f"`{c}`" for c in columns], f"array({found}) AS members")
 
 
 # -- growing -------------------------------------------------------------------
@@ -309,38 +310,33 @@ class _Round:
         self.hists: dict[int, np.ndarray] = {}
         self.set_tables: list[DataFrame] = []
 
-    def used(self) -> DataFrame:
-        """Train rows that this round draws, with gradient ``g`` and curvature ``h``."""
-        rows = self.state.rows.filter("NOT valid")
-        if self.params.row_every:
-            epoch = F.get(_array([self.tree // self.params.row_every, self.params.seed], "int"), 0)
-            drawn = F.pmod(F.xxhash64("row", epoch, F.lit(self.params.seed)), F.lit(DRAW))
-            rows = rows.filter(drawn < F.get(_array([round(self.params.row_share * DRAW)], "int"), 0))
-        p = 1 / (1 + F.exp(-F.col(MARGIN)))
-        return rows.withColumns({"g": p - F.col(LABEL), "h": p * (1 - p)})
-
     def ids(self) -> DataFrame | None:
         out = None
         for table in self.set_tables:
             out = table if out is None else out.unionByName(table)
         return out
 
-    def _slots(self, rows: DataFrame, numbers: Sequence[int]) -> DataFrame:
-        """Rows in one of some nodes, with the node's place among them (``slot``)."""
-        if not self.nodes:
-            return rows.withColumn("slot", F.lit(0))
-        rows, members = _with_members(rows, self.ids(), len(self.prepared.sets), self.prepared.hot)
-        leaf = _leaf(self.nodes, self.base, F.col("b"), True, members)
-        places = {number: i for i, number in enumerate(numbers)}
-        slots = _array([places.get(node.number, -1) for node in self.nodes], "int")
-        return rows.withColumn("slot", F.get(slots, leaf - self.base)).filter("slot >= 0")
+    def _slots(self, numbers: Sequence[int]) -> DataFrame:
+        """The drawn train rows in one of some nodes: the node's place among them (``slot``), ``b``, ``s``, gradient, curvature."""
+        drawn, leaf, ids = "NOT valid", "0", None
+        if self.params.row_every:
+            epoch = f"get({_literal([self.tree // self.params.row_every], 'int')}, 0)"
+            bound = f"get({_literal([round(self.params.row_share * DRAW)], 'int')}, 0)"
+            drawn += f" AND pmod(xxhash64(row, {epoch}, {self.params.seed}), {DRAW}) < {bound}"
+        if self.nodes:
+            ids = self.ids()
+            places = {number: i for i, number in enumerate(numbers)}
+            slots = _literal([places.get(node.number, -1) for node in self.nodes], "int")
+            leaf = f"get({slots}, {_leaf(self.nodes, self.base, 'b', True, ids is not None)} - {self.base})"
+        rows = _with_members(self.state.rows.filter(drawn), ids, len(self.prepared.sets), self.prepared.hot)
+        rows = rows.selectExpr(f"{leaf} AS slot", "b", "s", LABEL, f"1 / (1 + exp(-{MARGIN})) AS p")
+        return rows.filter("slot >= 0").selectExpr("slot", "b", "s", f"p - {LABEL} AS g", "p * (1 - p) AS h")
 
     def _histograms(self, numbers: Sequence[int]) -> np.ndarray:
         """Per node, chosen feature (and one for all rows) and bin the sums of gradient, curvature and rows."""
-        picked = F.transform(_array(self.chosen, "int"), lambda i: F.get("b", i)) if self.chosen else F.array().cast("array<int>")
-        values = F.concat(picked, F.array(F.lit(0)))
-        rows = self._slots(self.used(), numbers).select("slot", "g", "h", F.posexplode(values).alias("place", "bin"))
-        sums = rows.groupBy("slot", "place", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.count("*").alias("n"))
+        picked = f"transform({_literal(self.chosen, 'int')}, i -> get(b, i))" if self.chosen else "cast(array() AS array<int>)"
+        rows = self._slots(numbers).selectExpr("slot", "g", "h", f"posexplode(concat({picked}, array(0))) AS (place, bin)")
+        sums = rows.groupBy("slot", "place", "bin").agg(F.expr("sum(g) AS g"), F.expr("sum(h) AS h"), F.expr("count(*) AS n"))
         table = sums.toArrow()
         hist = np.zeros((len(numbers), len(self.chosen) + 1, self.width, 3))
         slot, place = table["slot"].to_numpy(), table["place"].to_numpy()
@@ -354,8 +350,8 @@ class _Round:
         if not self.chosen_sets or not asked:
             return {}, None
         params = self.params
-        picked = F.transform(_array(self.chosen_sets, "int"), lambda i: F.get("s", i))
-        rows = self._slots(self.used(), [node.number for node in asked]).select("slot", "g", "h", F.posexplode(picked).alias("place", "id"))
+        picked = f"transform({_literal(self.chosen_sets, 'int')}, i -> get(s, i))"
+        rows = self._slots([node.number for node in asked]).selectExpr("slot", "g", "h", f"posexplode({picked}) AS (place, id)")
         sums = rows.filter("id IS NOT NULL").groupBy("slot", "place", "id").agg(
             F.sum("g").alias("g"), F.sum("h").alias("h"), F.count("*").alias("n")
         )
@@ -532,11 +528,11 @@ class _Round:
                 ids = ids.join(F.broadcast(table), "node").select(F.col("__new").alias("node"), "feature", "id")
             else:
                 ids = None
-        rows, members = _with_members(state.rows, ids, len(self.prepared.sets), self.prepared.hot)
-        leaf = _leaf(nodes, self.base, F.col("b"), True, members)
-        value = F.get(_array([node.value for node in nodes], "double"), leaf - self.base)
+        rows = _with_members(state.rows, ids, len(self.prepared.sets), self.prepared.hot)
+        value = f"get({_literal([node.value for node in nodes], 'double')}, {_leaf(nodes, self.base, 'b', True, ids is not None)} - {self.base})"
         path = scratch_path(spark, "margins")
-        rows.withColumn(MARGIN, F.col(MARGIN) + value).select(*state.rows.columns).write.parquet(path)
+        kept = [c if c != MARGIN else f"{MARGIN} + {value} AS {MARGIN}" for c in state.rows.columns]
+        rows.selectExpr(*kept).write.parquet(path)
         stored = spark.read.schema(state.rows.schema).parquet(path)
         if state.path:
             discard(spark, state.path)
@@ -597,15 +593,12 @@ def margins(model: Boosted, rows: DataFrame) -> DataFrame:
     wide = rows.withColumns({"__x": features, "s": F.array(*[F.col(c).cast("string") for c in model.sets]) if model.sets else F.array()})
     if not model.nodes:
         return rows.withColumn(MARGIN, F.lit(model.start))
-    wide, members = _with_members(wide, model.ids, len(model.sets), [None] * len(model.sets))
+    wide = _with_members(wide, model.ids, len(model.sets), [None] * len(model.sets))
     first = [node.number for node in model.nodes if node.depth == 0]
-    values = _array([node.value for node in model.nodes], "double")
-    total = F.aggregate(
-        _array(first, "int"),
-        F.lit(model.start),
-        lambda sum_, root: sum_ + F.get(values, _leaf(model.nodes, root, F.col("__x"), False, members)),
-    )
-    return wide.withColumn(MARGIN, total).select(*rows.columns, MARGIN)
+    leaf = _leaf(model.nodes, "root", "__x", False, model.ids is not None)
+    value = f"get({_literal([node.value for node in model.nodes], 'double')}, {leaf} - {model.nodes[0].number})"
+    total = f"aggregate({_literal(first, 'int')}, cast({model.start!r} AS double), (total, root) -> total + {value})"
+    return wide.selectExpr(*[f"`{c}`" for c in rows.columns], f"{total} AS {MARGIN}")
 
 
 def score(model: Boosted, rows: DataFrame) -> DataFrame:

@@ -7,11 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from furlong import fixed_values as fixed
-from furlong.plans.features import preprocess
-from furlong.plans.model import SEARCH_SPACES, Fitted, assemble, fit_boosted, importance, search, split_by_date, with_label
+from furlong.plans.boosting import BoostParams, Fitted, fit, importance, prepare
+from furlong.plans.features import CATEGORIES, preprocess
+from furlong.plans.model import split_by_date, with_label
 from furlong.plans.race_result import get_race_results
+from furlong.plans.search import SEARCH_SPACES, search
 from furlong.sources.pages import PageSource
-from furlong.sources.tables import publish_all, publish_model, read_version
+from furlong.sources.tables import publish_all, publish_booster, read_version
 
 
 @dataclass
@@ -29,6 +31,7 @@ class TrainConfig:
     patience: int = 20
     trials: int = 100
     parallelism: int = 2
+    least_rounds: int = 10
 
 
 def build_features(spark: SparkSession, config: TrainConfig, pages: PageSource, data_root: str) -> DataFrame:
@@ -43,21 +46,23 @@ def build_features(spark: SparkSession, config: TrainConfig, pages: PageSource,
 def train_and_publish(
     spark: SparkSession, config: TrainConfig, pages: PageSource, data_root: str, model_root: str
 ) -> tuple[Fitted, DataFrame]:
-    """Build features, split by date, search, fit with the best parameters, store the model.
+    """Build features, split by date, search, store the best model found.
 
-    Returns the fitted model with its AUC, and the importance of the features.
+    Its fit has come to its end in the search: it is the one that was promoted to the last
+    rung. Returns the fitted model with its AUC, and the importance of the features.
     """
     labelled = with_label(build_features(spark, config, pages, data_root))
-    parts = split_by_date(
+    train, valid = split_by_date(
         labelled, "race_date", config.train_first_date, config.train_last_date, config.valid_last_date
     )
-    # the features are a stored table, so each trial reads just its columns of it
-    train, valid = (assemble(part, config.feature_columns) for part in parts)
-    best, _ = search(
-        train, valid, SEARCH_SPACES[config.model], config.trials, config.max_rounds, config.patience,
-        parallelism=config.parallelism,
+    # codes of ids are split on as sets of ids, not as numbers
+    sets = [c for c in config.feature_columns if c in {f"{name}_cat" for name in CATEGORIES}]
+    prepared = prepare(train, valid, [c for c in config.feature_columns if c not in sets], sets)
+    fitted, trials = search(
+        prepared, SEARCH_SPACES[config.model], config.trials, config.max_rounds, config.patience,
+        least_rounds=config.least_rounds, parallelism=config.parallelism,
     )
-    fitted = fit_boosted(train, valid, best, config.max_rounds, config.patience)
-    metrics = {"auc": fitted.auc}
-    publish_model(spark, fitted.model, best, metrics, model_root, config.model, config.model_version)
-    return fitted, importance(fitted.model, config.feature_columns)
+    best = next(trial for trial in trials if trial.fitted is fitted)
+    metrics = {"auc": fitted.auc, "rounds": fitted.rounds}
+    publish_booster(spark, fitted.model, best.drawn, metrics, model_root, config.model, config.model_version)
+    return fitted, importance(spark, fitted.model)
