@@ -8,7 +8,6 @@ can recur only where its anchor does.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np

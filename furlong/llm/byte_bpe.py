@@ -24,11 +24,11 @@ from pyspark.sql import DataFrame, functions as F
 from furlong.llm.common import Recent, once_per_worker, pieces
 
 WORD = 256  # bits in a word of the lower level of the bitmap
-KEPT = 400_000
+KEPT = 150_000
 LONGEST_KEPT = 64
-CHUNK_BYTES = 8 * 1024 * 1024
+CHUNK_BYTES = 4 * 1024 * 1024
 #: Bytes of pieces that are encoded together, at least.
-QUEUE_BYTES = 4 * 1024 * 1024
+QUEUE_BYTES = 2 * 1024 * 1024
 #: Buckets with so few positions are gone through one by one.
 FEW = 6
 NONE = 2**31 - 1

@@ -11,7 +11,6 @@ stretches around it is split by the strings themselves.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
