@@ -144,4 +144,19 @@ ORACLE: dict[str, str] = {
         )
         SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
     """,
+    "op5_kd_search": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * c.x[i])) AS BIGINT) AS score
+            FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.x) = len(q.x)
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM scored QUALIFY rank <= 10
+    """,
 }

@@ -90,3 +90,11 @@ def test_search_leaves_out_most_nodes():
     scores = values @ query[0]
     assert best.scores[0].tolist() == sorted(scores.tolist(), reverse=True)[:10]
     assert sum(visits) < 1500
+
+
+def test_given_table_against_sql(spark, sf_dir):
+    from furlong.llm import bindings
+    from tests.compare import connect, duck_rows, spark_rows
+
+    found = spark_rows(bindings.QUERIES["op5_kd_search"](spark, sf_dir))
+    assert found == duck_rows(connect(sf_dir), bindings.ORACLE["op5_kd_search"]) and found[1]
