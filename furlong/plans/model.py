@@ -1,13 +1,9 @@
-"""Split by date, boosted trees, random search, importance."""
+"""Split by date and label; MLlib's boosted trees, for features that are numbers. ``boosting`` has the others."""
 
 from __future__ import annotations
 
-import math
-import random
 import re
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field, replace
+from collections.abc import Sequence
 from typing import Any, NamedTuple
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -65,41 +61,6 @@ class Fitted(NamedTuple):
 # the fixed part of the parameters; tuned ones are laid over it
 BASE_PARAMS: dict[str, Any] = {"stepSize": 0.1, "lossType": "logistic", "seed": 17}
 
-Draw = Callable[[random.Random], Any]
-
-
-def int_between(low: int, high: int) -> Draw:
-    return lambda rng: rng.randint(low, high)
-
-
-def float_between(low: float, high: float) -> Draw:
-    return lambda rng: rng.uniform(low, high)
-
-
-def log_float_between(low: float, high: float) -> Draw:
-    return lambda rng: math.exp(rng.uniform(math.log(low), math.log(high)))
-
-
-# one entry per searched parameter of a leaf-bounded and of a depth-bounded booster;
-# L1 and L2 terms have no counterpart in MLlib's trees, minInfoGain is the nearest brake
-SEARCH_SPACES: dict[str, dict[str, Draw]] = {
-    "leaves": {
-        "maxDepth": int_between(4, 7),
-        "minInstancesPerNode": int_between(10, 100),
-        "featureSubsetStrategy": lambda rng: f"{rng.uniform(0.5, 1.0):.4f}",
-        "subsamplingRate": float_between(0.5, 1.0),
-        "minInfoGain": log_float_between(1e-8, 1e-2),
-    },
-    "depth": {
-        "stepSize": log_float_between(1e-3, 0.3),
-        "maxDepth": int_between(3, 10),
-        "subsamplingRate": float_between(0.5, 1.0),
-        "featureSubsetStrategy": lambda rng: f"{rng.uniform(0.5, 1.0):.4f}",
-        "minInfoGain": log_float_between(1e-8, 1e-2),
-    },
-}
-
-
 def _fit_rounds(train: DataFrame, params: dict[str, Any], rounds: int) -> GBTClassificationModel:
     booster = GBTClassifier(
         featuresCol="features", labelCol=LABEL, maxIter=rounds, checkpointInterval=10, **params
@@ -159,41 +120,6 @@ def auc_of(model: GBTClassificationModel, assembled: DataFrame) -> float:
     return roc_auc(score(model, assembled), SCORE, LABEL).first()["auc"]
 
 
-@dataclass
-class Trial:
-    number: int
-    params: dict[str, Any]
-    auc: float = field(default=math.nan)
-
-
-def search(
-    train: DataFrame,
-    valid: DataFrame,
-    space: dict[str, Draw],
-    trials: int = 100,
-    max_rounds: int = 300,
-    patience: int = 20,
-    seed: int = 0,
-    parallelism: int = 2,
-    maximize: bool = True,
-) -> tuple[dict[str, Any], list[Trial]]:
-    """Seeded random search for the best AUC on ``valid``; each trial is a fit on Spark.
-
-    Returns the whole parameter set of the best trial, the fixed ones included. Every
-    trial reads the rows given, so they should come from a stored table.
-    """
-    rng = random.Random(seed)
-    drawn = [Trial(i, {**BASE_PARAMS, **{name: draw(rng) for name, draw in space.items()}}) for i in range(trials)]
-
-    def run(trial: Trial) -> Trial:
-        return replace(trial, auc=fit_boosted(train, valid, trial.params, max_rounds, patience).auc)
-
-    with ThreadPoolExecutor(parallelism) as pool:
-        done = list(pool.map(run, drawn))
-    best = (max if maximize else min)(done, key=lambda trial: trial.auc)
-    return best.params, done
-
-
 def importance(model: GBTClassificationModel, features: Sequence[str], kind: str = "gain") -> DataFrame:
     """Feature names with their share of the gain, or with how often they are split on ("weight")."""
     if kind not in ("gain", "weight"):

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from furlong import fixed_values as fixed
-from furlong.plans.boosting import BoostParams, Fitted, fit, importance, prepare
+from furlong.plans.boosting import Fitted, importance, prepare
 from furlong.plans.features import CATEGORIES, preprocess
 from furlong.plans.model import split_by_date, with_label
 from furlong.plans.race_result import get_race_results

@@ -52,7 +52,7 @@ def spread_scan(table: DataFrame, keys: list[str]) -> DataFrame:
     """
     slots = table.sparkSession.sparkContext.defaultParallelism
     # from the plan's own figures: nothing of it is run
-    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().doubleValue()
+    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     split = table.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     if size / split >= slots or len(table.inputFiles()) >= slots:
         return table

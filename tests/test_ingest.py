@@ -76,3 +76,30 @@ def test_an_unpartitioned_table(spark, folder):
 def test_first_copy_wins(spark):
     df = spark.createDataFrame([(1, "new", 5), (1, "old", 2), (2, "x", 1)], "id int, html string, at int")
     assert {(r["id"], r["html"]) for r in first_copies(df, ["id"], ["at"]).collect()} == {(1, "old"), (2, "x")}
+
+
+def test_repeats_within_the_limit_are_dropped_by_state(spark, folder):
+    """The table is not looked at; the state holds the keys of the limit only."""
+    hour = 3600
+    start = 1_700_000_000
+    increments = [
+        [("20240106", "01", "a", 0), ("20240106", "02", "", 0), ("20240106", "03", "c", 1)],
+        [("20240106", "01", "again", 2), ("20240107", "04", "d", 3)],
+        [("20240107", "05", "e", 100)],
+        [("20240107", "04", "late", 3), ("20240107", "06", "f", 101), ("20240106", "01", "after the limit", 101)],
+    ]
+    from pyspark.sql import functions as F
+
+    state = []
+    for rows in increments:
+        df = spark.createDataFrame([(d, i, h, start + at * hour) for d, i, h, at in rows], "race_date string, race_id string, html string, at long")
+        df.withColumn("landed_at", F.timestamp_seconds("at")).drop("at").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        source = spark.readStream.schema("race_date string, race_id string, html string, landed_at timestamp").parquet(f"{folder}/in")
+        ingest(source, f"{folder}/table", f"{folder}/progress", keys=["race_date", "race_id"], within="24 hours")
+        landed = read_landed(spark, f"{folder}/table", source.schema)
+        state.append(sorted((r["race_id"], r["html"]) for r in landed.collect()))
+    assert state[0] == [("01", "a"), ("03", "c")]
+    assert state[1] == [("01", "a"), ("03", "c"), ("04", "d")]
+    assert state[2] == [*state[1], ("05", "e")]
+    # a page that is late by more than the limit is dropped; a key may land again once the limit is over
+    assert state[3] == sorted([*state[2], ("06", "f"), ("01", "after the limit")])

@@ -89,25 +89,6 @@ def test_models_are_stored_under_a_version(spark, data, folder):
     assert model.auc_of(stored, data[1]) == pytest.approx(fitted.auc)
 
 
-def test_search_is_seeded_and_keeps_fixed_parameters(data):
-    space = {"maxDepth": model.int_between(1, 3), "stepSize": model.log_float_between(0.01, 0.3)}
-    best, trials = model.search(*data, space, trials=2, max_rounds=2, patience=2, seed=5)
-    again, same = model.search(*data, space, trials=2, max_rounds=2, patience=2, seed=5, parallelism=1)
-    assert best == again and [t.auc for t in trials] == pytest.approx([t.auc for t in same])
-    assert best["seed"] == model.BASE_PARAMS["seed"] and best["lossType"] == "logistic"
-    assert max(t.auc for t in trials) == next(t.auc for t in trials if t.params == best)
-
-
-@pytest.mark.parametrize("name", sorted(model.SEARCH_SPACES))
-def test_search_spaces_draw_valid_parameters(name):
-    from pyspark.ml.classification import GBTClassifier
-
-    rng = random.Random(0)
-    for _ in range(20):
-        params = {key: draw(rng) for key, draw in model.SEARCH_SPACES[name].items()}
-        GBTClassifier(**{**model.BASE_PARAMS, **params})
-
-
 def test_config():
     dates = {"train_first_date": "20240101", "train_last_date": "20240131", "data_version": "d", "model_version": "m"}
     assert TrainConfig(**dates, feature_columns=("a", "b")).feature_columns == ("a", "b")

@@ -197,5 +197,6 @@ def test_scans_with_few_splits_are_spread(spark, folder):
     spark.range(100).coalesce(1).write.parquet(f"{folder}/t")
     table = spark.read.parquet(f"{folder}/t")
     assert tables.spread_scan(table, ["id"]).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, 64)
+    spark.range(0, 100, 1, 64).write.parquet(f"{folder}/w")
+    wide = spark.read.parquet(f"{folder}/w")
     assert tables.spread_scan(wide, ["id"]) is wide

@@ -128,3 +128,17 @@ def test_literals_are_text(spark):
 def test_label_and_name_are_null_together(spark):
     df = spark.createDataFrame([("美浦", "加藤"), (None, "加藤"), ("美浦", None)], "a string, b string")
     assert [r[0] for r in df.select(project.join_text("a", "b")).collect()] == ["美浦加藤", None, None]
+
+
+def test_entities_are_decoded_once(spark):
+    import html
+
+    texts = [
+        "a &amp; b", "&lt;b&gt;&quot;&apos;", "&#65;&#x42;&#X43;&#12354;&#x1F600;", "&amp;lt; &#38;lt; &#38;#65;", "no entity", "", None,
+        "&;&#;&#x;&unknown;&amp", "&#39;&nbsp;&middot;&copy;", "&#xD800;&#1114112;", "x\ny &#10; z",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = {r["i"]: r["u"] for r in df.select("i", text.unescape_basic("t").alias("u")).collect()}
+    # without its semicolon an entity stays here
+    expected = [None if t is None else html.unescape(re.sub("&amp$", "&amp;amp", t)) for t in texts]
+    assert [found[i] for i in range(len(texts))] == expected

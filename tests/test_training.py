@@ -6,7 +6,7 @@ import random
 import pytest
 
 from furlong.plans.features import CATEGORIES, codes_name, preprocess
-from furlong.plans.model import SCORE, assemble, score, with_label
+from furlong.plans.boosting import SCORE, score
 from furlong.plans.race_result import build_race_cards
 from furlong.plans.training import TrainConfig, train_and_publish
 from furlong.schemas import PAGE
@@ -46,7 +46,7 @@ def page_root(tmp_path_factory):
 
 def test_training_run(spark, page_root, folder):
     config = TrainConfig(
-        "20240101", "20240114", "d1", "m1", valid_last_date="20240120", max_rounds=4, patience=2, trials=2, model="depth"
+        "20240101", "20240114", "d1", "m1", valid_last_date="20240120", max_rounds=3, patience=2, trials=2, least_rounds=3, model="depth"
     )
     fitted, gain = train_and_publish(spark, config, page_files(spark, page_root), f"{folder}/data", f"{folder}/models")
     assert 0.7 < fitted.auc <= 1
@@ -59,8 +59,9 @@ def test_training_run(spark, page_root, folder):
     assert feature.count() == 240 - 6 - raw.filter("rank = '取消' AND race_name <> '2歳新馬'").count()
     assert means.count() == feature.select("horse_id").distinct().count()
 
-    stored, params, metrics = tables.read_model(spark, f"{folder}/models", "depth", "m1")
-    assert metrics == {"auc": fitted.auc} and params["lossType"] == "logistic" and "maxDepth" in params
+    stored, params, metrics = tables.read_booster(spark, f"{folder}/models", "depth", "m1")
+    assert metrics == {"auc": fitted.auc, "rounds": fitted.rounds} and "eta" in params and "reg_lambda" in params
+    assert stored.sets == ["horse_id_cat", "jockey_id_cat", "trainer_id_cat"] and len(stored.features) == 14
 
     # a coming race: card page to probabilities, with the stored means
     card = card_page([(runner(horse_number=str(i), horse_name=f"馬{i}", odds=str(1.0 + i), jockey_name=f"騎{i}", trainer_name=f"師{i}"), (f"h0{i}", "j1", "t1")) for i in range(1, 4)])
@@ -69,5 +70,5 @@ def test_training_run(spark, page_root, folder):
     coming = preprocess(cards, means, codes, mode="predict")["feature"].selectExpr("*", "0 AS rank")
     known = {r["horse_id"]: (r["horse_id_cat"], r["weight_diff_avg"]) for r in feature.collect()}
     assert {r["horse_id"]: (r["horse_id_cat"], r["weight_diff_avg"]) for r in coming.collect()} == {f"h0{i}": known[f"h0{i}"] for i in range(1, 4)}
-    scored = score(stored, assemble(with_label(coming), config.feature_columns)).collect()
+    scored = score(stored, coming).collect()
     assert len(scored) == 3 and all(0 <= r[SCORE] <= 1 for r in scored)
