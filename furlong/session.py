@@ -99,6 +99,16 @@ def discard(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def discard_tables(tables: list[DataFrame]) -> None:
+    """Delete what ``cut_lineage`` wrote for these, once nothing reads it any more."""
+    for table in tables:
+        folders = {os.path.dirname(file) for file in table.inputFiles()}
+        for folder in folders:
+            if f"/furlong/{table.sparkSession.sparkContext.applicationId}/" in folder:
+                place = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+                place.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write the rows once to the shared folder and read on from there.
 
