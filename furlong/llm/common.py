@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from furlong.session import cut_lineage
+from furlong.session import cut_lineage, discard_tables
 
 #: Rows and bytes handed to Python at once; the workers' memory follows from these.
 SETTINGS = {
@@ -163,6 +163,6 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], least: int
 
 
 __all__ = [
-    "Recent", "cut_lineage", "free_names", "is_empty", "join_sized", "load", "once_per_worker", "pieces", "prepare", "row_keys",
+    "Recent", "cut_lineage", "discard_tables", "free_names", "is_empty", "join_sized", "load", "once_per_worker", "pieces", "prepare", "row_keys",
     "text_bytes", "whole_groups",
 ]

@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from furlong.llm.common import cut_lineage, free_names, is_empty, join_sized, row_keys, whole_groups
+from furlong.llm.common import cut_lineage, discard_tables, free_names, is_empty, join_sized, row_keys, whole_groups
 
 FIRST_DIGIT = 16
 #: Bytes of text that one slice of a group holds, about.
@@ -131,8 +131,8 @@ def _slice_of() -> Column:
     return F.pmod(F.xxhash64("row"), F.col("slices")).alias("slice")
 
 
-def _grouped(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """Per row ``id``, ``k0``, ``k1`` (``row_keys``), ``keep_id``, ``group_size``, ``kept``, ``sha256``."""
+def _grouped(docs: DataFrame, id_column: str, text: str) -> tuple[DataFrame, list[DataFrame]]:
+    """Per row ``id``, ``k0``, ``k1`` (``row_keys``), ``keep_id``, ``group_size``, ``kept``, ``sha256``; and the stored tables with texts."""
     source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
     source = source.select(F.monotonically_increasing_id().alias("row"), "id", "text", *row_keys("id", "text"))
     schema = "row long, id long, k0 long, k1 long, rep long, n long, length long, digit binary, sha256 string, text binary"
@@ -179,9 +179,10 @@ def _grouped(docs: DataFrame, id_column: str, text: str) -> DataFrame:
         _known("keep_id").otherwise(F.col("id")).alias("keep_id"),
         F.coalesce("group_size", "n").alias("group_size"),
     )
-    return rows.select("id", "k0", "k1", "rep", "sha256").join(found, "rep").select(
+    result = rows.select("id", "k0", "k1", "rep", "sha256").join(found, "rep").select(
         "id", "k0", "k1", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "sha256"
     )
+    return result, [rows, *links]
 
 
 def _known(column: str) -> Column:
@@ -198,14 +199,16 @@ def equal_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     without an id is kept only where no equal text has one. Other columns are neither read nor
     returned.
     """
-    return _grouped(docs, id_column, text).select(
+    return _grouped(docs, id_column, text)[0].select(
         F.col("id").alias(id_column), "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256")
     )
 
 
 def drop_equal_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``equal_texts`` keeps, all their columns."""
-    gone = _grouped(docs, id_column, text).filter("NOT kept").select("k0", "k1").distinct()
+    grouped, texts = _grouped(docs, id_column, text)
+    gone = cut_lineage(grouped.filter("NOT kept").select("k0", "k1").distinct(), "gone")
+    discard_tables(texts)  # which rows go is known now
     keys = dict(zip(free_names(docs, 2), row_keys(F.col(id_column).cast("long"), F.col(text))))
     marked = docs.withColumns(keys)
     same = [marked[name] == gone[key] for name, key in zip(keys, ("k0", "k1"))]

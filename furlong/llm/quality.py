@@ -27,7 +27,7 @@ from furlong.llm.common import cut_lineage, join_sized, pieces
 SAMPLE_ROWS = 20_000
 FEATURES = 1 << 16
 ROUNDS = 40
-FIT_TASKS = 8
+FIT_TASKS = 4
 PENALTY = 0.001
 #: Share of the penalty that drops terms: rare words say nothing by themselves.
 SPARSITY = 1.0
