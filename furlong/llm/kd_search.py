@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from furlong.llm.common import cut_lineage
+from furlong.session import scratch_path
 
 SHARD_ROWS = 4096
 LEAF_ROWS = 64
@@ -160,8 +161,11 @@ def search_shard(best: Best, asking: np.ndarray, queries: np.ndarray, own_ids: n
                         heapq.heappush(heap, (-bound[child], child))
 
 
-def _search(index: DataFrame, block: list[tuple[int, list[float]]], k: int) -> DataFrame:
-    """The k best of each query of a block in the shards of each task."""
+FOUND = "query_id long, vec_id long, score long"
+
+
+def _search(index: DataFrame, block: list[tuple[int, list[float]]], k: int, path: str) -> None:
+    """Add the k best of each query of a block in the shards of each task to the files at ``path``."""
     by_width: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
     for width in {len(v) for _, v in block}:
         some = [i for i, (_, v) in enumerate(block) if len(v) == width]
@@ -187,7 +191,8 @@ def _search(index: DataFrame, block: list[tuple[int, list[float]]], k: int) -> D
                 names=["query_id", "vec_id", "score"],
             )
 
-    return index.mapInArrow(run, "query_id long, vec_id long, score long")
+    index.mapInArrow(run, FOUND).write.mode("append").parquet(path)
+    sent.destroy()
 
 
 def top_k(
@@ -211,12 +216,12 @@ def top_k(
     tasks = max(1, -(-total // (SHARD_ROWS * 16)), min(spark.sparkContext.defaultParallelism, -(-total // TASK_ROWS)))
     index = cut_lineage(index_shards(rows.repartition(tasks)), "kd-index")
     blocks = max(1, -(-n_queries // QUERY_BLOCK))
-    found: DataFrame | None = None
+    path = scratch_path(spark, "found")  # of all blocks, so no plan grows with their number
     for number in range(blocks):
         here = asked.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == number)
         block = [(r["id"], r["v"]) for r in here.collect()]  # about QUERY_BLOCK rows
-        some = cut_lineage(_search(index, block, k), "found")
-        found = some if found is None else found.unionByName(some)
+        _search(index, block, k, path)
+    found = spark.read.schema(FOUND).parquet(path)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
