@@ -674,8 +674,8 @@ def model_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 
 #: Grown fast and stopped early: a round is some jobs, however few the rows are.
-MODEL_PARAMS = boosting.BoostParams(rate=0.7, leaves=12, max_depth=4, l2=1.0)
-PATIENCE = 3
+MODEL_PARAMS = boosting.BoostParams(rate=0.9, leaves=8, max_depth=3, l2=1.0)
+PATIENCE = 2
 
 
 @query
@@ -778,7 +778,7 @@ def hpo_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trials of the leaf-wise search over rungs of growing rounds."""
     train, valid = model_parts(spark, sf_dir)
     prepared = boosting.prepare(train, valid, MODEL_FEATURES)
-    _, trials = search.search(prepared, search.SEARCH_SPACES["leaves"], trials=6, max_rounds=6, least_rounds=2, rate=0.5, max_depth=4)
+    _, trials = search.search(prepared, search.SEARCH_SPACES["leaves"], trials=6, max_rounds=6, least_rounds=2, rate=0.5, max_depth=3)
     rows = [(t.number, t.auc, t.rounds, t.rung, json.dumps(t.drawn, sort_keys=True)) for t in trials]
     return spark.createDataFrame(rows, "trial int, auc double, rounds int, rung int, params string")
 

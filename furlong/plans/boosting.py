@@ -335,6 +335,8 @@ class _Round:
     def _histograms(self, numbers: Sequence[int]) -> np.ndarray:
         """Per node, chosen feature (and one for all rows) and bin the sums of gradient, curvature and rows."""
         picked = f"transform({_literal(self.chosen, 'int')}, i -> get(b, i))" if self.chosen else "cast(array() AS array<int>)"
+        if len(self.chosen) == len(self.prepared.features):
+            picked = "b"
         rows = self._slots(numbers).selectExpr("slot", "g", "h", f"posexplode(concat({picked}, array(0))) AS (place, bin)")
         sums = rows.groupBy("slot", "place", "bin").agg(F.expr("sum(g) AS g"), F.expr("sum(h) AS h"), F.expr("count(*) AS n"))
         table = sums.toArrow()
