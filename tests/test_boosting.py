@@ -214,3 +214,34 @@ def test_bins_are_cut_at_values(spark):
     (cuts,) = boosting.bin_cuts(df, ["x"], 10)
     assert len(cuts) == 9 and all(abs(c - 100 * (i + 1)) < 20 for i, c in enumerate(cuts))
     assert boosting.bin_cuts(df.filter("x < 3"), ["x"]) == [[0.0, 1.0]]
+
+
+def test_rows_of_blocks_are_drawn_as_by_spark(spark):
+    rows = [0, 1, -5, 1 << 33, (1 << 62) + 7]
+    df = spark.createDataFrame([(r,) for r in rows], "row long")
+    expected = [r[0] for r in df.select(F.xxhash64("row", F.lit(3), F.lit(17))).collect()]
+    assert boosting.hashed(np.array(rows), 3, 17).tolist() == expected
+
+
+def test_rows_without_ids_go_to_python_in_blocks(spark, monkeypatch):
+    """Some rows of a block of train or valid rows, none of them lost; a pass makes no row per feature."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    plans = []
+    real = DataFrame.toArrow
+
+    def seen(self):
+        plans.append(self._jdf.queryExecution().toString())
+        return real(self)
+
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(DataFrame, "toArrow", seen)
+    df = spark.createDataFrame(made(500), SCHEMA).repartition(3).withColumn("at", F.monotonically_increasing_id())
+    prepared = boosting.prepare(df.filter("at % 3 > 0"), df.filter("at % 3 = 0"), ["x", "z"])
+    held = [(r["valid"], r["n"]) for r in prepared.table.select("valid", "n").collect()]
+    assert 500 / 64 < len(held) < 60 and max(n for _, n in held) == 64 and sum(n for _, n in held) == 500
+    fitted = boosting.fit(prepared, BoostParams(leaves=4), max_rounds=2)
+    assert plans and not any("Generate" in plan for plan in plans)
+    rows = fitted.state.rows.select("valid", "label", "b").collect()
+    assert sorted((r["valid"], r["label"]) for r in rows) == sorted((r["at"] % 3 == 0, float(r["label"])) for r in df.collect())
+    assert any(r["b"][0] is None for r in rows)
