@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from furlong.llm.anchors import Hashes, anchor_runs, covered, digests
-from furlong.llm.common import cut_lineage, join_sized, pieces, text_bytes
+from furlong.llm.common import cut_lineage, discard_tables, join_sized, pieces, text_bytes
 
 PHRASE = 12
 #: Text that is read at once; a longer one is read in parts.
@@ -324,7 +324,9 @@ def located_documents(docs: DataFrame, length: int) -> DataFrame:
     )
     out = f"id long, n_words long, sha256 string, text string, stretches array<struct<{KEY_TYPES}, at long>>"
     located = placed.mapInArrow(_located(length), out).unionByName(short.mapInArrow(_located(length), out))
-    return cut_lineage(located.withColumn("row", F.monotonically_increasing_id()), "located")
+    located = cut_lineage(located.withColumn("row", F.monotonically_increasing_id()), "located")
+    discard_tables([phrases])  # the written tables that it reads
+    return located
 
 
 def passage_spans(located: DataFrame, length: int) -> DataFrame:
@@ -336,7 +338,8 @@ def passage_spans(located: DataFrame, length: int) -> DataFrame:
         "variants",
     )
     groups = variants.groupBy("p").agg(F.count("*").alias("size")).filter("size > 1")
-    several = join_sized(variants, cut_lineage(groups, "groups"), ["p"], "size")
+    groups = cut_lineage(groups, "groups")
+    several = join_sized(variants, groups, ["p"], "size")
     wanted = several.groupBy(F.col("place.row").alias("row")).agg(  # at most what one text holds
         F.collect_list(F.struct(*KEYS, "least", F.col("place.at").alias("at"))).alias("wanted")
     )
@@ -355,6 +358,7 @@ def passage_spans(located: DataFrame, length: int) -> DataFrame:
     )
     verdicts = variants.join(more, KEYS, "left").select(*KEYS, "rows", "least", "earlier")
     verdicts = cut_lineage(verdicts.filter("rows > 1 OR earlier IS NOT NULL"), "verdicts")
+    discard_tables([variants, groups, windows, shared])
     hits = join_sized(rows, verdicts, KEYS, "rows")
     one_each = F.transform(
         F.filter(F.coalesce("earlier", F.array()), lambda e: e["first"] < F.col("id")),
@@ -383,7 +387,8 @@ def drop_passages(docs: DataFrame, length: int = 50, id_column: str = "doc_id",
     spans = passage_spans(located, length).groupBy("row").agg(
         F.collect_set(F.struct("begin", "end")).alias("spans")  # at most what one text holds
     )
-    spans = cut_lineage(spans, "spans")
+    settled, spans = spans, cut_lineage(spans, "spans")
+    discard_tables([settled])  # the written tables that it reads
     touched = located.filter("text IS NOT NULL").select("row", "id", "n_words", "text").join(spans.hint("merge"), "row")
     changed = touched.select("id", "n_words", "text", "spans").mapInArrow(
         _removed, "id long, n_words long, n_removed long, kept binary"

@@ -1,4 +1,6 @@
+import glob
 import hashlib
+import os
 import random
 import re
 from collections import Counter
@@ -6,6 +8,7 @@ from collections import Counter
 import pytest
 
 from furlong.llm import phrase_dedup
+from furlong.session import run_folder
 from tests.llm.samples import empty, frame, odd_rows, rows_without_proper_ids
 
 
@@ -118,3 +121,17 @@ def test_the_automaton_locates_every_occurrence(monkeypatch):
         hit = [i for i, h in enumerate(hashes) if h != phrase_dedup.NONE]
         first = words.first.tolist()
         assert hit == [0, phrase_dedup.PHRASE + 1, first[2] + 1] and {int(hashes[i]) for i in hit} == {p % 2**64}
+
+
+def test_tables_that_nothing_reads_any_more_are_deleted(spark):
+    def tables():
+        folder = run_folder(spark)
+        return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+    before = tables()
+    rows = passages()
+    result = phrase_dedup.drop_passages(frame(spark, rows), length=30)
+    # the place where the tables lie may stay, but no rows in it
+    left = {name.split("-")[0] for name in tables() - before if glob.glob(f"{run_folder(spark)}/{name}/*.parquet")}
+    assert left == {"located", "spans"}
+    assert found(result) == brute(rows, 30)
