@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from furlong.llm import token_store
@@ -94,3 +95,53 @@ def test_nulls_and_an_empty_table(spark, folder):
     assert [(r["doc_id"], r["n_tokens"]) for r in found] == [(None, len(library_ids("b")) + 1), (2, 1)]
     token_store.write_tokens(empty(spark), f"{folder}/e", PATH)
     assert token_store.token_index(token_store.read_tokens(spark, f"{folder}/e")).collect() == []
+
+
+def test_new_words_reach_the_library_together():
+    """A word is encoded once, whatever its case and the stop behind it, and many words make one text."""
+    coder = token_store.WordIds(PATH)
+    library, given = coder.tokenizer, []
+
+    class Noting:
+        def encode_batch(self, texts, **how):
+            given.extend(texts)
+            return library.encode_batch(texts, **how)
+
+        def encode_batch_fast(self, texts, **how):
+            given.extend(texts)
+            return library.encode_batch_fast(texts, **how)
+
+    coder.tokenizer = Noting()
+    words = [f"wörd{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(500)] + ["so", "hard"]
+    text = " ".join(words) + " So, HARD so. hard!"
+    ids = np.frombuffer(coder.encode([text])[0], "<u4").tolist()
+    assert len(given) < 20 and Counter(" ".join(given).split()) == Counter([*words, ",", ".", "!"])
+    assert ids == library_ids(text)
+
+
+def test_cut_lowered_and_joined_words_give_the_ids_of_whole_texts():
+    odd = ["H̱ ẖ H̱.", "İ İI I", "x.'s X,'S it's! '", "U.S.'s a,b;C", "e;̸ ≠", "́a ́ á", "ÉTÉ. Été", "ǅ.ΑΣ ΣΑΣ, ß",
+           "<|ENDOFTEXT|> <|endoftext|>, A<|StartOfText|>b.", "\x85A \xa0.b ", "\x1ca b\x1c\x1d C", "각 각 ᅡ", "…a. a… ﬁ, ①.", " \t", "", "."]
+    rng = np.random.default_rng(3)
+    signs = list("aAzH.,;'!? \t09-<|>") + ["́", "̱", "̇", "̸", "é", "É", "İ", "Σ", "中", "ᄀ", "ᅡ", "ᆨ", "ﬁ", "\xa0", "　", "𝐀", "👍"]
+    odd += ["".join(rng.choice(signs, 40)) for _ in range(300)]
+    coder = token_store.WordIds(PATH)
+    expected = [coder.tokenizer.encode(text, add_special_tokens=False).ids for text in odd]
+    assert [np.frombuffer(c, "<u4").tolist() for c in coder.encode(odd)] == expected
+    for text, ids in zip(odd[:16], expected):
+        assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == ids
+    ended = coder.lists(pa.array([None, *odd, None], pa.string())[1:], 1)
+    assert ended.to_pylist() == [ids + [1] for ids in [*expected, []]]
+    assert coder.lists(pa.array([], pa.string()), 1).to_pylist() == []
+
+
+def test_whether_words_can_be_cut_and_lowered():
+    with open(PATH, encoding="utf-8") as file:
+        parts = json.load(file)
+    assert token_store.splits_after_letters(parts) and token_store.lowers_letters(parts)
+    taken = {"type": "Split", "pattern": {"Regex": r"[^\s]+"}, "behavior": "Removed", "invert": True}
+    assert not token_store.splits_after_letters(parts | {"pre_tokenizer": taken})
+    assert not token_store.splits_after_letters(parts | {"pre_tokenizer": {"type": "WhitespaceSplit"}})
+    assert not token_store.splits_after_letters(parts | {"added_tokens": [{"content": "a.b"}]})
+    assert not token_store.lowers_letters(parts | {"normalizer": {"type": "NFC"}})
+    assert not token_store.lowers_letters(parts | {"added_tokens": [{"content": "<|A|>"}]})
