@@ -245,3 +245,60 @@ def test_rows_without_ids_go_to_python_in_blocks(spark, monkeypatch):
     rows = fitted.state.rows.select("valid", "label", "b").collect()
     assert sorted((r["valid"], r["label"]) for r in rows) == sorted((r["u"] < 0.3, float(r["label"])) for r in df.collect())
     assert any(r["b"][0] is None for r in rows)
+
+
+def test_a_round_of_blocks_writes_no_table(spark, monkeypatch):
+    """Margins stay with the executors; what is checkpointed keeps the way back short, and goes when nothing comes from it."""
+    import glob
+
+    from furlong.session import run_folder
+
+    def checkpoints():
+        return {p for p in glob.glob(f"{spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix('file:')}/rdd-*/part-*")}
+
+    prepared, _ = prepared_of(spark, made(), ["x", "z", "u"], [])
+    params = BoostParams(rate=0.3, leaves=5, least_rows=10, row_share=0.7, row_every=2)
+    written, whole = set(glob.glob(f"{run_folder(spark)}/margins-*")), boosting.fit(prepared, params, max_rounds=7, patience=10)
+    assert set(glob.glob(f"{run_folder(spark)}/margins-*")) == written
+    monkeypatch.setattr(boosting, "CHECKPOINT_ROUNDS", 2)
+    before, deepest = checkpoints(), 0
+    fitted = boosting.fit(prepared, params, max_rounds=1, patience=10)
+    for rounds in range(2, 8):
+        fitted = boosting.fit(prepared, params, max_rounds=rounds, patience=10, state=fitted.state)
+        deepest = max(deepest, fitted.state.valid.toDebugString().count(b"PythonRDD"))
+        assert len({p.rsplit("/", 2)[1] for p in checkpoints() - before}) <= 4
+    assert fitted.state.history == whole.state.history and deepest <= 4 and checkpoints() - before
+    fitted.state.drop()
+    assert checkpoints() <= before
+
+
+@pytest.mark.parametrize("ranges", [1, 40])
+def test_auc_of_blocks(spark, ranges, monkeypatch):
+    """By ranges that the round before gave, and scores that many rows share."""
+    monkeypatch.setattr(boosting, "RANGE_SCORES", 500 // ranges)
+    rnd = random.Random(4)
+    rows = [(rnd.choice([rnd.gauss(0, 1), 0.5, 0.0, -0.0, -1.0]), rnd.randrange(2)) for _ in range(500)]
+    blocks = []
+    for i in range(0, 500, 50):
+        part = rows[i : i + 50]
+        blocks.append((i, np.arange(len(part)), np.array([y for _, y in part]), np.zeros((0, len(part))), np.array([s for s, _ in part])))
+    valid = spark.sparkContext.parallelize(blocks, 4)
+    auc, edges = boosting._blocks_auc(valid, [])
+    again, more = boosting._blocks_auc(valid, edges)
+    expected = roc_auc(spark.createDataFrame(rows, "s double, y int"), "s", "y").first()["auc"]
+    assert auc == pytest.approx(expected, abs=1e-12) and again == pytest.approx(expected, abs=1e-12)
+    assert edges == sorted(set(edges)) and (len(edges) > 3, len(more) > 3) == (ranges > 1, ranges > 1)
+    assert boosting._blocks_auc(valid.filter(lambda block: False), edges)[0] is None
+
+
+def test_numpy_scores_as_sql(spark, monkeypatch):
+    prepared, df = prepared_of(spark, made(), ["x", "z", "u"], [])
+    model = boosting.fit(prepared, BoostParams(leaves=9, least_rows=5), max_rounds=6).state.model
+    odd = df.unionByName(spark.createDataFrame([(math.inf, -math.inf, None, "t", "a", 1), (float("nan"), None, math.inf, "t", "a", 0)], SCHEMA))
+    found = {}
+    for steps in (0, 10_000):
+        monkeypatch.setattr(boosting, "STEPS_IN_SQL", steps)
+        scored = boosting.margins(model, odd)
+        assert ("ArrowEvalPython" in scored._jdf.queryExecution().executedPlan().toString()) == (steps == 0)
+        found[steps] = sorted(map(str, scored.collect()))
+    assert found[0] == found[10_000]
