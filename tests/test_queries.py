@@ -40,3 +40,27 @@ def test_the_driver_gets_them_all():
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_the_scored_model_is_a_whole_fit(spark, sf_dir, monkeypatch):
+    """As many rounds, leaves and rounds without gain as the operator allows by itself."""
+    from inspect import signature
+
+    from furlong.plans import boosting
+    from furlong.sources import tables
+
+    real, asked, stored = boosting.fit, [], []
+
+    def short(*args, **kwargs):
+        given = signature(real).bind(*args, **kwargs)
+        given.apply_defaults()
+        asked.append(given.arguments)
+        return real(args[0], boosting.BoostParams(leaves=3), max_rounds=2)
+
+    publish = tables.publish_booster
+    monkeypatch.setattr(boosting, "fit", short)
+    monkeypatch.setattr(tables, "publish_booster", lambda *args: (stored.append(args[2]), publish(*args)))
+    row = QUERIES["gbt_train_score"](spark, sf_dir).first()
+    (given,) = asked
+    assert (given["max_rounds"], given["patience"], given["params"] or boosting.BoostParams()) == (300, 20, boosting.BoostParams())
+    assert stored == [vars(boosting.BoostParams())] and row["auc"] == pytest.approx(row["auc_in_fit"], abs=1e-12)
